@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The reference has no streaming operator: its only recurring execution is a
+daily batch, which ``civicmart.plans.job`` runs. Nothing is added here so the
+library does not grow operators the reference lacks.
+"""
