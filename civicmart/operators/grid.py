@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicmart.functions.parse import round_half_even_long, to_number
+from civicmart.session import shared_dir
 
 # Fixed values used by the reference cleaners.
 HEADER_NEEDLE = "geographic area"
@@ -151,8 +152,18 @@ def grid_layout(grid: DataFrame, mode: str = "text", years: Sequence[int] | None
 
 
 def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None,
-                    drop_empty_place: bool = True, with_file: bool = False) -> DataFrame:
-    """``(place, year, population)`` for every data row and year column."""
+                    drop_empty_place: bool = True, with_file: bool = False,
+                    checkpoint: bool = True) -> DataFrame:
+    """``(place, year, population)`` for every data row and year column.
+
+    The grid is consumed four times (header search, column emptiness, header
+    cells, values). With ``checkpoint`` it is first written once to the
+    session's checkpoint folder (an action), so those passes re-read stored
+    rows instead of re-running whatever produced the grid.
+    """
+    if checkpoint:
+        shared_dir(grid.sparkSession)
+        grid = grid.checkpoint(eager=True)
     layout = grid_layout(grid, mode, years)
     data = grid.join(layout, "file").where(
         F.col("row_idx") > F.col("header_row") + F.col("header_rows") - 1)
@@ -173,3 +184,27 @@ def population_wide(long: DataFrame, years: Sequence[int]) -> DataFrame:
     years = [int(y) for y in years]
     wide = long.groupBy("place").pivot("year", years).agg(F.first("population"))
     return wide.select("place", *[F.col(str(y)) for y in years])
+
+
+def sheet_cells(grid: DataFrame, scan_rows: int = TEXT_SCAN_ROWS,
+                checkpoint: bool = True) -> DataFrame:
+    """The sheet converter's clean output in long form ``(file, row_idx, name, value)``.
+
+    Header = first row with "geographic area" (files without one are left out, see
+    ``rejected_files``); all-empty data columns are dropped; names are normalised
+    (newline -> space, strip); rows whose first remaining column is empty go.
+    Write it with ``partitionBy("file")`` to keep one folder per sheet.
+    """
+    if checkpoint:
+        shared_dir(grid.sparkSession)
+        grid = grid.checkpoint(eager=True)
+    header = find_header(grid, "text", scan_rows=scan_rows)
+    data = _data_rows(grid, header, 1)
+    kept = kept_columns(data)
+    names = (_header_cells(grid, header, 0, "raw").join(kept, ["file", "col_idx"])
+             .select("file", "col_idx", normalize_header(F.col("raw")).alias("name")))
+    first = names.groupBy("file").agg(F.min("col_idx").alias("first_idx"))
+    rows = data.join(first, "file").where(
+        ~_is_empty(F.try_element_at("cells", (F.col("first_idx") + 1).cast("int"))))
+    cells = rows.select("file", "row_idx", F.posexplode("cells").alias("col_idx", "value"))
+    return cells.join(names, ["file", "col_idx"]).select("file", "row_idx", "col_idx", "name", "value")

@@ -178,14 +178,14 @@ def render_population_grid(orders: DataFrame, customer: DataFrame, nation: DataF
     data = (sheet.withColumn("file", file_name)
             .withColumn("pos", F.row_number().over(per_file.orderBy("n_name")) - 1)
             .withColumn("n_rows", F.count(F.lit(1)).over(per_file)))
-    data_rows = data.select(
-        "file",
-        (first_data + F.col("pos")).cast("int").alias("row_idx"),
-        F.array(F.col("n_name"), F.lit(""), cell(F.col("base")),
-                *[cell(F.col(str(y))) for y in years]).alias("cells"))
-    end_rows = (data.where(F.col("pos") == 0)
-                .select("file", (first_data + F.col("n_rows")).cast("int").alias("row_idx"),
-                        F.array_repeat(F.lit(""), width).alias("cells")))
+    blank_row = F.array_repeat(F.lit(""), width)
+    row = F.struct((first_data + F.col("pos")).cast("int").alias("row_idx"),
+                   F.array(F.col("n_name"), F.lit(""), cell(F.col("base")),
+                           *[cell(F.col(str(y))) for y in years]).alias("cells"))
+    end = F.struct((first_data + F.col("n_rows")).cast("int").alias("row_idx"), blank_row.alias("cells"))
+    # The last nation of a sheet also emits the blank end-of-table row (one pass).
+    emitted = F.when(F.col("pos") == F.col("n_rows") - 1, F.array(row, end)).otherwise(F.array(row))
+    data_rows = data.select("file", F.explode(emitted).alias("r")).select("file", "r.row_idx", "r.cells")
 
     regions = region.select(file_name.alias("file"), "r_regionkey", "r_name")
     blanks = [F.lit("")] * width
@@ -202,4 +202,4 @@ def render_population_grid(orders: DataFrame, customer: DataFrame, nation: DataF
     lower = regions.select("file", (F.col("r_regionkey") + 2).cast("int").alias("row_idx"),
                            F.array(*blanks[:3], *[F.lit(str(y)) for y in years]).alias("cells"))
     return (title.unionByName(gap).unionByName(upper).unionByName(lower)
-            .unionByName(data_rows).unionByName(end_rows))
+            .unionByName(data_rows))

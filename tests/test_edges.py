@@ -178,3 +178,23 @@ def test_grid_year_row_and_two_row_header(spark):
     assert two_row == by_years
     wide = G.population_wide(G.population_long(fixed, "two_row", [2020, 2021]), [2020, 2021]).collect()
     assert [tuple(r) for r in wide] == [(".Alpha", 10, 11)]
+
+
+def test_sheet_cells_converter_output(spark):
+    sheet = [
+        ["title", "", ""],
+        ["Geographic\nArea x", "", "2020"],
+        ["Geographic Area", "", "2020"],
+        ["Alpha", "", "1"],
+        ["", "", "9"],
+    ]
+    grid = _grid(spark, {"s.csv": sheet})
+    out = sorted((r["row_idx"], r["name"], r["value"]) for r in G.sheet_cells(grid).collect())
+    assert out == [(3, "2020", "1"), (3, "Geographic Area", "Alpha")]
+
+
+def test_load_population_and_unemployment(spark):
+    long = spark.createDataFrame([("A", 2020, 5), ("B", 2020, 7)], "place string, year int, population long")
+    assert [tuple(r) for r in M.load_population(long, "B").collect()] == [(2020, 7)]
+    yearly = spark.createDataFrame([(2020.0, 4.5)], "year double, unemployment_rate double")
+    assert M.load_unemployment(yearly).schema == S.UNEMPLOYMENT
