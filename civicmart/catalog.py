@@ -22,7 +22,7 @@ from civicmart.operators import queries as Q
 from civicmart.operators import views as V
 from civicmart.plans.refresh import audit_rows
 from civicmart.sources import bindings as B
-from civicmart.sources.mart import mart_for
+from civicmart.sources.mart import mart_for, staging_for
 from civicmart.sources.tables import read_table
 
 # Fixed values of this data binding (the reference uses 2020-2024, 2022, 6000 / 5000).
@@ -45,7 +45,7 @@ def _tables(spark: SparkSession, d: str, *names: str) -> list[DataFrame]:
 
 
 def _staging(spark: SparkSession, d: str) -> DataFrame:
-    return B.bind_staging(*_tables(spark, d, "orders", "customer", "nation"))
+    return staging_for(spark, d)
 
 
 def _incidents(spark: SparkSession, d: str) -> DataFrame:
@@ -117,6 +117,7 @@ def queries() -> dict[str, Query]:
         "grid_to_long": lambda s, d: G.population_long(_grid(s, d), "text", YEARS),
         "population_long": lambda s, d: G.population_long(_grid(s, d), "years", YEARS),
         "population_long_two_row": lambda s, d: G.population_long(_grid(s, d), "two_row", YEARS),
+        "sheet_cells": lambda s, d: G.sheet_cells(_grid(s, d)),
         # Model building (M1-M3)
         "dim_time": lambda s, d: M.build_dim_time(mf(s, d).fact, *WINDOW),
         "dim_location_keyed": _keyed_dim,

@@ -53,11 +53,17 @@ def _row(table: str, constraint: str, violations) -> DataFrame:
                              F.col("v").cast("bigint").alias("violations"))
 
 
-def _pk(df: DataFrame, table: str, key: str) -> list[DataFrame]:
-    dup = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col(key).isNotNull() & (F.col("n") > 1))
-           .agg(F.count(F.lit(1)).alias("v")))
-    nul = df.agg(F.count_if(F.col(key).isNull()).alias("v"))
-    return [_row(table, f"pk_unique({key})", dup), _row(table, f"pk_not_null({key})", nul)]
+def _pk(df: DataFrame, table: str, key: str) -> DataFrame:
+    """Uniqueness and NOT NULL of a key from one grouping: the NULL key is one group."""
+    groups = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = groups.agg(
+        F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("dup"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("nul"))
+    return counts.select(F.explode(F.array(
+        F.struct(F.lit(table).alias("table_name"), F.lit(f"pk_unique({key})").alias("constraint_name"),
+                 F.col("dup").cast("bigint").alias("violations")),
+        F.struct(F.lit(table).alias("table_name"), F.lit(f"pk_not_null({key})").alias("constraint_name"),
+                 F.col("nul").cast("bigint").alias("violations")))).alias("r")).select("r.*")
 
 
 def constraint_report(fact: DataFrame, dim_location: DataFrame, dim_time: DataFrame,
@@ -69,12 +75,13 @@ def constraint_report(fact: DataFrame, dim_location: DataFrame, dim_time: DataFr
     which needs a shuffle on ``crime_id``. A NULL foreign key is not an FK
     violation (it is counted by NOT NULL).
     """
-    parts: list[DataFrame] = []
-    parts += _pk(dim_time, "dim_time", "year")
-    parts += _pk(dim_location, "dim_location", "location_id")
-    parts += _pk(population, "population", "year")
-    parts += _pk(unemployment, "unemployment", "year")
-    parts += _pk(fact, "fact", "crime_id")
+    parts: list[DataFrame] = [
+        _pk(dim_time, "dim_time", "year"),
+        _pk(dim_location, "dim_location", "location_id"),
+        _pk(population, "population", "year"),
+        _pk(unemployment, "unemployment", "year"),
+        _pk(fact, "fact", "crime_id"),
+    ]
     code_dup = (dim_location.where(F.col("area_code").isNotNull()).groupBy("area_code")
                 .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).agg(F.count(F.lit(1)).alias("v")))
     parts.append(_row("dim_location", "unique(area_code)", code_dup))

@@ -286,6 +286,28 @@ _BODIES = {
     "grid_to_long": "SELECT place, year, population FROM sheet_counts",
     "population_long": "SELECT place, year, population FROM sheet_counts",
     "population_long_two_row": "SELECT place, year, population FROM sheet_counts",
+    "sheet_cells": """
+      , sheet_rows AS (
+        SELECT 'population_' || lower(r.r_name) || '.csv' AS file,
+               CAST(r.r_regionkey + 2 + ROW_NUMBER() OVER (PARTITION BY r.r_regionkey ORDER BY n.n_name) AS INTEGER)
+                 AS row_idx,
+               n.n_name, n.n_nationkey
+        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+      base AS (SELECT c_nationkey AS nk, COUNT(*) AS base FROM customer GROUP BY 1),
+      yearly AS (
+        SELECT c.c_nationkey AS nk, CAST(year(o.o_orderdate) AS INTEGER) AS year, COUNT(*) AS n
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2)
+      SELECT file, row_idx, 0 AS col_idx, 'Geographic Area' AS name, n_name AS value FROM sheet_rows
+      UNION ALL
+      SELECT s.file, s.row_idx, 2, 'Estimates Base', COALESCE(CAST(b.base AS VARCHAR), '')
+      FROM sheet_rows s LEFT JOIN base b ON b.nk = s.n_nationkey
+      UNION ALL
+      SELECT s.file, s.row_idx, CAST(y.year - 1992 AS INTEGER),
+             CASE WHEN y.year = 1995 THEN 'Population Estimate (as of July 1)' ELSE '' END,
+             COALESCE(CAST(v.n AS VARCHAR), '')
+      FROM sheet_rows s
+      CROSS JOIN (SELECT CAST(range AS INTEGER) AS year FROM range(1995, 2002)) y
+      LEFT JOIN yearly v ON v.nk = s.n_nationkey AND v.year = y.year""",
     "dim_time": "SELECT DISTINCT year FROM fact_crime WHERE year BETWEEN 1995 AND 2000",
     "dim_location_keyed": "SELECT * FROM keyed_dim",
     "fact_load": """

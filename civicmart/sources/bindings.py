@@ -159,10 +159,12 @@ def render_population_grid(orders: DataFrame, customer: DataFrame, nation: DataF
     """
     years = [int(y) for y in years]
     width = 3 + len(years)
-    counts = (_orders_with_customer(orders, customer)
-              .groupBy(F.col("c_nationkey").alias("nk"), F.year("o_orderdate").alias("year"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    wide = counts.groupBy("nk").pivot("year", years).agg(F.first("n"))
+    # One aggregation with a conditional sum per year (NULL where a nation has
+    # no order that year), partially aggregated before the shuffle.
+    wide = (_orders_with_customer(orders, customer)
+            .withColumn("year", F.year("o_orderdate"))
+            .groupBy(F.col("c_nationkey").alias("nk"))
+            .agg(*[F.sum(F.when(F.col("year") == y, F.lit(1))).alias(str(y)) for y in years]))
     base = customer.groupBy(F.col("c_nationkey").alias("nk")).agg(F.count(F.lit(1)).alias("base"))
     sheet = (nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
              .select("n_nationkey", "n_name", "r_regionkey", "r_name"))
@@ -189,17 +191,19 @@ def render_population_grid(orders: DataFrame, customer: DataFrame, nation: DataF
 
     regions = region.select(file_name.alias("file"), "r_regionkey", "r_name")
     blanks = [F.lit("")] * width
-    title = regions.select("file", F.lit(0).alias("row_idx"),
-                           F.array(F.concat(F.lit("Annual Estimates of the Resident Population: "),
-                                            F.col("r_name")), *blanks[1:]).alias("cells"))
-    gap_idx = F.when(F.col("r_regionkey") > 0, F.sequence(F.lit(1), F.col("r_regionkey")))
-    gap = regions.select("file", F.explode(gap_idx).alias("row_idx"),
-                         F.array_repeat(F.lit(""), width).alias("cells"))
-    upper = regions.select("file", (F.col("r_regionkey") + 1).cast("int").alias("row_idx"),
-                           F.array(F.lit("Geographic Area"), F.lit(""), F.lit("Estimates Base"),
-                                   F.lit("Population Estimate (as of July 1)"),
-                                   *blanks[4:]).alias("cells"))
-    lower = regions.select("file", (F.col("r_regionkey") + 2).cast("int").alias("row_idx"),
-                           F.array(*blanks[:3], *[F.lit(str(y)) for y in years]).alias("cells"))
-    return (title.unionByName(gap).unionByName(upper).unionByName(lower)
-            .unionByName(data_rows))
+    k = F.col("r_regionkey")
+    fixed = F.array(
+        F.struct(F.lit(0).alias("row_idx"),
+                 F.array(F.concat(F.lit("Annual Estimates of the Resident Population: "), F.col("r_name")),
+                         *blanks[1:]).alias("cells")),
+        F.struct((k + 1).cast("int").alias("row_idx"),
+                 F.array(F.lit("Geographic Area"), F.lit(""), F.lit("Estimates Base"),
+                         F.lit("Population Estimate (as of July 1)"), *blanks[4:]).alias("cells")),
+        F.struct((k + 2).cast("int").alias("row_idx"),
+                 F.array(*blanks[:3], *[F.lit(str(y)) for y in years]).alias("cells")))
+    gap_idx = F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>"))
+    gaps = F.transform(gap_idx, lambda i: F.struct(i.cast("int").alias("row_idx"),
+                                                   F.array_repeat(F.lit(""), width).alias("cells")))
+    header_rows = (regions.select("file", F.explode(F.concat(fixed, gaps)).alias("r"))
+                   .select("file", "r.row_idx", "r.cells"))
+    return header_rows.unionByName(data_rows)

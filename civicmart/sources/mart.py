@@ -77,10 +77,27 @@ def read_mart(spark: SparkSession, path: str) -> Mart:
     )
 
 
-_LOADED: dict[tuple[str, str], Mart] = {}
+def read_staging(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The typed 8-column staging table (natural keys area_code + area_name)."""
+    reader = spark.read.schema(S.STAGING)
+    if fmt == "csv":
+        df = reader.option("header", True).csv(path)
+    else:
+        df = reader.format(fmt).load(path)
+    return df.select(*S.STAGING.fieldNames())
+
+
+_LOADED: dict[tuple[str, str, str], object] = {}
 _LOCK = threading.Lock()
 
 
+def _app_path(spark: SparkSession, kind: str, source: str) -> tuple[tuple[str, str, str], str]:
+    app = spark.sparkContext.applicationId
+    key = (kind, app, source.rstrip("/"))
+    digest = hashlib.sha1(key[2].encode()).hexdigest()[:12]
+    return key, f"{shared_dir(spark)}/civicmart-{kind}/{app}/{digest}"
+
+
 def mart_for(spark: SparkSession, sf_dir: str) -> Mart:
     """The materialized mart of ``sf_dir`` for this application, loaded on first use.
 
@@ -88,11 +105,23 @@ def mart_for(spark: SparkSession, sf_dir: str) -> Mart:
     folder per application and input folder), so a lost executor costs a re-read,
     never a rebuild of the join.
     """
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir.rstrip("/"))
+    key, target = _app_path(spark, "mart", sf_dir)
     with _LOCK:
         if key not in _LOADED:
-            digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
-            target = f"{shared_dir(spark)}/civicmart-mart/{app}/{digest}"
             _LOADED[key] = materialize_mart(mart_from_tables(spark, sf_dir), target)
         return _LOADED[key]
+
+
+def staging_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging rows of ``sf_dir`` written once per application (parquet by year).
+
+    Dimension extraction and the fact load both read it, each pruned to the
+    columns it needs, instead of recomputing the staging join twice.
+    """
+    key, target = _app_path(spark, "staging", sf_dir)
+    with _LOCK:
+        if key not in _LOADED:
+            staging = B.bind_staging(*[read_table(spark, sf_dir, t) for t in ("orders", "customer", "nation")])
+            _conform(staging, S.STAGING).write.mode("overwrite").partitionBy("year").parquet(target)
+            _LOADED[key] = read_staging(spark, target)
+        return _LOADED[key]

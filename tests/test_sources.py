@@ -61,3 +61,14 @@ def test_write_frame_roundtrip(spark, scratch):
     assert sorted((r["year"], r["s"]) for r in back.collect()) == [("2020", "a,b"), ("2021", None)]
     write_frame(df, f"{scratch}/o_pq", partition_by=["year"])
     assert os.path.isdir(f"{scratch}/o_pq/year=2020")
+
+
+def test_read_staging_csv_and_parquet(spark, scratch):
+    from civicmart import schema as S
+    from civicmart.sources.mart import read_staging
+    df = spark.createDataFrame([(1, 2020, 10, "A", 510, "x", 34.1, -118.2)], S.STAGING)
+    write_frame(df, f"{scratch}/stg_csv", fmt="csv")
+    write_frame(df, f"{scratch}/stg_pq")
+    for fmt, path in (("csv", f"{scratch}/stg_csv"), ("parquet", f"{scratch}/stg_pq")):
+        back = read_staging(spark, path, fmt)
+        assert back.schema == S.STAGING and [tuple(r) for r in back.collect()] == [tuple(df.first())]
