@@ -73,3 +73,13 @@ def test_run_batch_end_to_end(spark, scratch):
     with pytest.raises(GateError):
         run_batch(spark, _mart(spark, DIRTY), f"{scratch}/audit2", policy="fail")
     assert read_audit(spark, f"{scratch}/audit2").count() == 0  # refresh did not run
+
+
+def test_job_entry_point_materializes_and_refreshes(spark, scratch):
+    from conftest import SF001
+    from civicmart.plans.job import main
+    assert main(["--tables", SF001, "--mart", f"{scratch}/mart", "--audit", f"{scratch}/audit"]) == 0
+    audit = read_audit(spark, f"{scratch}/audit").collect()
+    assert [r["log_id"] for r in audit] == list(range(1, len(audit) + 1)) and len(audit) == 7
+    assert main(["--mart", f"{scratch}/mart", "--audit", f"{scratch}/audit", "--policy", "fail"]) == 0
+    assert read_audit(spark, f"{scratch}/audit").first()["log_id"] == 8
