@@ -18,18 +18,20 @@ from civicmart.operators import clean as C
 from civicmart.operators import grid as G
 from civicmart.operators import model as M
 from civicmart.schema import INCIDENT_COLUMNS, LABOUR_COLUMNS
-from civicmart.sources.mart import Mart, materialize_mart
+from civicmart.sources.mart import Mart, materialize_mart, read_staging
 from civicmart.sources.raw import read_grid, read_raw_csv
 from civicmart.sources.sinks import write_frame
 
 
+LONG_SCHEMA = "place string, year int, population bigint"
+
+
 def clean_incident_files(spark: SparkSession, src: str, dst: str, lo: int | None = 2020,
                          hi: int | None = None, fmt: str = "parquet") -> tuple[str, str]:
     """Raw incident CSVs -> ``dst/events`` (by year) and ``dst/locations``."""
     events = C.clean_incidents(read_raw_csv(spark, src, INCIDENT_COLUMNS), lo, hi)
     write_frame(events, f"{dst}/events", fmt, partition_by=["year"])
-    events = spark.read.format(fmt).options(header=True).load(f"{dst}/events") if fmt == "csv" \
-        else spark.read.parquet(f"{dst}/events")
+    events = read_staging(spark, f"{dst}/events", fmt)
     # the distinct pairs come from the written events (two columns), not a second parse
     locations = M.extract_locations(events).orderBy(F.asc_nulls_last("area_code"), "area_name")
     write_frame(locations.coalesce(1), f"{dst}/locations", fmt)
@@ -51,8 +53,8 @@ def clean_population_files(spark: SparkSession, src: str, dst: str, mode: str, y
     grid = read_grid(spark, src, max_cols=max_cols, glob=glob)
     long = G.population_long(grid, mode, years)
     write_frame(long, f"{dst}/long", fmt)
-    written = spark.read.format(fmt).load(f"{dst}/long") if fmt != "csv" else \
-        spark.read.options(header=True, inferSchema=False).csv(f"{dst}/long")
+    reader = spark.read.schema(LONG_SCHEMA)
+    written = reader.option("header", True).csv(f"{dst}/long") if fmt == "csv" else reader.parquet(f"{dst}/long")
     write_frame(G.population_wide(written, years), f"{dst}/wide", fmt)
     return G.rejected_files(grid, G.find_header(grid, mode, years))
 

@@ -74,3 +74,19 @@ def test_etl_cli_incidents(spark, scratch):
     write_frame(raw, f"{scratch}/in", "csv")
     assert etl.main(["incidents", "--src", f"{scratch}/in", "--dst", f"{scratch}/o", "--lo", "2020"]) == 0
     assert [tuple(r) for r in spark.read.parquet(f"{scratch}/o/locations").collect()] == [(3, "Pacific")]
+
+
+def test_csv_outputs_read_back_typed(spark, scratch):
+    raw = spark.createDataFrame([("1", "01/08/2021 02:05:00 PM", "3", "Pacific", "510", "STOLEN", "34.0", "-118.0")],
+                                ", ".join(f"`{c}` string" for c in INCIDENT_COLUMNS))
+    write_frame(raw, f"{scratch}/in", "csv")
+    events, locations = etl.clean_incident_files(spark, f"{scratch}/in", f"{scratch}/o", fmt="csv")
+    from civicmart.sources.mart import read_staging
+    row = read_staging(spark, events, "csv").first()
+    assert row["crime_id"] == 1 and row["year"] == 2021 and row["lat"] == 34.0
+    os.makedirs(f"{scratch}/sheets")
+    with open(f"{scratch}/sheets/a.csv", "w") as fh:
+        fh.write('"Geographic Area",Base,2020,2021\nAlpha,1,5,6\n')
+    etl.clean_population_files(spark, f"{scratch}/sheets", f"{scratch}/pop", "text", [2020, 2021], fmt="csv")
+    wide = spark.read.option("header", True).csv(f"{scratch}/pop/wide").collect()
+    assert [tuple(r) for r in wide] == [("Alpha", "5", "6")]
