@@ -46,3 +46,28 @@ def shared_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="civicmart-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")
+
+
+def cluster_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.05,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run, to pass to ``build_session(conf=...)`` or spark-submit.
+
+    * Scan splits of ``partition_bytes`` (256 MiB): 100 TB gives ~400k scan tasks,
+      about 50 waves on 8,000 cores, each split small enough to decode in memory.
+    * Shuffles start from enough partitions that the largest shuffle (the fact
+      join, about ``shuffle_fraction`` of the input after column pruning) lands
+      near ``partition_bytes`` per reducer; AQE then coalesces the small ones to
+      the same advisory size and splits skewed ones.
+    * Broadcast stays capped at 64 MiB: dimensions and per-year frames fit, a
+      customer-sized table never does, so the big join always sort-merges.
+    """
+    shuffle_bytes = max(int(input_bytes * shuffle_fraction), 1)
+    initial = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

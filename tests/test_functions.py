@@ -77,3 +77,12 @@ def test_rate_zero_population_is_null_and_level_low(spark):
     df = spark.createDataFrame([(10, 0)], "n long, pop long")
     r = df.select(rate_per_100k("n", "pop").alias("r")).withColumn("l", intensity_level("r")).first()
     assert r["r"] is None and r["l"] == "Low"
+
+
+def test_cluster_conf_scales_with_input():
+    from civicmart.session import cluster_conf
+    small = cluster_conf(10 << 30, total_cores=8)
+    big = cluster_conf(100 * 10**12, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert 15000 < int(big["spark.sql.shuffle.partitions"]) < 25000
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == str(64 << 20)
