@@ -25,7 +25,8 @@ def count_by(df: DataFrame, *keys: str, alias: str = TOTAL) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
 
 
-def _sum_counts(df: DataFrame, *keys: str) -> DataFrame:
+def sum_counts(df: DataFrame, *keys: str) -> DataFrame:
+    """Re-sum per-id counts by ``keys`` (ids sharing a name merge)."""
     return df.groupBy(*keys).agg(F.sum(TOTAL).cast("bigint").alias(TOTAL))
 
 
@@ -52,7 +53,7 @@ def yearly_kpi_view(fact: DataFrame, population: DataFrame, unemployment: DataFr
 def by_location(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     """V2: location_id, area_code, area_name, total_crimes (observed areas only)."""
     keys = ("location_id", "area_code", "area_name")
-    return _sum_counts(counts_with_area(fact, dim_location, dim_cols=keys), *keys)
+    return sum_counts(counts_with_area(fact, dim_location, dim_cols=keys), *keys)
 
 
 def by_type(fact: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def by_type(fact: DataFrame) -> DataFrame:
 
 def year_location(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     """V4: year, area_name, total_crimes."""
-    return _sum_counts(counts_with_area(fact, dim_location, "year"), "year", "area_name")
+    return sum_counts(counts_with_area(fact, dim_location, "year"), "year", "area_name")
 
 
 def location_geo(fact: DataFrame, dim_location: DataFrame, scale: int = 4) -> DataFrame:

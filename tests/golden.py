@@ -6,7 +6,7 @@ values; populations are chosen inside the interval each published rate allows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart.sources.mart import Mart
