@@ -51,6 +51,17 @@ def _is_empty(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
+def _per_file(df: DataFrame) -> DataFrame:
+    """Broadcast a per-file table (one row per file, or per file and column).
+
+    Its size is bounded by the folder listing times the sheet width, which the
+    driver already holds as the file index, never by the number of grid rows.
+    Broadcasting it keeps grid rows from being shuffled by file, where one
+    large sheet would otherwise land in a single task.
+    """
+    return F.broadcast(df)
+
+
 def normalize_header(c: Column) -> Column:
     """Newline -> space, then strip."""
     return F.trim(F.regexp_replace(_text(c), "\n", " "))
@@ -81,12 +92,12 @@ def rejected_files(grid: DataFrame, header: DataFrame) -> DataFrame:
 
 def _data_rows(grid: DataFrame, header: DataFrame, header_rows: int) -> DataFrame:
     last = header.select("file", (F.col("header_row") + (header_rows - 1)).alias("_last"))
-    return grid.join(last, "file").where(F.col("row_idx") > F.col("_last")).drop("_last")
+    return grid.join(_per_file(last), "file").where(F.col("row_idx") > F.col("_last")).drop("_last")
 
 
 def _header_cells(grid: DataFrame, header: DataFrame, offset: int, alias: str) -> DataFrame:
     at = header.select("file", (F.col("header_row") + offset).alias("row_idx"))
-    return (grid.join(at, ["file", "row_idx"])
+    return (grid.join(_per_file(at), ["file", "row_idx"])
             .select("file", F.posexplode("cells").alias("col_idx", alias)))
 
 
@@ -112,13 +123,13 @@ def _names(grid: DataFrame, header: DataFrame, kept: DataFrame, mode: str,
         name = (F.when(F.col("col_idx") == 0, F.lit("place"))
                  .when((F.col("col_idx") == 1) & ~label.rlike(_DIGITS), F.lit("base"))
                  .otherwise(label))
-        return cells.select("file", "col_idx", name.alias("name")).join(kept, ["file", "col_idx"])
+        return cells.select("file", "col_idx", name.alias("name")).join(_per_file(kept), ["file", "col_idx"])
     if mode == "two_row":
         upper = _header_cells(grid, header, 0, "upper")
         lower = _header_cells(grid, header, 1, "lower")
         u, lo_ = F.trim(_text(F.col("upper"))), F.trim(_text(F.col("lower")))
         flat = F.when(lo_.rlike(_DIGITS), lo_).when(u != "", u).otherwise(lo_)
-        named = (upper.join(lower, ["file", "col_idx"]).join(kept, ["file", "col_idx"])
+        named = (upper.join(_per_file(lower), ["file", "col_idx"]).join(_per_file(kept), ["file", "col_idx"])
                  .select("file", "col_idx", flat.alias("name")))
         low = F.lower(F.col("name"))
         is_geo = F.lit(False)
@@ -146,7 +157,7 @@ def grid_layout(grid: DataFrame, mode: str = "text", years: Sequence[int] | None
         F.min(F.when(F.col("name") == "place", F.col("col_idx"))).alias("place_idx"),
         F.array_sort(F.collect_list(F.when(is_year, F.struct(
             F.col("col_idx").alias("col_idx"), F.col("name").cast("int").alias("year"))))).alias("year_cols"))
-    return (header.join(layout, "file")
+    return (header.join(_per_file(layout), "file")
             .where(F.col("place_idx").isNotNull())
             .withColumn("header_rows", F.lit(header_rows)))
 
@@ -165,7 +176,7 @@ def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] |
         shared_dir(grid.sparkSession)
         grid = grid.checkpoint(eager=True)
     layout = grid_layout(grid, mode, years)
-    data = grid.join(layout, "file").where(
+    data = grid.join(_per_file(layout), "file").where(
         F.col("row_idx") > F.col("header_row") + F.col("header_rows") - 1)
     place = F.trim(_text(F.try_element_at("cells", (F.col("place_idx") + 1).cast("int"))))
     rows = data.select("file", "cells", place.alias("place"), F.explode("year_cols").alias("yc"))
@@ -201,10 +212,11 @@ def sheet_cells(grid: DataFrame, scan_rows: int = TEXT_SCAN_ROWS,
     header = find_header(grid, "text", scan_rows=scan_rows)
     data = _data_rows(grid, header, 1)
     kept = kept_columns(data)
-    names = (_header_cells(grid, header, 0, "raw").join(kept, ["file", "col_idx"])
+    names = (_header_cells(grid, header, 0, "raw").join(_per_file(kept), ["file", "col_idx"])
              .select("file", "col_idx", normalize_header(F.col("raw")).alias("name")))
     first = names.groupBy("file").agg(F.min("col_idx").alias("first_idx"))
-    rows = data.join(first, "file").where(
+    rows = data.join(_per_file(first), "file").where(
         ~_is_empty(F.try_element_at("cells", (F.col("first_idx") + 1).cast("int"))))
     cells = rows.select("file", "row_idx", F.posexplode("cells").alias("col_idx", "value"))
-    return cells.join(names, ["file", "col_idx"]).select("file", "row_idx", "col_idx", "name", "value")
+    return (cells.join(_per_file(names), ["file", "col_idx"])
+            .select("file", "row_idx", "col_idx", "name", "value"))
