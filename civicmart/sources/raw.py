@@ -40,17 +40,21 @@ def _wide_string_schema(max_cols: int) -> T.StructType:
 def read_grid(spark: SparkSession, path: str, max_cols: int = 64, glob: str = "*.csv") -> DataFrame:
     """Headerless delimited sheet exports -> ``(file, row_idx, cells)``.
 
-    Multi-line parsing keeps quoted newlines inside header cells; a file is then
-    read by one task, so ``monotonically_increasing_id`` follows the file order and
-    the per-file row number is stable. Cells past ``max_cols`` are not read.
+    Multi-line parsing keeps quoted newlines inside header cells. It also means a
+    file is never split: its rows arrive in order inside one task, so the row
+    index is the row's ``monotonically_increasing_id`` minus the first id of its
+    file. Only that per-file minimum is aggregated (one row per file, broadcast
+    back), so grid rows are never shuffled or sorted by file. Cells past
+    ``max_cols`` are not read.
     """
     raw = (spark.read.options(**_CSV_OPTIONS).option("header", False).option("multiLine", True)
            .option("pathGlobFilter", glob).schema(_wide_string_schema(max_cols)).csv(path))
     raw = raw.select(F.col("_metadata.file_name").alias("file"),
                      F.monotonically_increasing_id().alias("_seq"),
                      F.array(*[F.col(f"_c{i}") for i in range(max_cols)]).alias("cells"))
-    order = Window.partitionBy("file").orderBy("_seq")
-    return raw.select("file", (F.row_number().over(order) - 1).cast("int").alias("row_idx"), "cells")
+    starts = raw.groupBy("file").agg(F.min("_seq").alias("_start"))
+    return (raw.join(F.broadcast(starts), "file")
+            .select("file", (F.col("_seq") - F.col("_start")).cast("int").alias("row_idx"), "cells"))
 
 
 def profile_raw(spark: SparkSession, path: str, glob: str = "*.csv", max_cols: int = 256,

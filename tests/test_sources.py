@@ -72,3 +72,13 @@ def test_read_staging_csv_and_parquet(spark, scratch):
     for fmt, path in (("csv", f"{scratch}/stg_csv"), ("parquet", f"{scratch}/stg_pq")):
         back = read_staging(spark, path, fmt)
         assert back.schema == S.STAGING and [tuple(r) for r in back.collect()] == [tuple(df.first())]
+
+
+def test_read_grid_row_index_with_files_packed_in_one_partition(spark, scratch):
+    for name in ("a", "b", "c"):
+        _write(f"{scratch}/many/{name}.csv", "".join(f"{name}{i},x\n" for i in range(50)))
+    grid = read_grid(spark, f"{scratch}/many", max_cols=2)
+    rows = grid.collect()
+    assert len(rows) == 150
+    for r in rows:
+        assert r["cells"][0] == f"{r['file'][0]}{r['row_idx']}"
