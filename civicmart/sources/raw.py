@@ -62,14 +62,18 @@ def profile_raw(spark: SparkSession, path: str, glob: str = "*.csv", max_cols: i
     """Per CSV file: data rows, header width (real CSV split) and the first data rows.
 
     One job over the folder: counts are a grouped aggregate, the header is the
-    row with the smallest id of its file, and the sample is a per-file top-k
-    (planned as a WindowGroupLimit, so only k rows per task and file move).
+    first row of its file, and the sample is a per-file top-k (planned as a
+    WindowGroupLimit, so only k rows per task and file move).
     """
     raw = (spark.read.options(**_CSV_OPTIONS).option("header", False)
            .option("pathGlobFilter", glob).schema(_wide_string_schema(max_cols)).csv(path))
     cols = [F.col(f"_c{i}") for i in range(max_cols)]
+    # A large file is read as several splits packed into tasks; ids are not
+    # promised to follow file order across tasks, so order by (block start,
+    # position inside the task), which is the file order.
     rows = raw.select(F.col("_metadata.file_path").alias("file"),
-                      F.monotonically_increasing_id().alias("_seq"),
+                      F.struct(F.col("_metadata.file_block_start").alias("block"),
+                               F.monotonically_increasing_id().alias("pos")).alias("_seq"),
                       F.array(*cols).alias("cells"))
     per_file = rows.groupBy("file").agg(
         (F.count(F.lit(1)) - 1).alias("n_rows"),

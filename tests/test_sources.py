@@ -82,3 +82,16 @@ def test_read_grid_row_index_with_files_packed_in_one_partition(spark, scratch):
     assert len(rows) == 150
     for r in rows:
         assert r["cells"][0] == f"{r['file'][0]}{r['row_idx']}"
+
+
+def test_profile_raw_orders_rows_across_splits(spark, scratch):
+    lines = ["id,payload"] + [f"{i},{'x' * 200}" for i in range(3000)]
+    _write(f"{scratch}/big/a.csv", "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")  # ~10 splits of one file
+    try:
+        prof = profile_raw(spark, f"{scratch}/big", max_cols=2).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert prof["n_rows"] == 3000 and prof["n_columns"] == 2
+    assert [x.split(",")[0] for x in prof["sample"]] == ["0", "1"]
