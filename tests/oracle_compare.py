@@ -43,6 +43,21 @@ def _norm(v):
     return v
 
 
+def spark_type(t) -> str:
+    name = t.simpleString()
+    for prefix, fam in (("bigint", "int64"), ("int", "int32"), ("double", "float64"), ("string", "str")):
+        if name.startswith(prefix):
+            return fam
+    return name
+
+
+def duck_type(t) -> str:
+    name = str(t)
+    if name.startswith("DECIMAL"):
+        return name.lower().replace(" ", "")
+    return {"BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "float64", "VARCHAR": "str"}.get(name, name)
+
+
 def canon(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     cols = [columns[i] for i in order]
@@ -60,6 +75,9 @@ def compare(spark, sf_dir: str, keys=None, verbose=True) -> dict[str, str]:
         try:
             df = qs[key](spark, sf_dir)
             s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+            s_types = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+            rel = con.sql(sql[key])
+            d_types = {n: duck_type(t) for n, t in zip(rel.columns, rel.types)}
             res = con.execute(sql[key])
             d_cols = [c[0] for c in res.description]
             d_rows = res.fetchall()
@@ -67,6 +85,8 @@ def compare(spark, sf_dir: str, keys=None, verbose=True) -> dict[str, str]:
             dc, dv = canon(d_cols, d_rows)
             if sc != dc:
                 status = f"COLUMNS spark={sc} duck={dc}"
+            elif s_types != d_types:
+                status = f"TYPES spark={s_types} duck={d_types}"
             elif len(sv) != len(dv):
                 status = f"ROWS spark={len(sv)} duck={len(dv)}"
             elif sv != dv:
