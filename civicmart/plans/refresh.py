@@ -1,18 +1,21 @@
 """Audit-log refresh (R1-R4): a full refresh that keeps ``log_id`` growing.
 
-Each refresh writes a new run folder ``<path>/run=<n>/`` with Spark's committer
-(a ``_SUCCESS`` marker appears only when the write has fully committed). The
-current audit log is the newest run that has the marker, so readers never see
-a half-written run, and a failed refresh leaves the previous run current. Old
-rows disappear from view by construction (only one run is current); older
-committed runs beyond ``retain`` are deleted afterwards.
+Each refresh writes a new run folder ``<path>/run=<n>/`` and, only once that
+write has committed, appends ``(run, committed_at)`` to a small commit log
+``<path>/_runs``. The current audit log is the newest logged run, so readers
+never see a half-written run, and a failed refresh leaves the previous run
+current. A run folder written but never logged (the job died in between) is
+invisible and is overwritten by the next attempt. Old rows disappear from view
+by construction (only one run is current); old run folders can be expired by
+the storage's lifecycle rules. Everything goes through Spark readers and
+writers, so it works the same on a local folder or a cluster file system.
 """
 
 from __future__ import annotations
 
 import logging
-import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from civicmart import schema as S
 
 log = logging.getLogger(__name__)
 
-_RUN = re.compile(r"^run=(\d+)$")
+RUN_LOG_SCHEMA = "run int, committed_at timestamp"
 
 
 def audit_rows(kpi: DataFrame, prev_max_id: int = 0) -> DataFrame:
@@ -39,30 +42,20 @@ def audit_rows(kpi: DataFrame, prev_max_id: int = 0) -> DataFrame:
     )
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-
-def list_runs(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    """``(run number, committed)`` of every run folder under ``path``, ascending."""
-    fs, jvm = _fs(spark, path)
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    if not fs.exists(root):
-        return []
-    runs = []
-    for status in fs.listStatus(root):
-        m = _RUN.match(status.getPath().getName())
-        if status.isDirectory() and m:
-            done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-            runs.append((int(m.group(1)), bool(done)))
-    return sorted(runs)
+def run_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The commit log ``(run, committed_at)``, or None before the first refresh."""
+    try:
+        return spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{path.rstrip('/')}/_runs")
+    except AnalysisException:
+        return None
 
 
 def current_run(spark: SparkSession, path: str) -> int | None:
-    committed = [n for n, done in list_runs(spark, path) if done]
-    return committed[-1] if committed else None
+    runs = run_log(spark, path)
+    if runs is None:
+        return None
+    latest = runs.agg(F.max("run")).first()[0]
+    return None if latest is None else int(latest)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
@@ -74,40 +67,31 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*S.AUDIT_LOG.fieldNames()).orderBy("year")
 
 
-def refresh_audit(spark: SparkSession, kpi: DataFrame, path: str, on_error: str = "keep_previous",
-                  retain: int = 2) -> int | None:
+def refresh_audit(spark: SparkSession, kpi: DataFrame, path: str,
+                  on_error: str = "keep_previous") -> int | None:
     """Write a new audit run from ``kpi`` (action); return the current run number.
 
     ``on_error='keep_previous'`` logs a failure and leaves the previous run current
     (the stand-alone job's rollback-and-continue); ``'raise'`` propagates it.
     """
+    if on_error not in ("keep_previous", "raise"):
+        raise ValueError(f"on_error must be 'keep_previous' or 'raise', got {on_error!r}")
     path = path.rstrip("/")
-    runs = list_runs(spark, path)
     previous = current_run(spark, path)
     prev_max = 0
     if previous is not None:
         row = spark.read.schema(S.AUDIT_LOG).parquet(f"{path}/run={previous}").agg(F.max("log_id")).first()
         prev_max = int(row[0] or 0)
-    n = (runs[-1][0] + 1) if runs else 1
+    n = (previous or 0) + 1
     try:
-        audit_rows(kpi, prev_max).coalesce(1).write.mode("errorifexists").parquet(f"{path}/run={n}")
+        audit_rows(kpi, prev_max).coalesce(1).write.mode("overwrite").parquet(f"{path}/run={n}")
+        # the commit point: one row appended to the run log
+        (spark.createDataFrame([(n,)], "run int").withColumn("committed_at", F.current_timestamp())
+         .coalesce(1).write.mode("append").parquet(f"{path}/_runs"))
     except Exception as exc:  # noqa: BLE001 - policy decides
         if on_error == "raise":
             raise
         log.error("audit refresh failed, keeping run %s: %s", previous, exc)
         return previous
-    _prune(spark, path, keep=retain)
     log.info("audit log refreshed: run %s, log_id after %s", n, prev_max)
     return n
-
-
-def _prune(spark: SparkSession, path: str, keep: int) -> None:
-    runs = list_runs(spark, path)
-    committed = [n for n, done in runs if done]
-    if not committed:
-        return
-    keep_from = committed[-keep] if len(committed) >= keep else committed[0]
-    fs, jvm = _fs(spark, path)
-    for n, _done in runs:
-        if n < keep_from:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/run={n}"), True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from civicmart import schema as S
 from civicmart.operators.views import yearly_kpi_view
 from civicmart.plans.job import GateError, run_batch, run_gates
-from civicmart.plans.refresh import current_run, list_runs, read_audit, refresh_audit
+from civicmart.plans.refresh import current_run, read_audit, refresh_audit, run_log
 from civicmart.sources.mart import Mart
 
 
@@ -46,7 +46,7 @@ def test_refresh_versions_and_log_id_continues(spark, scratch):
     second = read_audit(spark, path).collect()
     assert [r["log_id"] for r in second] == [3, 4]          # old rows gone, ids continue
     assert refresh_audit(spark, kpi, path) == 3
-    assert [n for n, _ in list_runs(spark, path)] == [2, 3]  # retain=2
+    assert sorted(r["run"] for r in run_log(spark, path).collect()) == [1, 2, 3]
 
 
 def test_refresh_failure_keeps_previous_or_raises(spark, scratch):
@@ -60,7 +60,7 @@ def test_refresh_failure_keeps_previous_or_raises(spark, scratch):
     assert [r["log_id"] for r in read_audit(spark, path).collect()] == [1, 2]
     with pytest.raises(Exception):
         refresh_audit(spark, boom, path, on_error="raise")
-    assert refresh_audit(spark, kpi, path) is not None
+    assert refresh_audit(spark, kpi, path) == 2   # the failed attempts' folder is reused
     assert [r["log_id"] for r in read_audit(spark, path).collect()] == [3, 4]
 
 
