@@ -54,3 +54,22 @@ def test_rank_is_planned_as_group_limit(spark, qs):
 def test_partial_aggregation_before_shuffle(spark, qs):
     p = plan(qs["by_type"](spark, SF01), "extended")
     assert "partial_count" in p
+
+
+def test_raw_scans_push_filters_and_prune_columns(spark, qs):
+    from civicmart.sources.mart import mart_from_tables
+    p = plan(mart_from_tables(spark, SF01).unemployment)
+    assert "PushedFilters: [IsNotNull(l_returnflag), IsNotNull(l_linestatus), IsNotNull(l_tax), " \
+           "EqualTo(l_returnflag,N), EqualTo(l_linestatus,O), EqualTo(l_tax,0.0)]" in p
+    assert "ReadSchema: struct<l_discount:double,l_tax:double,l_returnflag:string,l_linestatus:string," \
+           "l_shipdate:timestamp_ntz>" in p
+    dup = plan(qs["duplicate_keys"](spark, SF01))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in dup
+    orphan = plan(qs["orphan_count"](spark, SF01))
+    assert "Not(EqualTo(n_regionkey,0))" in orphan
+
+
+def test_no_cartesian_or_nested_loop_join_anywhere(spark, qs):
+    for key, q in qs.items():
+        p = plan(q(spark, SF01), "simple")
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
