@@ -39,9 +39,10 @@ def _bucket(i: Column, sizes: list[int], n_rest: int, rest_total: int) -> Column
     return expr.otherwise(rest)
 
 
-def golden_mart(spark: SparkSession, partitions: int = 8) -> Mart:
-    ids = spark.range(0, N_ROWS, numPartitions=partitions)
-    i = F.col("id")
+def golden_mart(spark: SparkSession, partitions: int = 8, copies: int = 1) -> Mart:
+    """The golden mart; ``copies`` > 1 repeats the published distribution with new keys."""
+    ids = spark.range(0, N_ROWS * copies, numPartitions=partitions * copies)
+    i = F.col("id") % F.lit(N_ROWS)
     year_expr, start = None, 0
     for y, total, _, _ in YEARS:
         cond = i < F.lit(start + total)
@@ -54,7 +55,7 @@ def golden_mart(spark: SparkSession, partitions: int = 8) -> Mart:
     type_idx = _bucket(perm, type_sizes, OTHER_TYPES, N_ROWS - sum(type_sizes))
     type_names = [n for n, _ in TOP_TYPES] + [f"Type {k:02d}" for k in range(len(TOP_TYPES) + 1, len(TOP_TYPES) + 1 + OTHER_TYPES)]
     fact = ids.select(
-        (i + F.lit(200000000)).alias("crime_id"),
+        (F.col("id") + F.lit(200000000)).alias("crime_id"),
         year_expr.cast("int").alias("year"),
         (area_idx + 1).cast("int").alias("location_id"),
         (type_idx + 100).cast("int").alias("crime_code"),
