@@ -82,9 +82,7 @@ def bind_population(lineitem: DataFrame) -> DataFrame:
 
 
 def bind_unemployment(lineitem: DataFrame) -> DataFrame:
-    selected = lineitem.where((F.col("l_returnflag") == LABOUR_AREA)
-                              & (F.col("l_linestatus") == LABOUR_AREA_TYPE)
-                              & (F.col("l_tax") == 0))
+    selected = lineitem.where(_labour_rows())
     return (selected.groupBy(F.year("l_shipdate").alias("year"))
             .agg(F.round(F.avg(F.col("l_discount") * 100), 4).alias("unemployment_rate")))
 
@@ -96,6 +94,24 @@ def _incident_base(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
     return j.join(n, j["c_nationkey"] == n["n_nationkey"], "left")
 
 
+def _labour_rows() -> Column:
+    return ((F.col("l_returnflag") == LABOUR_AREA) & (F.col("l_linestatus") == LABOUR_AREA_TYPE)
+            & (F.col("l_tax") == 0))
+
+
+def bind_measures(lineitem: DataFrame) -> DataFrame:
+    """Population and unemployment in one pass over lineitem: one row per ship year.
+
+    ``labour_rows`` counts the rows of the labour selection; a year without any
+    has no unemployment (``bind_unemployment`` would not list it).
+    """
+    labour = _labour_rows()
+    return (lineitem.groupBy(F.year("l_shipdate").alias("year"))
+            .agg(F.sum("l_quantity").cast("bigint").alias("population"),
+                 F.round(F.avg(F.when(labour, F.col("l_discount") * 100)), 4).alias("unemployment_rate"),
+                 F.count_if(labour).alias("labour_rows")))
+
+
 def bind_staging(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Natural-key shape of the fact (area_code + area_name instead of location_id)."""
     return _incident_base(orders, customer, nation).select(
