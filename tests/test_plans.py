@@ -57,8 +57,9 @@ def test_partial_aggregation_before_shuffle(spark, qs):
 
 
 def test_raw_scans_push_filters_and_prune_columns(spark, qs):
-    from civicmart.sources.mart import mart_from_tables
-    p = plan(mart_from_tables(spark, SF01).unemployment)
+    from civicmart.sources import bindings as B
+    from civicmart.sources.tables import read_table
+    p = plan(B.bind_unemployment(read_table(spark, SF01, "lineitem")))
     assert "PushedFilters: [IsNotNull(l_returnflag), IsNotNull(l_linestatus), IsNotNull(l_tax), " \
            "EqualTo(l_returnflag,N), EqualTo(l_linestatus,O), EqualTo(l_tax,0.0)]" in p
     assert "ReadSchema: struct<l_discount:double,l_tax:double,l_returnflag:string,l_linestatus:string," \
@@ -73,3 +74,11 @@ def test_no_cartesian_or_nested_loop_join_anywhere(spark, qs):
     for key, q in qs.items():
         p = plan(q(spark, SF01), "simple")
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
+
+
+def test_mart_measures_share_one_lineitem_pass(spark):
+    from civicmart.sources.mart import mart_from_tables
+    mart = mart_from_tables(spark, SF01)
+    for df in (mart.population, mart.unemployment):
+        p = plan(df, "simple")
+        assert "InMemoryTableScan" in p and "l_quantity" in p and "l_discount" in p
