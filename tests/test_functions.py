@@ -22,9 +22,10 @@ def _one_col(spark, values, typ, expr):
 
 def test_timestamp_parse_padded_unpadded_and_bad(spark):
     out = _one_col(spark, ["01/08/2020 02:05:00 PM", "1/8/2020 2:05:00 PM", "12/31/2024 11:59:59 PM",
-                           "14:05", "2020-01-08 00:00:00", "", "NA", None], "string",
+                           "14:05", "2020-01-08 00:00:00", "01/08/2020 14:05:00 PM", "13/01/2020 01:00:00 AM",
+                           "", "NA", None], "string",
                    lambda c: event_year(parse_event_ts(c)))
-    assert out == [2020, 2020, 2024, None, None, None, None, None]
+    assert out == [2020, 2020, 2024, None, None, None, None, None, None, None]
 
 
 def test_to_number_matches_coercing_parse(spark):
