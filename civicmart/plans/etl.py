@@ -3,7 +3,8 @@
 Each job reads a folder, runs the lazy operators and writes with ``write_frame``
 (actions). Outputs are parquet by default; pass ``fmt='csv'`` for header CSV.
 
-    spark-submit -m civicmart.plans.etl incidents --src raw/crime --dst out --lo 2020
+    python -m civicmart.plans.etl incidents --src raw/incidents --dst out --lo 2020
+    spark-submit --py-files civicmart.zip civicmart/plans/etl.py incidents --src ... --dst ...
 """
 
 from __future__ import annotations

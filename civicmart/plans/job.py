@@ -1,6 +1,7 @@
 """The batch job (R5): quality gates, audit refresh, verification.
 
-    spark-submit -m civicmart.plans.job --tables <folder> --audit <path> [--policy warn|fail]
+    python -m civicmart.plans.job --tables <folder> --audit <path> [--policy warn|fail]
+    spark-submit --py-files civicmart.zip civicmart/plans/job.py --mart <folder> --audit <path>
 
 Gates collect one small row each (never fact rows). Policy ``warn`` logs and
 goes on, ``fail`` raises at the first violated gate (null -> duplicate -> orphan)
