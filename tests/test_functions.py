@@ -87,3 +87,13 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert 15000 < int(big["spark.sql.shuffle.partitions"]) < 25000
     assert big["spark.sql.autoBroadcastJoinThreshold"] == str(64 << 20)
+
+
+def test_am_pm_guard_never_changes_the_parse(spark):
+    values = ["01/08/2020 02:05:00 PM", "1/8/2020 2:05:00 pm", "01/08/2020 02:05:00 Pm", "01/08/2020 02:05:00 PM ",
+              " 01/08/2020 02:05:00 PM", "2020-01-08 14:05:00", "01/08/2020 02:05:00", "PM", "", None, "x AM"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    guarded = [r[0] for r in df.select(parse_event_ts(F.col("v"))).collect()]
+    plain = [r[0] for r in df.select(F.try_to_timestamp(F.col("v"), F.lit("M/d/yyyy h:mm:ss a"))).collect()]
+    plain = [None if v in ("", "NA") else p for v, p in zip(values, plain)]
+    assert guarded == plain
