@@ -82,3 +82,22 @@ def test_mart_measures_share_one_lineitem_pass(spark):
     for df in (mart.population, mart.unemployment):
         p = plan(df, "simple")
         assert "InMemoryTableScan" in p and "l_quantity" in p and "l_discount" in p
+
+
+def test_fact_layout_adds_no_shuffle(spark):
+    from civicmart import schema as S
+    from civicmart.sources.mart import _conform, mart_from_tables
+    fact = _conform(mart_from_tables(spark, SF01).fact, S.FACT)
+    p = plan(fact.sortWithinPartitions("year", "location_id", "crime_id"), "simple")
+    assert "Exchange hashpartitioning" not in p and "Exchange rangepartitioning" not in p
+    assert "Sort [year" in p  # local sort only
+
+
+def test_read_grid_does_not_sort_or_shuffle_grid_rows(spark, tmp_path):
+    from civicmart.sources.raw import read_grid
+    folder = tmp_path / "g"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,1\ny,2\n")
+    p = plan(read_grid(spark, str(folder), max_cols=2), "simple")
+    assert "Window" not in p and "Sort [" not in p
+    assert "BroadcastHashJoin" in p  # only the per-file first ids are broadcast
