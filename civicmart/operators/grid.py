@@ -162,6 +162,16 @@ def grid_layout(grid: DataFrame, mode: str = "text", years: Sequence[int] | None
             .withColumn("header_rows", F.lit(header_rows)))
 
 
+def grid_rejects(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None) -> DataFrame:
+    """Files the cleaner cannot use: no header row, no place column or no year column.
+
+    These are the cases where the reference cleaners stop with an error; here
+    they are listed (one row per file) and the other files are cleaned.
+    """
+    usable = grid_layout(grid, mode, years).where(F.size("year_cols") > 0).select("file")
+    return rejected_files(grid, usable)
+
+
 def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None,
                     drop_empty_place: bool = True, with_file: bool = False,
                     checkpoint: bool = True) -> DataFrame:

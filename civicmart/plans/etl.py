@@ -50,14 +50,18 @@ def clean_labour_files(spark: SparkSession, src: str, dst: str, area: str, area_
 
 def clean_population_files(spark: SparkSession, src: str, dst: str, mode: str, years: Sequence[int],
                            glob: str = "*.csv", max_cols: int = 64, fmt: str = "parquet") -> DataFrame:
-    """Population sheet exports -> ``dst/long`` and ``dst/wide``; returns the rejected files."""
+    """Population sheet exports -> ``dst/long`` and ``dst/wide``; returns the files not used.
+
+    A file is not used when it has no header row, no place column or no year
+    column (see ``grid_rejects``).
+    """
     grid = read_grid(spark, src, max_cols=max_cols, glob=glob)
     long = G.population_long(grid, mode, years)
     write_frame(long, f"{dst}/long", fmt)
     reader = spark.read.schema(LONG_SCHEMA)
     written = reader.option("header", True).csv(f"{dst}/long") if fmt == "csv" else reader.parquet(f"{dst}/long")
     write_frame(G.population_wide(written, years), f"{dst}/wide", fmt)
-    return G.rejected_files(grid, G.find_header(grid, mode, years))
+    return G.grid_rejects(grid, mode, years)
 
 
 def convert_sheet_files(spark: SparkSession, src: str, dst: str, glob: str = "*.csv",

@@ -198,3 +198,15 @@ def test_load_population_and_unemployment(spark):
     assert [tuple(r) for r in M.load_population(long, "B").collect()] == [(2020, 7)]
     yearly = spark.createDataFrame([(2020.0, 4.5)], "year double, unemployment_rate double")
     assert M.load_unemployment(yearly).schema == S.UNEMPLOYMENT
+
+
+def test_grid_rejects_lists_unusable_files(spark):
+    good = [["Geographic Area", "", "2020"], ["", "", "2020"], ["Alpha", "", "1"]]
+    # the lower cell under "Geographic Area" is a year, so no column name mentions a place
+    no_geo = [["Geographic Area", "", ""], ["2020", "Base", "Total"], ["5", "1", "2"]]
+    no_years = [["Geographic Area", "Base"], ["Name", "Total"], ["Alpha", "1"]]
+    grid = _grid(spark, {"good.csv": good, "no_geo.csv": no_geo, "no_years.csv": no_years,
+                         "none.csv": [["nothing"]]})
+    rejected = sorted(r["file"] for r in G.grid_rejects(grid, "two_row", [2020]).collect())
+    assert rejected == ["no_geo.csv", "no_years.csv", "none.csv"]
+    assert sorted(tuple(r) for r in G.population_long(grid, "two_row", [2020]).collect()) == [("Alpha", 2020, 1)]
