@@ -132,7 +132,8 @@ def main(argv: list[str] | None = None) -> int:
         years = [int(y) for y in args.years.split(",")]
         rejected = clean_population_files(spark, args.src, args.dst, args.mode, years)
         if rejected.limit(1).count():
-            raise SystemExit(f"files without a header: {[r[0] for r in rejected.limit(20).collect()]}")
+            names = [r[0] for r in rejected.limit(20).collect()]
+            raise SystemExit(f"files not used (no header, place or year column): {names}")
     elif args.cmd == "sheets":
         rejected = convert_sheet_files(spark, args.src, args.dst)
         if rejected.limit(1).count():
