@@ -90,3 +90,32 @@ def test_csv_outputs_read_back_typed(spark, scratch):
     etl.clean_population_files(spark, f"{scratch}/sheets", f"{scratch}/pop", "text", [2020, 2021], fmt="csv")
     wide = spark.read.option("header", True).csv(f"{scratch}/pop/wide").collect()
     assert [tuple(r) for r in wide] == [("Alpha", "5", "6")]
+
+
+def test_etl_cli_all_subcommands(spark, scratch):
+    from civicmart.schema import LABOUR_COLUMNS
+    inc = spark.createDataFrame(
+        [("1", "01/08/2021 02:05:00 PM", "3", "Pacific", "510", "STOLEN", "34.0", "-118.0"),
+         ("2", "02/09/2021 03:05:00 AM", "3", "Pacific", "510", "STOLEN", "34.1", "-118.1")],
+        ", ".join(f"`{c}` string" for c in INCIDENT_COLUMNS))
+    write_frame(inc, f"{scratch}/inc", "csv")
+    lab = spark.createDataFrame([("W", "State", "N", "2021", "4.5"), ("W", "State", "N", "2021", "5.5")],
+                                ", ".join(f"`{c}` string" for c in LABOUR_COLUMNS))
+    write_frame(lab, f"{scratch}/lab", "csv")
+    os.makedirs(f"{scratch}/sheets")
+    with open(f"{scratch}/sheets/a.csv", "w") as fh:
+        fh.write('"Geographic Area",Base,2021\nTown,1,"1000"\n')
+    assert etl.main(["incidents", "--src", f"{scratch}/inc", "--dst", f"{scratch}/o", "--lo", "2021"]) == 0
+    assert etl.main(["labour", "--src", f"{scratch}/lab", "--dst", f"{scratch}/o/unemployment",
+                     "--area", "W", "--area-type", "State", "--lo", "2021"]) == 0
+    assert etl.main(["population", "--src", f"{scratch}/sheets", "--dst", f"{scratch}/o/pop",
+                     "--mode", "text", "--years", "2021"]) == 0
+    assert etl.main(["sheets", "--src", f"{scratch}/sheets", "--dst", f"{scratch}/o/sheets"]) == 0
+    assert etl.main(["load", "--events", f"{scratch}/o/events", "--population", f"{scratch}/o/pop/long",
+                     "--unemployment", f"{scratch}/o/unemployment", "--place", "Town",
+                     "--dst", f"{scratch}/mart"]) == 0
+    from civicmart.sources.mart import read_mart
+    mart = read_mart(spark, f"{scratch}/mart")
+    kpi = Q.yearly_kpi(mart.fact, mart.population, mart.unemployment).collect()
+    assert [(r["year"], r["total_crimes"], r["population"], r["unemployment_rate"], r["crime_rate_per_100k"])
+            for r in kpi] == [(2021, 2, 1000, 5.0, 200.0)]
