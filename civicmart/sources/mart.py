@@ -111,7 +111,10 @@ def mart_for(spark: SparkSession, sf_dir: str) -> Mart:
 
     It is written to the shared folder named by ``spark.checkpoint.dir`` (one
     folder per application and input folder), so a lost executor costs a re-read,
-    never a rebuild of the join.
+    never a rebuild of the join. This serves the query registry, which only
+    knows the input folder. A production deployment writes the mart once to a
+    durable location with ``materialize_mart`` (the load job) and every later
+    job opens it with ``read_mart``, so the fact is never copied per application.
     """
     key, target = _app_path(spark, "mart", sf_dir)
     with _LOCK:
