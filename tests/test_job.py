@@ -83,3 +83,12 @@ def test_job_entry_point_materializes_and_refreshes(spark, scratch):
     assert [r["log_id"] for r in audit] == list(range(1, len(audit) + 1)) and len(audit) == 7
     assert main(["--mart", f"{scratch}/mart", "--audit", f"{scratch}/audit", "--policy", "fail"]) == 0
     assert read_audit(spark, f"{scratch}/audit").first()["log_id"] == 8
+
+
+def test_check_sources(spark, scratch):
+    from conftest import SF001
+    from civicmart.plans.job import check_sources
+    check_sources(spark, SF001)  # passes
+    spark.read.parquet(f"{SF001}/nation.parquet").drop("n_name").write.parquet(f"{scratch}/nation.parquet")
+    with pytest.raises(ValueError, match=r"nation: missing \['n_name'\].*orders: unreadable|orders: unreadable.*nation"):
+        check_sources(spark, scratch)
