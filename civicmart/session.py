@@ -29,17 +29,33 @@ def build_session(app_name: str = "civicmart", master: str | None = None,
     return builder.getOrCreate()
 
 
+def _context(spark: SparkSession):
+    """The SparkContext in classic mode; None under Spark Connect (no context there)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect raises for sparkContext
+        return None
+
+
+def application_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder named by ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset (local tests) a folder of our
     own is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: the server's configured folder
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")

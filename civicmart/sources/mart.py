@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart import schema as S
-from civicmart.session import shared_dir
+from civicmart.session import application_id, shared_dir
 from civicmart.sources import bindings as B
 from civicmart.sources.tables import read_table
 
@@ -100,7 +100,7 @@ _LOCK = threading.Lock()
 
 
 def _app_path(spark: SparkSession, kind: str, source: str) -> tuple[tuple[str, str, str], str]:
-    app = spark.sparkContext.applicationId
+    app = application_id(spark)
     key = (kind, app, source.rstrip("/"))
     digest = hashlib.sha1(key[2].encode()).hexdigest()[:12]
     return key, f"{shared_dir(spark)}/civicmart-{kind}/{app}/{digest}"
