@@ -69,18 +69,16 @@ def year_location(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
 def location_geo(fact: DataFrame, dim_location: DataFrame, scale: int = 4) -> DataFrame:
     """V5: location_id, area_name, avg_lat, avg_lon (AVG skips NULL coordinates).
 
-    Sums and non-null counts are pre-aggregated per location, then recombined.
+    Averaged per location first (partial aggregation), then decorated. A mean
+    is unchanged by the row duplication a join could introduce, so this equals
+    averaging after the join, grouped by (location_id, area_name).
     """
     per_id = (fact.where(F.col("location_id").isNotNull()).groupBy("location_id")
-              .agg(F.sum("lat").alias("s_lat"), F.count("lat").alias("n_lat"),
-                   F.sum("lon").alias("s_lon"), F.count("lon").alias("n_lon")))
+              .agg(F.avg("lat").alias("avg_lat"), F.avg("lon").alias("avg_lon")))
     joined = per_id.join(dim_location.select("location_id", "area_name"), "location_id")
-    agg = joined.groupBy("location_id", "area_name").agg(
-        *[F.sum(c).alias(c) for c in ("s_lat", "n_lat", "s_lon", "n_lon")])
-    return agg.select(
-        "location_id", "area_name",
-        F.round(F.try_divide(F.col("s_lat"), F.col("n_lat")), scale).alias("avg_lat"),
-        F.round(F.try_divide(F.col("s_lon"), F.col("n_lon")), scale).alias("avg_lon"))
+    return joined.select("location_id", "area_name",
+                         F.round("avg_lat", scale).alias("avg_lat"),
+                         F.round("avg_lon", scale).alias("avg_lon")).distinct()
 
 
 def area_year_matrix(fact: DataFrame, dim_location: DataFrame, years: Sequence[int]) -> DataFrame:
