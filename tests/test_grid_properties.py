@@ -39,6 +39,45 @@ def brute_force_years(rows):
     return sorted(out, key=repr)
 
 
+def _rows_out(data, place_col, year_cols):
+    out = []
+    for r in data:
+        place = (r[place_col] or "").strip()
+        if place in ("", "nan"):
+            continue
+        out += [(place, year, _number(r[j])) for j, year in year_cols]
+    return sorted(out, key=repr)
+
+
+def brute_force_text_modes(rows, mode):
+    """The 'text' (positional) and 'two_row' (flattened header) rules, in plain Python."""
+    hdr = next((i for i, r in enumerate(rows[:50])
+                if any("geographic area" in (c or "").strip().lower() for c in r)), None)
+    if hdr is None:
+        return []
+    data = rows[hdr + (2 if mode == "two_row" else 1):]
+    width = len(rows[hdr])
+    kept = [j for j in range(width) if any((r[j] or "") != "" for r in data)]
+    if mode == "text":
+        names = {j: ("place" if k == 0 else "base" if k == 1 else
+                     str(YEARS[k - 2]) if k - 2 < len(YEARS) else None) for k, j in enumerate(kept)}
+    else:
+        names = {}
+        for j in kept:
+            up, lo = (rows[hdr][j] or "").strip(), (rows[hdr + 1][j] or "").strip()
+            names[j] = lo if lo.isdigit() else (up if up else lo)
+        geo = next((j for j in kept if any(k in names[j].lower() for k in ("geographic", "area", "name", "place"))), None)
+        if geo is None:
+            return []
+        names[geo] = "place"
+    place_col = next((j for j in kept if names[j] == "place"), None)
+    if place_col is None:
+        return []
+    year_cols = [(j, int(names[j])) for j in kept
+                 if names[j] and names[j].isdigit() and int(names[j]) in YEARS]
+    return _rows_out(data, place_col, year_cols)
+
+
 cell = st.one_of(st.just(""), st.integers(0, 10**6).map(str), st.sampled_from(["x", "1,5", "2.5", "3.5", " 7 "]))
 
 
@@ -70,3 +109,11 @@ def test_year_row_cleaner_matches_brute_force(spark, rows):
     grid = spark.createDataFrame([("s.csv", i, r) for i, r in enumerate(rows)], S.GRID)
     got = sorted((tuple(r) for r in G.population_long(grid, "years", YEARS, checkpoint=False).collect()), key=repr)
     assert got == brute_force_years(rows)
+
+
+@settings(max_examples=8, deadline=None)
+@given(sheets(), st.sampled_from(["text", "two_row"]))
+def test_header_text_modes_match_brute_force(spark, rows, mode):
+    grid = spark.createDataFrame([("s.csv", i, r) for i, r in enumerate(rows)], S.GRID)
+    got = sorted((tuple(r) for r in G.population_long(grid, mode, YEARS, checkpoint=False).collect()), key=repr)
+    assert got == brute_force_text_modes(rows, mode)
