@@ -70,3 +70,27 @@ def test_mart_queries_match_reference_sql(spark, rows, names):
         got = _norm([tuple(r) for r in df.collect()])
         want = _norm(con.execute(SQL[key]).fetchall())
         assert got == want, key
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.sampled_from([1, 2, 3, None, 42]), st.sampled_from([2020, None])),
+                min_size=1, max_size=50))
+def test_quality_checks_match_reference_sql(spark, rows):
+    from civicmart.operators import quality as QC
+    fact_data = [(key, y, loc, 1, "x", 0.0, 0.0) for key, loc, y in rows]
+    dim_data = [(1, 10, "A"), (2, 20, "B"), (3, 30, "C")]
+    fact = spark.createDataFrame(fact_data, S.FACT)
+    dim = spark.createDataFrame(dim_data, S.DIM_LOCATION)
+    con = duckdb.connect()
+    con.register("fact", pd.DataFrame(fact_data, columns=S.FACT.fieldNames()))
+    con.register("dim", pd.DataFrame(dim_data, columns=S.DIM_LOCATION.fieldNames()))
+    dup = _norm([tuple(r) for r in QC.duplicate_keys(fact, ["crime_id"]).collect()])
+    assert dup == _norm(con.execute(
+        "SELECT crime_id, COUNT(*) FROM fact GROUP BY crime_id HAVING COUNT(*) > 1").fetchall())
+    orphans = QC.orphan_count(fact, dim, "location_id").first()[0]
+    assert orphans == con.execute("""SELECT COUNT(*) FROM fact f
+        WHERE NOT EXISTS (SELECT 1 FROM dim l WHERE l.location_id = f.location_id)""").fetchone()[0]
+    checks = QC.fact_checks(fact, dim).first()
+    assert checks["orphan_rows"] == orphans
+    assert checks["null_year"] == sum(1 for *_, y in rows if y is None)
+    assert checks["null_location_id"] == sum(1 for _, loc, _ in rows if loc is None)
