@@ -21,6 +21,7 @@ INCIDENT_TS_FORMAT = "M/d/yyyy h:mm:ss a"
 # those are missing values for the reference's numeric coercion.
 _NUMERIC_LITERAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _INTEGER_LITERAL = r"^[+-]?[0-9]+$"
+_INFINITY_LITERAL = r"^(?i)[+-]?inf(inity)?$"
 
 
 def _col(c: Column | str) -> Column:
@@ -54,9 +55,17 @@ def event_year(ts: Column | str) -> Column:
 
 
 def to_number(c: Column | str) -> Column:
-    """String -> DOUBLE, non-numeric -> NULL (``1,234``, ``5f``, ``nan`` included)."""
-    s = F.trim(null_if_missing(c))
-    return F.when(s.rlike(_NUMERIC_LITERAL), s.try_cast("double"))
+    """String -> DOUBLE like a coercing pandas parse; non-numeric -> NULL.
+
+    Plain decimal literals may carry surrounding spaces; ``inf``/``infinity``
+    (any case, optional sign, no spaces) are infinities; ``1,234``, ``5f``,
+    ``1d`` and ``nan`` are missing.
+    """
+    raw = null_if_missing(c)
+    s = F.trim(raw)
+    return (F.when(s.rlike(_NUMERIC_LITERAL), s.try_cast("double"))
+             .when(raw.rlike(_INFINITY_LITERAL),
+                   F.when(raw.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))))
 
 
 def to_integer(c: Column | str, type_name: str = "bigint") -> Column:
@@ -68,5 +77,6 @@ def to_integer(c: Column | str, type_name: str = "bigint") -> Column:
 
 
 def round_half_even_long(c: Column | str) -> Column:
-    """Round to an integer with ties to even (2.5 -> 2, 3.5 -> 4); NULL stays NULL."""
-    return F.bround(_col(c), 0).cast("bigint")
+    """Round to an integer with ties to even (2.5 -> 2, 3.5 -> 4); NULL, infinite or
+    out-of-range values are NULL (a coercing integer conversion would raise)."""
+    return F.bround(_col(c), 0).try_cast("bigint")

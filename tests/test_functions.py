@@ -29,9 +29,12 @@ def test_timestamp_parse_padded_unpadded_and_bad(spark):
 
 
 def test_to_number_matches_coercing_parse(spark):
-    vals = ["1.5", " 12 ", "-3", "1e3", ".5", "5f", "1d", "nan", "NaN", "1,234", "abc", "", "N/A", None]
+    vals = ["1.5", " 12 ", "-3", "1e3", ".5", "5f", "1d", "nan", "NaN", "1,234", "abc", "", "N/A", None,
+            "inf", "-Infinity", " inf "]
     out = _one_col(spark, vals, "string", to_number)
-    assert out == [1.5, 12.0, -3.0, 1000.0, 0.5, None, None, None, None, None, None, None, None, None]
+    assert out == [1.5, 12.0, -3.0, 1000.0, 0.5, None, None, None, None, None, None, None, None, None,
+                   float("inf"), float("-inf"), None]
+    assert _one_col(spark, [float("inf"), 1e30], "double", round_half_even_long) == [None, None]
 
 
 def test_to_integer(spark):

@@ -49,3 +49,21 @@ def test_half_even_matches_python_round(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = [r[0] for r in df.select(round_half_even_long(F.col("v"))).collect()]
     assert got == [round(v) for v in values]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.+-eE ,xinfINF", min_size=0, max_size=8), min_size=1, max_size=60))
+def test_to_number_matches_pandas_coercion(spark, values):
+    import math
+
+    import pandas as pd
+
+    from civicmart.functions import to_number
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(to_number(F.col("v"))).collect()]
+    want = pd.to_numeric(pd.Series(values, dtype=object), errors="coerce").tolist()
+    for v, g, w in zip(values, got, want):
+        if w is None or (isinstance(w, float) and math.isnan(w)):
+            assert g is None, (v, g)
+        else:
+            assert g == float(w), (v, g, w)
