@@ -67,3 +67,28 @@ def test_to_number_matches_pandas_coercion(spark, values):
             assert g is None, (v, g)
         else:
             assert g == float(w), (v, g, w)
+
+
+@st.composite
+def stamps(draw):
+    def num(lo, hi, pad):
+        v = draw(st.integers(lo, hi))
+        return f"{v:02d}" if draw(st.booleans()) and pad else str(v)
+    sep = draw(st.sampled_from([" ", "  ", "\t", ""]))
+    edge = draw(st.sampled_from(["", "", " "]))
+    year = draw(st.sampled_from(["2020", "2024", "1999", "20", "02020"]))
+    return (f"{edge}{num(0, 13, True)}/{num(0, 32, True)}/{year}{sep}{num(0, 13, True)}:"
+            f"{num(0, 61, True)}:{num(0, 61, True)} {draw(st.sampled_from(['AM', 'PM', 'am', 'Pm', 'XM']))}")
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(stamps(), min_size=1, max_size=60))
+def test_timestamp_parse_matches_pandas(spark, values):
+    import pandas as pd
+
+    from civicmart.functions import event_year, parse_event_ts
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(event_year(parse_event_ts(F.col("v")))).collect()]
+    parsed = pd.to_datetime(pd.Series(values), format="%m/%d/%Y %I:%M:%S %p", errors="coerce")
+    want = [None if pd.isna(t) else t.year for t in parsed]
+    assert got == want, [(v, g, w) for v, g, w in zip(values, got, want) if g != w][:5]
