@@ -92,3 +92,38 @@ def test_timestamp_parse_matches_pandas(spark, values):
     parsed = pd.to_datetime(pd.Series(values), format="%m/%d/%Y %I:%M:%S %p", errors="coerce")
     want = [None if pd.isna(t) else t.year for t in parsed]
     assert got == want, [(v, g, w) for v, g, w in zip(values, got, want) if g != w][:5]
+
+
+labour_rows = st.lists(st.tuples(
+    st.sampled_from(["West", "west", "East"]), st.sampled_from(["State", "County"]), st.sampled_from(["N", "Y"]),
+    st.sampled_from(["2019", "2020", "2021", "2020.0", "x", ""]),
+    st.sampled_from(["4.5", "5", " 6 ", "n/a", "", "bad", "7.25", "inf"])), min_size=1, max_size=40)
+
+
+@settings(max_examples=10, deadline=None)
+@given(labour_rows)
+def test_labour_mean_matches_pandas(spark, rows):
+    import math
+
+    import pandas as pd
+
+    from civicmart.operators.clean import clean_labour
+    from civicmart.schema import LABOUR_COLUMNS
+    raw = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in LABOUR_COLUMNS))
+    got = {r["year"]: r["unemployment_rate"] for r in clean_labour(raw, "West", "State", "N", lo=2020).collect()}
+    # brute force with pandas: exact selection, coercion, per-year mean, window on the result
+    pdf = pd.DataFrame(rows, columns=LABOUR_COLUMNS).replace({"": None, "n/a": None})
+    pdf = pdf[(pdf["Area Name"] == "West") & (pdf["Area Type"] == "State") & (pdf["Seasonally Adjusted(Y/N)"] == "N")]
+    year = pd.to_numeric(pdf["Year"], errors="coerce")
+    rate = pd.to_numeric(pdf["Unemployment Rate"], errors="coerce")
+    means = rate.groupby(year).mean()
+    want = {int(y): m for y, m in means.items() if y >= 2020}
+    assert set(got) == set(want)
+    for y, m in want.items():
+        g = got[y]
+        if m is None or math.isnan(m):
+            assert g is None or math.isnan(g), (y, g, m)
+        elif math.isinf(m):
+            assert g == m, (y, g, m)
+        else:  # summation order may differ in the last bit
+            assert math.isclose(g, m, rel_tol=1e-12), (y, g, m)
