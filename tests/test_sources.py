@@ -95,3 +95,19 @@ def test_profile_raw_orders_rows_across_splits(spark, scratch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert prof["n_rows"] == 3000 and prof["n_columns"] == 2
     assert [x.split(",")[0] for x in prof["sample"]] == ["0", "1"]
+
+
+def test_read_raw_csv_missing_values_match_pandas(spark, scratch):
+    import pandas as pd
+    text = ('DR_NO,Crm Cd Desc,LAT,AREA NAME\n'
+            '1,"BATTERY, SIMPLE ""ASSAULT""",34.1,Central\n'
+            '2,NA,N/A,"NA"\n'
+            '3,,null,None\n'
+            '4,#N/A,nan," padded "\n')
+    _write(f"{scratch}/p/a.csv", text)
+    from civicmart.functions import null_if_missing
+    df = read_raw_csv(spark, f"{scratch}/p")
+    got = sorted(tuple(r) for r in df.select(*[null_if_missing(f"`{c}`").alias(c) for c in df.columns]).collect())
+    pdf = pd.read_csv(f"{scratch}/p/a.csv", dtype=str)
+    want = sorted(tuple(None if pd.isna(v) else v for v in row) for row in pdf.itertuples(index=False))
+    assert got == want
