@@ -21,11 +21,17 @@ from civicmart.functions.parse import (
 
 def year_window(df: DataFrame, col: str = "year", lo: int | None = 2020, hi: int | None = None) -> DataFrame:
     """Keep ``lo <= col <= hi``; a NULL year fails the comparison and is dropped."""
-    cond = F.col(col).isNotNull()
+    # Comparisons already drop NULL; IS NOT NULL is only needed without bounds.
+    conds = []
     if lo is not None:
-        cond = cond & (F.col(col) >= F.lit(lo))
+        conds.append(F.col(col) >= F.lit(lo))
     if hi is not None:
-        cond = cond & (F.col(col) <= F.lit(hi))
+        conds.append(F.col(col) <= F.lit(hi))
+    cond = F.col(col).isNotNull()
+    if conds:
+        cond = conds[0]
+        for extra in conds[1:]:
+            cond = cond & extra
     return df.where(cond)
 
 
