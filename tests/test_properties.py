@@ -78,7 +78,9 @@ def stamps(draw):
     edge = draw(st.sampled_from(["", "", " "]))
     year = draw(st.sampled_from(["2020", "2024", "1999", "20", "02020"]))
     return (f"{edge}{num(0, 13, True)}/{num(0, 32, True)}/{year}{sep}{num(0, 13, True)}:"
-            f"{num(0, 61, True)}:{num(0, 61, True)} {draw(st.sampled_from(['AM', 'PM', 'am', 'Pm', 'XM']))}")
+            f"{num(0, 61, True)}:{num(0, 59, True)} {draw(st.sampled_from(['AM', 'PM', 'am', 'Pm', 'XM']))}")
+    # seconds stop at 59: leap seconds (60, 61), which strptime accepts, are
+    # rejected here (a listed deviation)
 
 
 @settings(max_examples=10, deadline=None)
