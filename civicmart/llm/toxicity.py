@@ -8,11 +8,10 @@ keeps z and n for each coordinate; a weight is zero while |z| <= L1, and its lea
 falls with its own gradients alone, so the weights are sparse and only the non-zero ones
 are broadcast for scoring.
 
-Training: at most ``max_docs`` labelled rows (all if fewer), chosen by a hash of doc_id
-and dealt to SHARDS tasks. In each pass every task runs FTRL over its shard from the
-shared state; the changes of z and n are then summed over the shards, which bounds what
-the driver holds (SHARDS sparse states of twice ``2^BITS`` coordinates). Rows are visited in the
-order of a hash, so training repeats exactly.
+Training: at most ``max_docs`` labelled rows (all if fewer), chosen by a hash of doc_id.
+FTRL is sequential, so one task streams these rows, in the order of a hash, PASSES times;
+``max_docs`` bounds its work, and its state is the two arrays z and n. Everything else
+(features of the rows, scores of all documents) runs in as many tasks as there are.
 
 Defined results: null and empty texts have no feature and get the bias's score; null
 labels and null doc_ids are never trained on; a doc_id labelled twice trains twice;
@@ -34,8 +33,7 @@ from civicmart.llm.textmodel import LETTERS, WordHash, mixed, word_hashes
 from civicmart.llm.tokenize import batches
 
 BITS = 18
-MAX_DOCS = 20_000
-SHARDS = 4
+MAX_DOCS = 16_000
 PASSES = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
 GRAM_VALUE = 0.3
@@ -118,7 +116,7 @@ def train(rows: DataFrame, label: str = "label", max_docs: int = MAX_DOCS, bits:
                     names=["doc_id", "y", "x"])
 
     # Bounded: at most max_docs rows.
-    data = stored(known.repartition(4 * SHARDS, F.xxhash64("doc_id", "text"))
+    data = stored(known.repartition(16, F.xxhash64("doc_id", "text"))
                   .mapInArrow(featurise, "doc_id long, y int, x binary"), scratch(spark, "ftrl-rows"))
     count = {r.y: r["count"] for r in data.groupBy("y").count().collect()}
     total = sum(count.values())
@@ -126,27 +124,24 @@ def train(rows: DataFrame, label: str = "label", max_docs: int = MAX_DOCS, bits:
         return np.empty(0, np.int64), np.empty(0)
     balance = {y: (total / (2.0 * k)) ** 0.5 for y, k in count.items()}
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    dealt = data.repartition(SHARDS, F.xxhash64("doc_id")) \
-        .sortWithinPartitions(F.xxhash64(F.lit("order"), "doc_id"), "x")
+    stream = data.repartition(1).sortWithinPartitions(F.xxhash64(F.lit("order"), "doc_id"), "x")
     for _ in range(passes):
         state = spark.sparkContext.broadcast(_packed(z, n))
 
         def learn(it, state=state):
             start = np.load(io.BytesIO(state.value))
-            z0, n0 = np.zeros(size + 1), np.zeros(size + 1)
-            z0[start["at"]], n0[start["at"]] = start["z"], start["n"]
-            z1, n1 = z0.copy(), n0.copy()
+            z, n = np.zeros(size + 1), np.zeros(size + 1)
+            z[start["at"]], n[start["at"]] = start["z"], start["n"]
             for table in it:
                 ftrl(((np.frombuffer(x, "<i4").astype(np.int64), y, balance[y]) for x, y in zip(
                     table.column("x").to_pylist(), table.column("y").to_pylist(), strict=True)),
-                    z1, n1, size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_packed(z1 - z0, n1 - n0)], pa.binary())], names=["state"])
-
-        for r in dealt.select("y", "x").mapInArrow(learn, "state binary").collect():  # SHARDS rows
-            change = np.load(io.BytesIO(r.state))
-            z[change["at"]] += change["z"]
-            n[change["at"]] += change["n"]
+                    z, n, size)
+            yield pa.RecordBatch.from_arrays([pa.array([_packed(z, n)], pa.binary())],
+                                             names=["state"])
+
+        after = np.load(io.BytesIO(stream.select("y", "x").mapInArrow(learn, "state binary")
+                                   .first().state))
+        z[after["at"]], n[after["at"]] = after["z"], after["n"]
         state.destroy()
     w = weights(z, n)
     at = np.flatnonzero(w)
