@@ -14,14 +14,15 @@ shingle similarity (sum of smaller over sum of larger counts) of at least ``simi
    fingerprinted: SimHash of 64 bits over the window's shingles.
 3. *Multi-index.* Fingerprints are cut into ``radius + 1`` blocks; a window within
    ``radius`` bits of an item agrees with it on a block, so joining on (length, block
-   number, block value) and counting bits finds all of them. Hot block values are dealt over tasks by the document.
+   number, block value) and counting bits finds all of them; each window keeps
+   the set of its items. Where the benchmark is too large to broadcast, block
+   values are dealt over tasks by the document.
 4. *Exact check.* The pairs left are verified by exact weighted-shingle similarity.
 
 The radius is the one lossy choice: at similarity 0.8 a window differs from its item in
 9.7 bits on average (standard deviation 2.9), so 23 bits lie 4.6 deviations off.
 
-Broadcasts are left to Spark's size checks, except for tables proven to have at most
-BROADCAST_ROWS rows by a count. Defined results: null or empty texts and items without a word
+Benchmark tables are broadcast only if a count proves at most BROADCAST_ROWS hashes. Defined results: null or empty texts and items without a word
 match nothing; a null item_id is an item like others; rows sharing a doc_id are judged as rows each and reported once; repeated
 items are reported each; an empty table gives an empty result; other columns are not read.
 """
@@ -30,13 +31,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicmart.llm.common import scratch, stored
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 23
-BROADCAST_ROWS = 500_000  # rows of at most 40 bytes
+BROADCAST_ROWS = 2_000_000  # shingle hashes of 8 to 24 bytes
 
 
 def words(text: Column) -> Column:
@@ -92,6 +93,14 @@ def simhashes(shingles: DataFrame, keys: list[str]) -> DataFrame:
     return counted.select(*keys, "n_own", fingerprint(F.col("n_own")).alias("fp"))
 
 
+def tagged(hashes: Column) -> Column:
+    """The array with repeats told apart by their number, so that set operations count them."""
+    repeated = F.transform(hashes, lambda x, i: F.xxhash64(x, F.size(F.filter(
+        F.slice(hashes, 1, i), lambda y: y == x))))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes),
+                  F.transform(hashes, lambda x: F.xxhash64(x, F.lit(0)))).otherwise(repeated)
+
+
 def block_keys(fp: Column, radius: int) -> Column:
     n = radius + 1
     cuts = [64 * k // n for k in range(n + 1)]
@@ -99,28 +108,34 @@ def block_keys(fp: Column, radius: int) -> Column:
         F.lit((1 << (cuts[k + 1] - cuts[k])) - 1)).cast("int").alias("value")) for k in range(n)])
 
 
+RESULT = "doc_id long, item_id long, similarity double, window_start int, n_words int"
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
             similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, similarity, window_start, n_words."""
     spark = docs.sparkSession
-    items = benchmark.select("item_id", words(F.col("text")).alias("w")) \
-        .withColumn("item", F.xxhash64("item_id", "w")) \
-        .withColumn("sh", _shingles(F.transform("w", lambda w: F.xxhash64(w)), shingle)) \
-        .select("item", "item_id", F.size("sh").alias("n"), "sh", F.size("w").alias("n_words")) \
-        .where("n > 0")
+    items = stored(benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+                   .select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("wh"),
+                           F.size("w").alias("n_words"), F.least(F.size("w"), F.lit(shingle)).alias("k")),
+                   scratch(spark, "bench-words"))
+    out = spark.createDataFrame([], RESULT)
+    for r in items.select("k").distinct().orderBy("k").collect():  # at most ``shingle`` rows
+        out = out.unionByName(_matches(docs, items.where(F.col("k") == r.k), r.k, similarity, radius))
+    return out
+
+
+def _matches(docs: DataFrame, items: DataFrame, shingle: int, similarity: float, radius: int) -> DataFrame:
+    """Matches with items whose shingles have ``shingle`` words each."""
+    spark = docs.sparkSession
+    items = items.select(F.xxhash64("item_id", "wh").alias("item"), "item_id", "n_words",
+                         _shingles(F.col("wh"), shingle).alias("sh")).withColumn("n", F.size("sh"))
     items = stored(items, scratch(spark, "bench-items"))
-    item_shingles = items.select("item", "n", F.explode("sh").alias("h"))
-    weights = stored(item_shingles.distinct().groupBy("item", "n", "h").agg(F.count(F.lit(1)).alias("one"))
-                     .drop("one").join(item_shingles.groupBy("item", "h").agg(
-                         F.count(F.lit(1)).alias("weight")), ["item", "h"]),
-                     scratch(spark, "bench-shingles"))
-    n_weights = weights.count()
+    # Anchors need a shingle and the lengths of the items that hold it, not the items.
+    holders = stored(items.select(F.explode("sh").alias("h"), "n").distinct(),
+                     scratch(spark, "bench-holders"))
+    n_holders = holders.count()
     lengths = [r.n for r in items.select("n").distinct().collect()]  # distinct item lengths
-    if not lengths:
-        return docs.limit(0).select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("item_id"),
-            F.lit(None).cast("double").alias("similarity"), F.lit(None).cast("int").alias("window_start"),
-            F.lit(None).cast("int").alias("n_words"))
     stride = min(stride_for(n, similarity) for n in lengths)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
@@ -131,9 +146,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
         F.sequence(F.lit(0), last, F.lit(stride)),
         lambda p: F.struct(p.alias("p"), _shingle_at(F.col("wh"), p, shingle).alias("h")))).alias("q")) \
         .select("doc_id", "th", "q.p", "q.h")
-    # Anchors need the shingle and the lengths of the items that hold it, not the items.
-    holders = stored(weights.select("h", "n").distinct(), scratch(spark, "bench-holders"))
-    anchors = probes.join(_bounded(holders, n_weights), "h")
+    anchors = probes.join(_bounded(holders, n_holders), "h")
     found = stored(anchors.groupBy("doc_id", "th").agg(
         F.collect_set(F.struct("n", "p")).alias("at")), scratch(spark, "anchors"))
 
@@ -148,9 +161,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     starts = F.array_distinct(F.flatten(F.transform("at", lambda a: F.transform(
         F.sequence(F.greatest(a["p"] - a["n"] + 1, F.lit(0)),
                    F.least(a["p"], F.greatest(F.size("sh") - a["n"], F.lit(0)))),
-        lambda s: F.struct(a["n"].alias("n"), s.alias("start"))))))
+        lambda s: F.shiftleft(a["n"].cast("long"), 32) + s))))  # as one number: distinct by hashing
     windows = texts.withColumn("s", F.explode(starts)) \
-        .select("doc_id", "th", "s.n", "s.start", F.slice("sh", F.col("s.start") + 1, F.col("s.n")).alias("sh"))
+        .withColumn("n", F.shiftright("s", 32).cast("int")) \
+        .withColumn("start", F.col("s").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")) \
+        .select("doc_id", "th", "n", "start", F.slice("sh", F.col("start") + 1, F.col("n")).alias("sh"))
     windows = stored(windows, scratch(spark, "windows"))
 
     keys = ["doc_id", "th", "n", "start"]
@@ -163,33 +178,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     n_blocks = item_blocks.count()
     probed = prints.select(*keys, "fp", F.explode(block_keys(F.col("fp"), radius)).alias("k")) \
         .select(*keys, "fp", "k.block", "k.value")
+    on = ["n", "block", "value"]
     if n_blocks > BROADCAST_ROWS:  # block values are few: deal them by the document
         parts = 64
         probed = probed.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)))
         item_blocks = item_blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        on = ["part", "n", "block", "value"]
-    else:
-        on = ["n", "block", "value"]
+        on = ["part", *on]
     near = (probed.join(_bounded(item_blocks, n_blocks), on)
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-            .select(*keys, "item").distinct())
+            .groupBy(*keys).agg(F.collect_set("item").alias("items")))
 
-    # Exact weighted similarity of what is left; a window's own multiset of shingles.
-    own = near.join(windows, keys[1:] + ["doc_id"]) if False else near.join(
-        windows.withColumnsRenamed({k: f"_{k}" for k in keys}),
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th"))
+    # Exact weighted similarity of what is left, row by row: a window beside an item.
+    own = windows.withColumnsRenamed({k: f"_{k}" for k in keys}).join(
+        near, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th"))
         & (F.col("n") == F.col("_n")) & (F.col("start") == F.col("_start")))
-    counts = (own.select(*keys, "item", F.size("sh").alias("size"), F.explode("sh").alias("h"))
-              .groupBy(*keys, "item", "size", "h").agg(F.count(F.lit(1)).alias("times")))
-    scored = (counts.join(_bounded(weights.select("item", "h", "weight"), n_weights), ["item", "h"])
-              .groupBy(*keys, "item", "size").agg(F.sum(F.least("times", "weight")).alias("both"))
+    item_sets = stored(items.select("item", "item_id", "n_words", tagged(F.col("sh")).alias("item_sh")),
+                       scratch(spark, "bench-sets"))
+    pairs = own.select("doc_id", "n", "start", F.size("sh").alias("size"), tagged(F.col("sh")).alias("sh"),
+                       F.explode("items").alias("item")).join(_bounded(item_sets, n_holders), "item")
+    scored = (pairs.withColumn("both", F.size(F.array_intersect("sh", "item_sh")))
               .withColumn("similarity", F.col("both") / (F.col("size") + F.col("n") - F.col("both")))
               .where(F.col("similarity") >= similarity))
-    best = scored.groupBy("doc_id", "item").agg(
+    best = scored.groupBy("doc_id", "item", "item_id", "n_words").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("b"))
-    return (best.join(_bounded(items.select("item", "item_id", "n_words"), n_weights), "item")
-            .select("doc_id", F.col("item_id").cast("long").alias("item_id"), F.col("b.similarity").alias("similarity"),
-                    (-F.col("b.s")).alias("window_start"), "n_words"))
+    return best.select("doc_id", F.col("item_id").cast("long").alias("item_id"),
+                       F.col("b.similarity").alias("similarity"),
+                       (-F.col("b.s")).alias("window_start"), "n_words")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
