@@ -1,0 +1,245 @@
+"""WARC salvage, token shards and packing: round trips and brute force."""
+
+import base64
+import gzip
+import hashlib
+import io
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from civicmart.llm import packing, token_store, tokenize, warc
+from civicmart.llm.common import scratch
+from civicmart.llm.files import open_store
+
+PAGES = "page_id long, url string, html string, digest string, n string, original string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(p, f"http://x/{p}\r\nEvil: 1", h, "d", "n", "o") for p, h in rows],
+                                 PAGES).repartition(3)
+
+
+def brute_warc(rows, least=0):
+    best = {}
+    for p, h in rows:
+        if p is not None:
+            best[h or ""] = max(best.get(h or "", p), p)
+    out = []
+    for p, h in rows:
+        data = (h or "").encode()
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        top = best.get(h or "")
+        revisit = len(data) >= least and p != top
+        out.append((p, len(data), digest, "revisit" if revisit else "response",
+                    top if revisit else None))
+    return sorted(out, key=str)
+
+
+ROWS = [(1, "<p>a</p>"), (2, "<p>a</p>"), (3, None), (4, ""), (5, "é" * 70_000), (6, "WARC/1.1\r\n\r\n"),
+        (7, "\x1f\x08 not a member"), (8, "<p>a</p>"), (None, "<p>a</p>"), (None, "alone"), (9, "x\r\n\r\n" * 5)]
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_round_trip_equals_brute_force(corpus, least):
+    got = warc.warc_round_trip(pages(corpus, ROWS), least).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    want = brute_warc(ROWS, least)
+    alone = [w for w in want if w[0] is None and w[4] is None]
+    assert alone  # a null page_id without another page is its own response
+    assert sorted((tuple(r) for r in got), key=str) == want
+
+
+def test_no_pages(corpus):
+    assert warc.warc_round_trip(pages(corpus, [])).collect() == []
+
+
+def test_archives_are_readable_gzip_and_payloads_come_back(corpus):
+    folder = scratch(corpus, "t")
+    manifest = warc.write_archives(pages(corpus, ROWS), folder, archive_bytes=300)
+    store, where = open_store(folder)
+    files = [r.file for r in manifest.collect()]
+    assert len(files) > 3 and sum(r.n_records for r in manifest.collect()) == len(ROWS)
+    for f in files:
+        with store.open_input_stream(f"{where}/{f}", compression=None) as s:
+            assert gzip.decompress(s.read()).startswith(b"WARC/1.1\r\n")
+    back = warc.read_archives(corpus, manifest, folder).where("record_type = 'response'").collect()
+    payload = {r.page_id: bytes(r.payload).decode() for r in back}
+    assert payload[5] == "é" * 70_000 and payload[6] == "WARC/1.1\r\n\r\n" and payload[8] == "<p>a</p>"
+
+
+def record(k, payload):
+    return warc.record_bytes("response", k, "u", payload, warc.base32_sha1(payload), len(payload), None)
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_salvage_recovers_every_undamaged_record(plain):
+    rng = random.Random(4)
+    raw = [record(k, bytes(rng.choices(b"abc\r\n<>", k=rng.choice([0, 10, 3_000]))) + b"%d" % k)
+           for k in range(30)]
+    parts = [r if plain else warc.gzip_member(r) for r in raw]
+    hurt = {3, 4, 11, 29}
+    damaged = []
+    for k, p in enumerate(parts):
+        if k == 3:
+            p = p[:len(p) // 2] + bytes([p[len(p) // 2] ^ 255]) + p[len(p) // 2 + 1:]
+        if k == 4:
+            p = p[:-9]                      # cut short
+        if k == 11:
+            p = b"\x1f\x8b\x08 garbage WARC/1.1\r\n" + p[15:]
+        if k == 29:
+            p = p[:len(p) // 2]             # the archive's end is missing
+        damaged.append(p)
+    data = b"".join(damaged)
+    found = list(warc.salvage(io.BytesIO(data)))
+    ids = [int(f.headers["warc-record-id"][len("<urn:page:"):-1]) for f in found if f.headers]
+    assert set(range(30)) - hurt <= set(ids) and len(ids) == len(set(ids))
+    assert all(f.block.endswith(b"%d" % k) for k, f in zip(ids, [f for f in found if f.headers], strict=True))
+    # Records and gaps cover the file without overlap.
+    assert found[0].at == 0 and found[-1].end == len(data)
+    assert all(a.end == b.at for a, b in zip(found, found[1:], strict=False))
+    assert any(f.reason for f in found)
+
+
+def test_salvage_of_garbage_and_of_nothing():
+    assert list(warc.salvage(io.BytesIO(b""))) == []
+    only = list(warc.salvage(io.BytesIO(b"\x1f\x8b\x08" * 1000)))
+    assert len(only) == 1 and (only[0].at, only[0].end) == (0, 3000) and only[0].headers is None
+
+
+def test_false_length_and_digest_are_quarantined():
+    good, bad = record(1, b"fine"), record(2, b"evil").replace(b"evil", b"evxl")
+    long = record(3, b"long").replace(b"Content-Length: 4", b"Content-Length: 99999999999")
+    found = list(warc.salvage(io.BytesIO(bad + good + long + good)))
+    assert [f.headers is not None for f in found] == [False, True, False, True]
+
+
+def test_gap_rows_name_file_and_bytes(corpus):
+    folder = scratch(corpus, "t")
+    store, where = open_store(folder)
+    store.create_dir(where, recursive=True)
+    with store.open_output_stream(f"{where}/a.warc", compression=None) as out:
+        out.write(b"noise" + record(1, b"x"))
+    files = corpus.createDataFrame([("a.warc",)], "file string")
+    rows = warc.read_archives(corpus, files, folder).orderBy("at").collect()
+    assert (rows[0].reason, rows[0].at, rows[0].gap_end, rows[0].file) == ("no version line", 0, 5, "a.warc")
+    assert rows[1].page_id == 1 and rows[1].reason is None
+
+
+# --- tokens -------------------------------------------------------------------------
+
+TEXTS = [None, "", " ", "a", "two  spaces and   three", "line\nbreak \n end ", "tab\tand nbsp x",
+         "Émile's don't 12 3456 !!! --- <|endoftext|> ", "x" * 5_000, "word " * 3_000, " lead", "trail ",
+         "a ᠎ b   c", "\x1c \x1d x", "日本 語 text", "\n \n x"]
+
+
+def plain_ids(texts):
+    t = tokenize.Encoder(tokenize.default_tokenizer()).tokenizer
+    return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
+def test_cached_encoding_equals_the_library():
+    rng = random.Random(6)
+    texts = TEXTS + ["".join(rng.choices(" \n\t ᠎ab'sé1.", k=60)) for _ in range(300)]
+    enc = tokenize.Encoder(tokenize.default_tokenizer())
+    assert [a.tolist() for a in enc.encode(texts)] == plain_ids(texts)
+    enc.cache, tokenize.CACHE_PIECES, keep = {}, 50, tokenize.CACHE_PIECES
+    try:
+        got = [a.tolist() for t in texts for a in enc.encode([t])]
+    finally:
+        tokenize.CACHE_PIECES = keep
+    assert got == plain_ids(texts)
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_token_store_equals_brute_force(corpus, frame):
+    rows = [(i * 3 - 7, t) for i, t in enumerate(TEXTS)] + [(2, "again"), (2, "again"), (2, "and again"), (None, "no key")]
+    ordered = sorted(((d, t or "") for d, t in rows if d is not None))
+    want, at = [], 0
+    for d, ids in zip([d for d, _ in ordered], plain_ids([t for _, t in ordered]), strict=True):
+        ids = [*ids, 0]
+        want.append((d, at, len(ids), crc(ids)))
+        at += len(ids)
+    got = token_store.token_store(frame(rows), rows_per_shard=4)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_token_store_of_an_empty_table(frame):
+    assert token_store.token_store(frame([])).collect() == []
+
+
+def test_foreign_keys_are_refused_and_damage_is_noticed():
+    keys = np.array(sorted(random.Random(1).sample(range(10**12), 3_000)), np.int64)
+    mph = token_store.PerfectHash.of(keys)
+    assert sorted(mph.slots(keys).tolist()) == list(range(3_000))
+    lengths = np.arange(1, 3_001)
+    offsets = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    body = token_store.index_bytes(keys, np.ones(3_000, np.int64), offsets, lengths, 2)
+    ids = np.arange(lengths.sum()) % 60_000
+    shard = token_store.Shard(io.BytesIO(body + ids.astype("<u2").tobytes()))
+    slots = shard.lookup(keys)
+    (at, got), = shard.documents(int(slots[1_234]))
+    assert at == offsets[1_234] and got.tolist() == ids[at:at + 1_235].tolist()
+    strange = np.setdiff1d(np.arange(50_000, dtype=np.int64), keys)
+    assert (shard.lookup(strange) >= 0).sum() == 0
+    with pytest.raises(ValueError):
+        token_store.Shard(io.BytesIO(body[:40] + b"?" + body[41:]))
+
+
+# --- packing ------------------------------------------------------------------------
+
+def check_packed(rows, docs, capacity):
+    ids = {d: [*i, 0] for (d, _), i in zip(docs, plain_ids([t for _, t in docs]), strict=True)}
+    by_doc, bins = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert by_doc.keys() == ids.keys()
+    for d, pieces in by_doc.items():
+        pieces.sort(key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces)))
+        at = 0
+        for k, r in enumerate(pieces):
+            assert r.start == at and r.ids_crc32 == crc(ids[d][at:at + r.length])
+            assert r.length == capacity or k == 0
+            at += r.length
+        assert at == len(ids[d])
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def test_packing_is_whole_gapless_and_tight(corpus, frame):
+    rng = random.Random(8)
+    docs = [(i, "ab " * rng.randint(0, 90)) for i in range(400)] + [(1_000 + i, t) for i, t in enumerate(TEXTS)]
+    rows = packing.best_fit(frame(docs), capacity=128, open_bins=16, pieces_per_task=150).collect()
+    n = check_packed(rows, docs, 128)
+    assert n <= 1.12 * sum(r.length for r in rows) / 128
+
+
+def test_packing_defaults_and_edges(frame):
+    docs = [(i, t) for i, t in enumerate(TEXTS)]
+    check_packed(packing.best_fit(frame(docs)).collect(), docs, 2048)
+    assert packing.best_fit(frame([])).collect() == []
+    repeated = packing.best_fit(frame([(1, "x"), (1, "x"), (None, "x")])).collect()
+    assert len(repeated) == 3 and len({(r.sequence_id, r.offset) for r in repeated}) == 3
+
+
+def test_the_fullest_bin_closes_first():
+    bins = packing.BestFit(10, 2)
+    assert [bins.place(n) for n in (6, 7, 10, 8, 4, 2)] == [(0, 0), (1, 0), (2, 0), (3, 0), (0, 6), (3, 8)]
+    # 8 found both bins open: the one holding 7 (the fullest) closed, so 4 still meets 6.
+
+
+def test_cut_points():
+    assert packing.cut_points(5, 4) == [(0, 1), (1, 4)] and packing.cut_points(8, 4) == [(0, 4), (4, 4)]
+    assert packing.cut_points(1, 4) == [(0, 1)]
