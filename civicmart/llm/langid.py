@@ -33,10 +33,10 @@ from civicmart.llm.textmodel import LETTERS
 from civicmart.llm.tokenize import batches
 
 MAX_DOCS = 10_000
-MAX_WORDS = 100_000
+MAX_WORDS = 200_000
 MAX_GRAMS = 20_000
 ORDERS = (5, 4, 3, 2, 1)
-CACHE = 200_000
+CACHE = 400_000  # unseen words remembered by a worker
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -83,20 +83,34 @@ class Model:
 
     def __init__(self, langs: list[str], tables: dict[int, dict[str, np.ndarray]]) -> None:
         self.langs, self.tables = langs, tables
-        self.cache: dict[str, np.ndarray] = {}
         self.unknown = np.zeros(len(langs))
-
-    def word(self, word: str) -> np.ndarray:
-        """Log-probability of a word for each language: itself, else by backoff."""
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
-        score = self.cache.get(word)
-        if score is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            score = self.cache[word] = self._backoff(word)
-        return score
+        self._forget()
+
+    def _forget(self) -> None:
+        """Rows of known words first; rows of unseen words are added as they come."""
+        words = self.tables.get(0, {})
+        self.known = len(words)
+        self.place = {w: k for k, w in enumerate(words)}
+        self.rows = np.zeros((self.known + CACHE, len(self.langs)))
+        if words:
+            self.rows[:self.known] = np.stack(list(words.values()))
+
+    def _places(self, words) -> list[int]:
+        """Row of each word's log-probabilities: itself if known, else by backoff."""
+        if len(self.place) + len(words) > self.known + CACHE:
+            self._forget()
+        place = self.place
+        out = []
+        for word in words:
+            at = place.get(word)
+            if at is None:
+                at = len(place)
+                if at == len(self.rows):  # a text of more unseen words than are remembered
+                    self.rows = np.concatenate([self.rows, np.zeros((CACHE, len(self.langs)))])
+                place[word] = at
+                self.rows[at] = self._backoff(word)
+            out.append(at)
+        return out
 
     def _backoff(self, word: str) -> np.ndarray:
         # Longest n-grams first; stretches they don't cover are tried at the next order.
@@ -126,11 +140,9 @@ class Model:
         words = Counter(LETTERS.findall(text.lower())) if text else None
         if not words or not self.langs:
             return "und", 0.0
-        total, n = np.zeros(len(self.langs)), 0
-        for word, k in words.items():
-            total += k * self.word(word)
-            n += k
-        total = (total - total.max()) / np.sqrt(n)
+        times = np.fromiter(words.values(), dtype=float, count=len(words))
+        total = times @ self.rows[self._places(words)]
+        total = (total - total.max()) / np.sqrt(times.sum())
         p = np.exp(total)
         best = int(p.argmax())
         return self.langs[best], float(p[best] / p.sum())

@@ -22,6 +22,7 @@ are not read.
 from __future__ import annotations
 
 import io
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,15 @@ def ftrl(rows, z: np.ndarray, n: np.ndarray, bias_at: int) -> None:
         n[i] += g * g
 
 
+def _squeezed(coords: np.ndarray) -> bytes:
+    """Sorted coordinates as compressed steps: a few bytes a feature in the stored rows."""
+    return zlib.compress(np.diff(coords, prepend=0).astype("<i4").tobytes(), 1)
+
+
+def _coords(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), "<i4").astype(np.int64))
+
+
 def _packed(z: np.ndarray, n: np.ndarray) -> bytes:
     out = io.BytesIO()
     at = np.flatnonzero((z != 0) | (n != 0))
@@ -97,34 +107,34 @@ def _packed(z: np.ndarray, n: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def train(rows: DataFrame, label: str = "label", max_docs: int = MAX_DOCS, bits: int = BITS,
+def train(rows: DataFrame, label: str = "label", bits: int = BITS,
           passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
     """Non-zero coordinates and weights (the last coordinate, 2 * 2^bits, is the bias)."""
     spark = rows.sparkSession
     size = 2 << bits
     known = rows.where(f"{label} IS NOT NULL AND doc_id IS NOT NULL")
-    known = sampled(known, max_docs, "toxicity").select("doc_id", "text", F.col(label).cast("int").alias("y"))
+    known = known.select("doc_id", "text", F.col(label).cast("int").alias("y"))
 
     def featurise(it):
         cache = WordHash()
         for table in it:
             for part in batches(table, 256):
-                got = [features(t, cache, bits).astype("<i4").tobytes()
+                got = [_squeezed(features(t, cache, bits))
                        for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("y"), pa.array(got, pa.binary())],
                     names=["doc_id", "y", "x"])
 
-    # Bounded: at most max_docs rows.
-    data = stored(known.repartition(16, F.xxhash64("doc_id", "text"))
-                  .mapInArrow(featurise, "doc_id long, y int, x binary"), scratch(spark, "ftrl-rows"))
+    # Where the rows are: texts aren't shuffled. The caller bounds the rows.
+    data = stored(known.mapInArrow(featurise, "doc_id long, y int, x binary"), scratch(spark, "ftrl-rows"))
     count = {r.y: r["count"] for r in data.groupBy("y").count().collect()}
     total = sum(count.values())
     if not total:
         return np.empty(0, np.int64), np.empty(0)
     balance = {y: (total / (2.0 * k)) ** 0.5 for y, k in count.items()}
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    stream = data.repartition(1).sortWithinPartitions(F.xxhash64(F.lit("order"), "doc_id"), "x")
+    # No shuffle in a pass: one task reads the stored rows and sorts them.
+    stream = data.coalesce(1).sortWithinPartitions(F.xxhash64(F.lit("order"), "doc_id"), "x")
     for _ in range(passes):
         state = spark.sparkContext.broadcast(_packed(z, n))
 
@@ -133,7 +143,7 @@ def train(rows: DataFrame, label: str = "label", max_docs: int = MAX_DOCS, bits:
             z, n = np.zeros(size + 1), np.zeros(size + 1)
             z[start["at"]], n[start["at"]] = start["z"], start["n"]
             for table in it:
-                ftrl(((np.frombuffer(x, "<i4").astype(np.int64), y, balance[y]) for x, y in zip(
+                ftrl(((_coords(x), y, balance[y]) for x, y in zip(
                     table.column("x").to_pylist(), table.column("y").to_pylist(), strict=True)),
                     z, n, size)
             yield pa.RecordBatch.from_arrays([pa.array([_packed(z, n)], pa.binary())],
@@ -175,7 +185,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Da
     # At most about max_docs labels: a proven bound for the broadcast.
     chosen = sampled(learn.where("label IS NOT NULL"), max_docs, "toxicity-labels")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    at, w = train(rows, max_docs=2 * max_docs)
+    at, w = train(rows)
     return score(docs, at, w).select(
         "doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
