@@ -13,6 +13,7 @@ to make a check cheaper. LIMIT appears only where it is the feature (the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,14 @@ from civicmart.operators import model as M
 from civicmart.operators import quality as QC
 from civicmart.operators import queries as Q
 from civicmart.operators import views as V
-from civicmart.plans.refresh import audit_rows
+from civicmart.plans.etl import clean_incident_files
+from civicmart.plans.refresh import audit_rows, read_audit, refresh_audit
+from civicmart.schema import LABOUR_COLUMNS
+from civicmart.session import shared_dir
 from civicmart.sources import bindings as B
-from civicmart.sources.mart import mart_for, staging_for
+from civicmart.sources.mart import keyed_dim_for, mart_for, read_staging, staging_for
+from civicmart.sources.raw import profile_raw, read_grid, read_raw_csv
+from civicmart.sources.sinks import CSV_OPTIONS, write_frame
 from civicmart.sources.tables import read_table
 
 # Fixed values of this data binding (the reference uses 2020-2024, 2022, 6000 / 5000).
@@ -34,6 +40,7 @@ YEARS = B.BOUND_YEARS
 SAMPLE_YEAR = 1998
 HIGH, MEDIUM = 1020, 900
 WINDOW = (1995, 2000)
+PLACE = "FRANCE"
 NULL_COLS = ["year", "location_id", "crime_code", "crime_desc", "lat", "lon"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,12 +72,49 @@ def _keyed_dim(spark: SparkSession, d: str) -> DataFrame:
     return M.build_dim_location(M.extract_locations(_staging(spark, d)))
 
 
-def _orphan_dim(spark: SparkSession, d: str) -> DataFrame:
-    # The test data has no orphans, so the orphan checks run the whole fact
-    # against a location dimension that lacks region 0's areas (an incomplete
-    # dimension); incidents of those areas are the orphans to count.
-    nation = read_table(spark, d, "nation").where(F.col("n_regionkey") != 0)
-    return B.bind_dim_location(nation)
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/civicmart-{name}-{uuid.uuid4().hex}"
+
+
+def _csv_incidents(spark: SparkSession, d: str) -> DataFrame:
+    """Raw incidents to CSV, the file job over them, and its CSV output read as staging."""
+    src, dst = _folder(spark, "raw-incidents"), _folder(spark, "incidents")
+    write_frame(B.render_raw_incidents(*_tables(spark, d, "orders", "customer", "nation")), src, "csv")
+    clean_incident_files(spark, src, dst, *WINDOW, fmt="csv")
+    return read_staging(spark, f"{dst}/events", "csv")
+
+
+def _csv_labour(spark: SparkSession, d: str) -> DataFrame:
+    """Raw labour rows to CSV, read back by name and cleaned."""
+    src = _folder(spark, "raw-labour")
+    write_frame(B.render_raw_labour(read_table(spark, d, "lineitem")), src, "csv")
+    return C.clean_labour(read_raw_csv(spark, src, LABOUR_COLUMNS), B.LABOUR_AREA, B.LABOUR_AREA_TYPE,
+                          "N", lo=WINDOW[0], scale=4)
+
+
+def _csv_population(spark: SparkSession, d: str) -> DataFrame:
+    """One headerless CSV folder per sheet, read as grids of whole width and cleaned."""
+    src = _folder(spark, "sheets")
+    grid = _grid(spark, d)
+    width = grid.agg(F.max(F.size("cells"))).first()[0]
+    (grid.repartition("file").sortWithinPartitions("file", "row_idx")
+     .select("file", *[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(width)])
+     .write.partitionBy("file").options(**CSV_OPTIONS).option("header", False).csv(src))
+    return G.population_long(read_grid(spark, f"{src}/*"), "text", YEARS)
+
+
+def _csv_profile(spark: SparkSession, d: str) -> DataFrame:
+    """The raw incident files' rows and width, summed over the files Spark wrote."""
+    src = _folder(spark, "raw-profile")
+    write_frame(B.render_raw_incidents(*_tables(spark, d, "orders", "customer", "nation")), src, "csv")
+    return profile_raw(spark, src).agg(F.sum("n_rows").alias("n_rows"), F.max("n_columns").alias("n_columns"))
+
+
+def _audit_refreshes(spark: SparkSession, d: str) -> DataFrame:
+    path = _folder(spark, "audit")
+    for kpi in (_kpi(spark, d), _kpi(spark, d).limit(0), _kpi(spark, d)):
+        refresh_audit(spark, kpi, path, on_error="raise")
+    return read_audit(spark, path).withColumn("refreshed", F.col("refreshed_at").isNotNull()).drop("refreshed_at")
 
 
 def queries() -> dict[str, Query]:
@@ -88,7 +132,7 @@ def queries() -> dict[str, Query]:
         "areas_above_avg_having": lambda s, d: Q.areas_above_average(mf(s, d).fact, mf(s, d).dim_location, "name"),
         "areas_above_avg_theta": lambda s, d: Q.areas_above_average(mf(s, d).fact, mf(s, d).dim_location, "id"),
         "intensity_level": lambda s, d: Q.intensity_by_year(_kpi(s, d), HIGH, MEDIUM),
-        "annual_variation_inline": lambda s, d: Q.annual_variation_sql(_kpi(s, d)),
+        "annual_variation_inline": lambda s, d: Q.annual_variation_inline(_kpi(s, d)),
         "annual_variation_cte": lambda s, d: Q.annual_variation(_kpi(s, d)),
         "area_by_year": lambda s, d: Q.area_by_year(mf(s, d).fact, mf(s, d).dim_location),
         "top_type_per_area": lambda s, d: Q.top_type_per_area(mf(s, d).fact, mf(s, d).dim_location),
@@ -108,8 +152,10 @@ def queries() -> dict[str, Query]:
         "duplicate_key_count": lambda s, d: QC.duplicate_key_count(read_table(s, d, "lineitem"),
                                                                    ["l_orderkey", "l_linenumber"]),
         "fact_duplicate_keys": lambda s, d: QC.duplicate_keys(mf(s, d).fact, ["crime_id"]),
-        "orphan_count": lambda s, d: QC.orphan_count(mf(s, d).fact, _orphan_dim(s, d), "location_id"),
-        "gate_checks": lambda s, d: QC.fact_checks(mf(s, d).fact, _orphan_dim(s, d)),
+        "orphan_count": lambda s, d: QC.orphan_count(*_tables(s, d, "documents", "labels"), "doc_id",
+                                                     alias="orphan_documents"),
+        "fact_orphan_count": lambda s, d: QC.orphan_count(mf(s, d).fact, mf(s, d).dim_location, "location_id"),
+        "gate_checks": lambda s, d: QC.fact_checks(mf(s, d).fact, mf(s, d).dim_location),
         "constraint_report": lambda s, d: M.constraint_report(*mf(s, d)),
         "audit_log": lambda s, d: audit_rows(_kpi(s, d), 0).drop("refreshed_at"),
         # Cleaning (C1-C9) on rendered raw rows
@@ -127,5 +173,16 @@ def queries() -> dict[str, Query]:
         # Model building (M1-M3)
         "dim_time": lambda s, d: M.build_dim_time(mf(s, d).fact, *WINDOW),
         "dim_location_keyed": _keyed_dim,
-        "fact_load": lambda s, d: M.load_fact(_staging(s, d), _keyed_dim(s, d)),
+        "fact_load": lambda s, d: M.load_fact(_staging(s, d), keyed_dim_for(s, d)),
+        # M4, M5: the yearly measures with their tables' types
+        "load_population": lambda s, d: M.load_population(
+            G.population_long(_grid(s, d), "years", YEARS), PLACE),
+        "load_unemployment": lambda s, d: M.load_unemployment(mf(s, d).unemployment),
+        # Two refreshes, an empty one in between; ids go on
+        "audit_refreshes": _audit_refreshes,
+        # File to file: rendered tables written as CSV, read by the file readers, cleaned
+        "csv_incidents": _csv_incidents,
+        "csv_labour": _csv_labour,
+        "csv_population": _csv_population,
+        "csv_profile": _csv_profile,
     }

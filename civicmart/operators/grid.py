@@ -37,7 +37,8 @@ from civicmart.session import shared_dir
 # Fixed values used by the reference cleaners.
 HEADER_NEEDLE = "geographic area"
 GEO_KEYWORDS = ["geographic", "area", "name", "place"]
-TEXT_SCAN_ROWS = 50
+TEXT_SCAN_ROWS = 60
+CONVERTER_SCAN_ROWS = 50
 YEARS_SCAN_ROWS = 80
 
 _DIGITS = r"^[0-9]+$"
@@ -51,25 +52,21 @@ def _is_empty(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
-def _per_file(df: DataFrame) -> DataFrame:
-    """Broadcast a per-file table (one row per file, or per file and column).
-
-    Its size is bounded by the folder listing times the sheet width, which the
-    driver already holds as the file index, never by the number of grid rows.
-    Broadcasting it keeps grid rows from being shuffled by file, where one
-    large sheet would otherwise land in a single task.
-    """
-    return F.broadcast(df)
-
-
 def normalize_header(c: Column) -> Column:
     """Newline -> space, then strip."""
     return F.trim(F.regexp_replace(_text(c), "\n", " "))
 
 
 def find_header(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None,
-                needle: str = HEADER_NEEDLE, scan_rows: int | None = None) -> DataFrame:
-    """``(file, header_row)`` for every file with a header inside ``scan_rows``."""
+                needle: str = HEADER_NEEDLE, scan_rows: int | None = None,
+                header_row: int | None = None) -> DataFrame:
+    """``(file, header_row)`` for every file with a header inside ``scan_rows``.
+
+    ``header_row`` states the position instead, for sheets whose header is at a fixed place.
+    """
+    if header_row is not None:
+        return (grid.where(F.col("row_idx") == header_row).select("file").distinct()
+                .withColumn("header_row", F.lit(int(header_row))))
     if mode in ("text", "two_row"):
         limit = TEXT_SCAN_ROWS if scan_rows is None else scan_rows
         hit = F.exists("cells", lambda c: F.contains(F.lower(F.trim(_text(c))), F.lit(needle.lower())))
@@ -92,12 +89,12 @@ def rejected_files(grid: DataFrame, header: DataFrame) -> DataFrame:
 
 def _data_rows(grid: DataFrame, header: DataFrame, header_rows: int) -> DataFrame:
     last = header.select("file", (F.col("header_row") + (header_rows - 1)).alias("_last"))
-    return grid.join(_per_file(last), "file").where(F.col("row_idx") > F.col("_last")).drop("_last")
+    return grid.join(last, "file").where(F.col("row_idx") > F.col("_last")).drop("_last")
 
 
 def _header_cells(grid: DataFrame, header: DataFrame, offset: int, alias: str) -> DataFrame:
     at = header.select("file", (F.col("header_row") + offset).alias("row_idx"))
-    return (grid.join(_per_file(at), ["file", "row_idx"])
+    return (grid.join(at, ["file", "row_idx"])
             .select("file", F.posexplode("cells").alias("col_idx", alias)))
 
 
@@ -123,13 +120,13 @@ def _names(grid: DataFrame, header: DataFrame, kept: DataFrame, mode: str,
         name = (F.when(F.col("col_idx") == 0, F.lit("place"))
                  .when((F.col("col_idx") == 1) & ~label.rlike(_DIGITS), F.lit("base"))
                  .otherwise(label))
-        return cells.select("file", "col_idx", name.alias("name")).join(_per_file(kept), ["file", "col_idx"])
+        return cells.select("file", "col_idx", name.alias("name")).join(kept, ["file", "col_idx"])
     if mode == "two_row":
         upper = _header_cells(grid, header, 0, "upper")
         lower = _header_cells(grid, header, 1, "lower")
         u, lo_ = F.trim(_text(F.col("upper"))), F.trim(_text(F.col("lower")))
         flat = F.when(lo_.rlike(_DIGITS), lo_).when(u != "", u).otherwise(lo_)
-        named = (upper.join(_per_file(lower), ["file", "col_idx"]).join(_per_file(kept), ["file", "col_idx"])
+        named = (upper.join(lower, ["file", "col_idx"]).join(kept, ["file", "col_idx"])
                  .select("file", "col_idx", flat.alias("name")))
         low = F.lower(F.col("name"))
         is_geo = F.lit(False)
@@ -144,37 +141,45 @@ def _names(grid: DataFrame, header: DataFrame, kept: DataFrame, mode: str,
 
 
 def grid_layout(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None,
-                header: DataFrame | None = None) -> DataFrame:
-    """Per file: header_row, place_idx and the sorted ``(col_idx, year)`` year cells."""
-    header = find_header(grid, mode, years) if header is None else header
+                header: DataFrame | None = None, scan_rows: int | None = None,
+                header_row: int | None = None) -> DataFrame:
+    """Per file: header_row, place_idx and the sorted ``(col_idx, year)`` year cells.
+
+    ``years`` locates the header of ``years`` mode and names the columns of ``text`` mode;
+    elsewhere every all-digit column is a year column, listed or not.
+    """
+    if header is None:
+        header = find_header(grid, mode, years, scan_rows=scan_rows, header_row=header_row)
     header_rows = 2 if mode == "two_row" else 1
     data = _data_rows(grid, header, header_rows)
     names = _names(grid, header, kept_columns(data), mode, years)
     is_year = F.col("name").rlike(_DIGITS)
-    if years:
-        is_year = is_year & F.col("name").isin([str(int(y)) for y in years])
+    if mode == "text":
+        is_year = is_year & F.col("name").isin([str(int(y)) for y in years or []])
     layout = names.groupBy("file").agg(
         F.min(F.when(F.col("name") == "place", F.col("col_idx"))).alias("place_idx"),
         F.array_sort(F.collect_list(F.when(is_year, F.struct(
             F.col("col_idx").alias("col_idx"), F.col("name").cast("int").alias("year"))))).alias("year_cols"))
-    return (header.join(_per_file(layout), "file")
+    return (header.join(layout, "file")
             .where(F.col("place_idx").isNotNull())
             .withColumn("header_rows", F.lit(header_rows)))
 
 
-def grid_rejects(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None) -> DataFrame:
+def grid_rejects(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None,
+                 header_row: int | None = None) -> DataFrame:
     """Files the cleaner cannot use: no header row, no place column or no year column.
 
     These are the cases where the reference cleaners stop with an error; here
     they are listed (one row per file) and the other files are cleaned.
     """
-    usable = grid_layout(grid, mode, years).where(F.size("year_cols") > 0).select("file")
+    usable = grid_layout(grid, mode, years, header_row=header_row).where(F.size("year_cols") > 0).select("file")
     return rejected_files(grid, usable)
 
 
 def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None,
                     drop_empty_place: bool = True, with_file: bool = False,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True, scan_rows: int | None = None,
+                    header_row: int | None = None) -> DataFrame:
     """``(place, year, population)`` for every data row and year column.
 
     The grid is consumed four times (header search, column emptiness, header
@@ -185,8 +190,8 @@ def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] |
     if checkpoint:
         shared_dir(grid.sparkSession)
         grid = grid.checkpoint(eager=True)
-    layout = grid_layout(grid, mode, years)
-    data = grid.join(_per_file(layout), "file").where(
+    layout = grid_layout(grid, mode, years, scan_rows=scan_rows, header_row=header_row)
+    data = grid.join(layout, "file").where(
         F.col("row_idx") > F.col("header_row") + F.col("header_rows") - 1)
     place = F.trim(_text(F.try_element_at("cells", (F.col("place_idx") + 1).cast("int"))))
     rows = data.select("file", "cells", place.alias("place"), F.explode("year_cols").alias("yc"))
@@ -207,7 +212,7 @@ def population_wide(long: DataFrame, years: Sequence[int]) -> DataFrame:
     return wide.select("place", *[F.col(str(y)) for y in years])
 
 
-def sheet_cells(grid: DataFrame, scan_rows: int = TEXT_SCAN_ROWS,
+def sheet_cells(grid: DataFrame, scan_rows: int = CONVERTER_SCAN_ROWS,
                 checkpoint: bool = True) -> DataFrame:
     """The sheet converter's clean output in long form ``(file, row_idx, name, value)``.
 
@@ -222,11 +227,11 @@ def sheet_cells(grid: DataFrame, scan_rows: int = TEXT_SCAN_ROWS,
     header = find_header(grid, "text", scan_rows=scan_rows)
     data = _data_rows(grid, header, 1)
     kept = kept_columns(data)
-    names = (_header_cells(grid, header, 0, "raw").join(_per_file(kept), ["file", "col_idx"])
+    names = (_header_cells(grid, header, 0, "raw").join(kept, ["file", "col_idx"])
              .select("file", "col_idx", normalize_header(F.col("raw")).alias("name")))
     first = names.groupBy("file").agg(F.min("col_idx").alias("first_idx"))
-    rows = data.join(_per_file(first), "file").where(
+    rows = data.join(first, "file").where(
         ~_is_empty(F.try_element_at("cells", (F.col("first_idx") + 1).cast("int"))))
     cells = rows.select("file", "row_idx", F.posexplode("cells").alias("col_idx", "value"))
-    return (cells.join(_per_file(names), ["file", "col_idx"])
+    return (cells.join(names, ["file", "col_idx"])
             .select("file", "row_idx", "col_idx", "name", "value"))

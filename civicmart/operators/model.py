@@ -30,14 +30,20 @@ def build_dim_location(locations: DataFrame) -> DataFrame:
 
 
 def load_fact(staging: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """M3: look up ``location_id`` by area_code; unknown codes keep NULL (orphans)."""
-    dim = dim_location.select("area_code", "location_id")
-    joined = staging.join(dim, "area_code", "left")
+    """M3: look up ``location_id`` by area_code; unknown codes keep NULL (orphans).
+
+    The name belongs to the key: a code with two names has two dimension rows, and a
+    staging row meets one of them, so rows are never multiplied.
+    """
+    dim = dim_location.select(F.col("area_code").alias("_code"), F.col("area_name").alias("_name"),
+                              "location_id").dropDuplicates(["_code", "_name"])
+    joined = staging.join(dim, (F.col("area_code") == F.col("_code"))
+                          & F.col("area_name").eqNullSafe(F.col("_name")), "left")
     return joined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.FACT.fields])
 
 
 def load_population(long: DataFrame, place: str) -> DataFrame:
-    """M4: the yearly population of one place."""
+    """M4: the yearly population of one place (two rows for a year fail ``pk_unique(year)``)."""
     return long.where(F.col("place") == F.lit(place)).select(
         F.col("year").cast("int").alias("year"), F.col("population").cast("bigint").alias("population"))
 

@@ -17,21 +17,27 @@ from pyspark.sql import functions as F
 
 from civicmart.operators import clean as C
 from civicmart.operators import grid as G
+from civicmart import schema as S
 from civicmart.operators import model as M
 from civicmart.schema import INCIDENT_COLUMNS, LABOUR_COLUMNS
 from civicmart.sources.mart import Mart, materialize_mart, read_staging
 from civicmart.sources.raw import read_grid, read_raw_csv
-from civicmart.sources.sinks import write_frame
+from civicmart.session import shared_dir
+from civicmart.sources.sinks import CSV_OPTIONS, write_frame
 
 
 LONG_SCHEMA = "place string, year int, population bigint"
 
 
 def clean_incident_files(spark: SparkSession, src: str, dst: str, lo: int | None = 2020,
-                         hi: int | None = None, fmt: str = "parquet") -> tuple[str, str]:
-    """Raw incident CSVs -> ``dst/events`` (by year) and ``dst/locations``."""
-    events = C.clean_incidents(read_raw_csv(spark, src, INCIDENT_COLUMNS), lo, hi)
-    write_frame(events, f"{dst}/events", fmt, partition_by=["year"])
+                         hi: int | None = None, fmt: str = "parquet",
+                         multi_line: bool = False) -> tuple[str, str]:
+    """Raw incident CSVs -> ``dst/events`` (by year) and ``dst/locations``.
+
+    ``multi_line``: fields may hold quoted line breaks (files are then not split).
+    """
+    events = C.clean_incidents(read_raw_csv(spark, src, INCIDENT_COLUMNS, multi_line), lo, hi)
+    write_frame(events.hint("rebalance", "year"), f"{dst}/events", fmt, partition_by=["year"])
     events = read_staging(spark, f"{dst}/events", fmt)
     # the distinct pairs come from the written events (two columns), not a second parse
     locations = M.extract_locations(events).orderBy(F.asc_nulls_last("area_code"), "area_name")
@@ -41,41 +47,50 @@ def clean_incident_files(spark: SparkSession, src: str, dst: str, lo: int | None
 
 def clean_labour_files(spark: SparkSession, src: str, dst: str, area: str, area_type: str,
                        adjusted: str = "N", lo: int | None = 2020, hi: int | None = None,
-                       fmt: str = "parquet") -> str:
+                       fmt: str = "parquet", multi_line: bool = False) -> str:
     """Monthly labour CSVs -> yearly mean unemployment rate."""
-    yearly = C.clean_labour(read_raw_csv(spark, src, LABOUR_COLUMNS), area, area_type, adjusted, lo, hi)
+    yearly = C.clean_labour(read_raw_csv(spark, src, LABOUR_COLUMNS, multi_line), area, area_type, adjusted, lo, hi)
     write_frame(yearly.coalesce(1), dst, fmt)
     return dst
 
 
 def clean_population_files(spark: SparkSession, src: str, dst: str, mode: str, years: Sequence[int],
-                           glob: str = "*.csv", max_cols: int = 64, fmt: str = "parquet") -> DataFrame:
-    """Population sheet exports -> ``dst/long`` and ``dst/wide``; returns the files not used.
+                           glob: str = "*.csv", fmt: str = "parquet",
+                           header_row: int | None = None) -> DataFrame:
+    """Population sheet exports -> ``dst/long``, ``dst/wide`` and ``dst/rejected``; returns the latter.
 
     A file is not used when it has no header row, no place column or no year
-    column (see ``grid_rejects``).
+    column (see ``grid_rejects``); all of them are listed. The sheets are read once:
+    the grid is stored in the shared folder for the passes over it.
     """
-    grid = read_grid(spark, src, max_cols=max_cols, glob=glob)
-    long = G.population_long(grid, mode, years)
+    shared_dir(spark)
+    grid = read_grid(spark, src, glob=glob).checkpoint(eager=True)
+    long = G.population_long(grid, mode, years, checkpoint=False, header_row=header_row)
     write_frame(long, f"{dst}/long", fmt)
     reader = spark.read.schema(LONG_SCHEMA)
-    written = reader.option("header", True).csv(f"{dst}/long") if fmt == "csv" else reader.parquet(f"{dst}/long")
+    written = (reader.options(**CSV_OPTIONS).option("header", True).csv(f"{dst}/long") if fmt == "csv"
+               else reader.parquet(f"{dst}/long"))
     write_frame(G.population_wide(written, years), f"{dst}/wide", fmt)
-    return G.grid_rejects(grid, mode, years)
+    write_frame(G.grid_rejects(grid, mode, years, header_row), f"{dst}/rejected")
+    return spark.read.schema("file string").parquet(f"{dst}/rejected")
 
 
-def convert_sheet_files(spark: SparkSession, src: str, dst: str, glob: str = "*.csv",
-                        max_cols: int = 64) -> DataFrame:
-    """The sheet converter over a folder: cleaned cells, one partition folder per sheet."""
-    grid = read_grid(spark, src, max_cols=max_cols, glob=glob)
-    write_frame(G.sheet_cells(grid), dst, "parquet", partition_by=["file"])
-    return G.rejected_files(grid, G.find_header(grid, "text"))
+def convert_sheet_files(spark: SparkSession, src: str, dst: str, glob: str = "*.csv") -> DataFrame:
+    """The sheet converter over a folder: cleaned cells in ``dst/cells``, one partition folder per
+    sheet; all files without a header in ``dst/rejected``, which is returned."""
+    shared_dir(spark)
+    grid = read_grid(spark, src, glob=glob).checkpoint(eager=True)
+    write_frame(G.sheet_cells(grid, checkpoint=False), f"{dst}/cells", "parquet", partition_by=["file"])
+    rejected = G.rejected_files(grid, G.find_header(grid, "text", scan_rows=G.CONVERTER_SCAN_ROWS))
+    write_frame(rejected, f"{dst}/rejected")
+    return spark.read.schema("file string").parquet(f"{dst}/rejected")
 
 
 def build_mart(events: DataFrame, population_long: DataFrame, unemployment: DataFrame, place: str,
-               lo: int | None = None, hi: int | None = None) -> Mart:
+               lo: int | None = None, hi: int | None = None, dim_location: DataFrame | None = None) -> Mart:
     """The loader (M1-M5): events in the staging shape -> dimensions, fact, yearly measures."""
-    dim_location = M.build_dim_location(M.extract_locations(events))
+    if dim_location is None:
+        dim_location = M.build_dim_location(M.extract_locations(events))
     return Mart(
         fact=M.load_fact(events, dim_location),
         dim_location=dim_location,
@@ -87,10 +102,30 @@ def build_mart(events: DataFrame, population_long: DataFrame, unemployment: Data
 
 def load_mart_files(spark: SparkSession, events: str, population_long: str, unemployment: str,
                     place: str, dst: str, lo: int | None = None, hi: int | None = None) -> Mart:
-    """Read cleaned outputs, build and write the mart; returns the mart read back."""
-    mart = build_mart(spark.read.parquet(events), spark.read.parquet(population_long),
-                      spark.read.parquet(unemployment), place, lo, hi)
-    return materialize_mart(mart, dst)
+    """Read cleaned outputs, build, write and check the mart; returns the mart read back.
+
+    The location dimension is written and checked first, then the fact load joins the
+    written table, whose true size the planner knows. Keys that the tables declare
+    unique are refused when they repeat.
+    """
+    rows = spark.read.parquet(events)
+    dim_path = f"{dst.rstrip('/')}/_load/dim_location"
+    dim = M.build_dim_location(M.extract_locations(rows).where("area_code IS NOT NULL"))
+    write_frame(dim.repartition(1), dim_path)
+    dim = spark.read.schema(S.DIM_LOCATION).parquet(dim_path)
+    repeated = [r.area_code for r in dim.groupBy("area_code").count().where("count > 1").orderBy("area_code")
+                .select("area_code").collect()]  # at most the areas
+    if repeated:
+        raise ValueError(f"area codes with more than one name: {repeated}")
+    mart = build_mart(rows, spark.read.parquet(population_long), spark.read.parquet(unemployment),
+                      place, lo, hi, dim)
+    written = materialize_mart(mart, dst)
+    broken = [r for r in M.constraint_report(*written).where("violations > 0").collect()
+              if r.constraint_name.startswith(("pk_", "unique"))]  # one row a constraint
+    if broken:
+        raise ValueError("constraints violated: " + ", ".join(
+            f"{r.table_name}.{r.constraint_name} ({r.violations})" for r in broken))
+    return written
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -103,17 +138,20 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--dst", required=True)
     a.add_argument("--lo", type=int, default=2020)
     a.add_argument("--hi", type=int)
+    a.add_argument("--multi-line", action="store_true", help="fields hold quoted line breaks")
     b = sub.add_parser("labour")
     for name in ("--src", "--dst", "--area", "--area-type"):
         b.add_argument(name, required=True)
     b.add_argument("--adjusted", default="N")
     b.add_argument("--lo", type=int, default=2020)
     b.add_argument("--hi", type=int)
+    b.add_argument("--multi-line", action="store_true", help="fields hold quoted line breaks")
     c = sub.add_parser("population")
     c.add_argument("--src", required=True)
     c.add_argument("--dst", required=True)
     c.add_argument("--mode", default="text", choices=["text", "years", "two_row"])
     c.add_argument("--years", required=True, help="comma-separated, e.g. 2020,2021,2022,2023,2024")
+    c.add_argument("--header-row", type=int, help="row index of the header in every sheet")
     d = sub.add_parser("sheets")
     d.add_argument("--src", required=True)
     d.add_argument("--dst", required=True)
@@ -125,19 +163,22 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     spark = build_session("civicmart-etl")
     if args.cmd == "incidents":
-        clean_incident_files(spark, args.src, args.dst, args.lo, args.hi)
+        clean_incident_files(spark, args.src, args.dst, args.lo, args.hi,
+                             multi_line=args.multi_line)
     elif args.cmd == "labour":
-        clean_labour_files(spark, args.src, args.dst, args.area, args.area_type, args.adjusted, args.lo, args.hi)
+        clean_labour_files(spark, args.src, args.dst, args.area, args.area_type, args.adjusted, args.lo, args.hi,
+                           multi_line=args.multi_line)
     elif args.cmd == "population":
         years = [int(y) for y in args.years.split(",")]
-        rejected = clean_population_files(spark, args.src, args.dst, args.mode, years)
-        if rejected.limit(1).count():
-            names = [r[0] for r in rejected.limit(20).collect()]
-            raise SystemExit(f"files not used (no header, place or year column): {names}")
+        rejected = clean_population_files(spark, args.src, args.dst, args.mode, years,
+                                          header_row=args.header_row)
+        if n := rejected.count():
+            raise SystemExit(f"{n} files not used (no header, place or year column), "
+                             f"listed in {args.dst}/rejected")
     elif args.cmd == "sheets":
         rejected = convert_sheet_files(spark, args.src, args.dst)
-        if rejected.limit(1).count():
-            raise SystemExit(f"files without a header: {[r[0] for r in rejected.limit(20).collect()]}")
+        if n := rejected.count():
+            raise SystemExit(f"{n} files without a header, listed in {args.dst}/rejected")
     elif args.cmd == "load":
         load_mart_files(spark, args.events, args.population, args.unemployment, args.place, args.dst,
                         args.lo, args.hi)

@@ -14,6 +14,7 @@ import argparse
 import logging
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from civicmart.operators import quality as Q
@@ -70,6 +71,18 @@ def check_sources(spark: SparkSession, tables_dir: str) -> None:
         raise ValueError("source check failed: " + "; ".join(problems))
 
 
+def check_mart(spark: SparkSession, path: str) -> None:
+    """Fail fast before any gate: every table of a materialized mart is there."""
+    missing = []
+    for table in Mart._fields:
+        try:
+            spark.read.parquet(f"{path.rstrip('/')}/{table}")
+        except AnalysisException:
+            missing.append(table)
+    if missing:
+        raise ValueError(f"mart check failed: no readable {', '.join(missing)} below {path}")
+
+
 def run_gates(mart: Mart, policy: str = "warn",
               null_cols: tuple[str, ...] = ("year", "location_id", "crime_desc")) -> GateReport:
     """Null, duplicate and orphan gates on the fact (actions on one-row results)."""
@@ -87,13 +100,13 @@ def run_gates(mart: Mart, policy: str = "warn",
         log.warning(message)
 
     if any(report.nulls.values()):
-        violated(f"NULLs detected: {report.nulls}")
+        violated("gate null: " + ", ".join(f"{n} rows lack {c}" for c, n in report.nulls.items() if n))
     report.duplicate_keys = int(Q.duplicate_key_count(mart.fact, ["crime_id"]).first()[0])
     if report.duplicate_keys:
-        violated(f"Duplicates detected: {report.duplicate_keys} crime_id value(s) occur more than once")
+        violated(f"gate duplicate: {report.duplicate_keys} keys are used by several rows")
     report.orphan_rows = int(row["orphan_rows"])
     if report.orphan_rows:
-        violated(f"Orphan records detected: {report.orphan_rows} rows with unmatched location_id")
+        violated(f"gate orphan: {report.orphan_rows} rows point at no known location")
     return report
 
 
@@ -121,13 +134,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--policy", default="warn", choices=["warn", "fail"])
     ap.add_argument("--on-error", default="keep_previous", choices=["keep_previous", "raise"])
     args = ap.parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
     spark = build_session("civicmart-batch")
     if args.tables:
         check_sources(spark, args.tables)
     if args.tables and args.mart:
         mart = materialize_mart(mart_from_tables(spark, args.tables), args.mart)
     elif args.mart:
+        check_mart(spark, args.mart)
         mart = read_mart(spark, args.mart)
     elif args.tables:
         mart = mart_from_tables(spark, args.tables)

@@ -1,8 +1,8 @@
 """Audit-log refresh (R1-R4): a full refresh that keeps ``log_id`` growing.
 
 Each refresh writes a new run folder ``<path>/run=<n>/`` and, only once that
-write has committed, appends ``(run, committed_at)`` to a small commit log
-``<path>/_runs``. The current audit log is the newest logged run, so readers
+write has committed, appends ``(run, committed_at, last_id)`` to a small commit log
+``<path>/_runs``; ids go on from the last one ever given, also after an empty run. The current audit log is the newest logged run, so readers
 never see a half-written run, and a failed refresh leaves the previous run
 current. A run folder written but never logged (the job died in between) is
 invisible and is overwritten by the next attempt. Old rows disappear from view
@@ -23,7 +23,7 @@ from civicmart import schema as S
 
 log = logging.getLogger(__name__)
 
-RUN_LOG_SCHEMA = "run int, committed_at timestamp"
+RUN_LOG_SCHEMA = "run int, committed_at timestamp, last_id int"
 
 
 def audit_rows(kpi: DataFrame, prev_max_id: int = 0) -> DataFrame:
@@ -46,7 +46,9 @@ def run_log(spark: SparkSession, path: str) -> DataFrame | None:
     """The commit log ``(run, committed_at)``, or None before the first refresh."""
     try:
         return spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{path.rstrip('/')}/_runs")
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise  # an unreadable log is not an empty one
         return None
 
 
@@ -78,15 +80,16 @@ def refresh_audit(spark: SparkSession, kpi: DataFrame, path: str,
         raise ValueError(f"on_error must be 'keep_previous' or 'raise', got {on_error!r}")
     path = path.rstrip("/")
     previous = current_run(spark, path)
-    prev_max = 0
-    if previous is not None:
-        row = spark.read.schema(S.AUDIT_LOG).parquet(f"{path}/run={previous}").agg(F.max("log_id")).first()
-        prev_max = int(row[0] or 0)
+    runs = run_log(spark, path)
+    prev_max = 0 if runs is None else int(runs.agg(F.max("last_id")).first()[0] or 0)
     n = (previous or 0) + 1
     try:
         audit_rows(kpi, prev_max).coalesce(1).write.mode("overwrite").parquet(f"{path}/run={n}")
+        given = (spark.read.schema(S.AUDIT_LOG).parquet(f"{path}/run={n}").agg(F.max("log_id")).first()[0]
+                 or prev_max)
         # the commit point: one row appended to the run log
-        (spark.createDataFrame([(n,)], "run int").withColumn("committed_at", F.current_timestamp())
+        (spark.createDataFrame([(n, given)], "run int, last_id int")
+         .select("run", F.current_timestamp().alias("committed_at"), "last_id")
          .coalesce(1).write.mode("append").parquet(f"{path}/_runs"))
     except Exception as exc:  # noqa: BLE001 - policy decides
         if on_error == "raise":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,8 +45,9 @@ def application_id(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder of our
-    own is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset and everything runs in one process
+    (``local`` masters, as in tests) a folder of our own is created and registered.
+    Elsewhere executors would not share such a folder, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
@@ -59,6 +61,8 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="civicmart-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

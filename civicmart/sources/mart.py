@@ -4,9 +4,8 @@ Queries are cheap only on a loaded fact, as in the reference (a loaded table tha
 the analytic SQL reads). ``materialize_mart`` writes the fact once as parquet
 partitioned by year and sorted by location inside each file, so per-year
 questions prune directories, count-only scans read no data column, and row-group
-statistics skip by location. No extra shuffle is added for the layout: every
-task writes its own rows, sorted locally, so a hot year or area cannot pile up
-in one writer.
+statistics skip by location. Rows are rebalanced by year before the write: each year
+lands in few files of advisory size, and a hot year is split over several writers.
 """
 
 from __future__ import annotations
@@ -19,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart import schema as S
+from civicmart.operators.model import build_dim_location, extract_locations
 from civicmart.session import application_id, shared_dir
 from civicmart.sources import bindings as B
+from civicmart.sources.sinks import CSV_OPTIONS
 from civicmart.sources.tables import read_table
 
 
@@ -62,13 +63,14 @@ def materialize_mart(mart: Mart, path: str) -> Mart:
     """Write the mart under ``path`` (action) and return a mart reading it back."""
     path = path.rstrip("/")
     fact = _conform(mart.fact, S.FACT)
-    (fact.sortWithinPartitions("year", "location_id", "crime_id")
+    (fact.hint("rebalance", "year").sortWithinPartitions("year", "location_id", "crime_id")
      .write.mode("overwrite").options(**WRITE_OPTIONS).partitionBy("year").parquet(f"{path}/fact"))
     for name, df, sch in (("dim_location", mart.dim_location, S.DIM_LOCATION),
                           ("dim_time", mart.dim_time, S.DIM_TIME),
                           ("population", mart.population, S.POPULATION),
                           ("unemployment", mart.unemployment, S.UNEMPLOYMENT)):
-        _conform(df, sch).coalesce(1).write.mode("overwrite").options(**WRITE_OPTIONS).parquet(f"{path}/{name}")
+        # repartition, not coalesce: what computes these few rows keeps its tasks
+        _conform(df, sch).repartition(1).write.mode("overwrite").options(**WRITE_OPTIONS).parquet(f"{path}/{name}")
     return read_mart(fact.sparkSession, path)
 
 
@@ -89,19 +91,32 @@ def read_staging(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     """The typed 8-column staging table (natural keys area_code + area_name)."""
     reader = spark.read.schema(S.STAGING)
     if fmt == "csv":
-        df = reader.option("header", True).csv(path)
+        df = reader.options(**CSV_OPTIONS).option("header", True).csv(path)
     else:
         df = reader.format(fmt).load(path)
     return df.select(*S.STAGING.fieldNames())
 
 
+# The tables that the mart and the staging rows are bound from.
+SOURCE_TABLES = ("orders", "customer", "nation", "lineitem")
 _LOADED: dict[tuple[str, str, str], object] = {}
 _LOCK = threading.Lock()
 
 
+def _state(spark: SparkSession, source: str) -> str:
+    """Names, sizes and times of the source files: a rewritten input is loaded again."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    parts = []
+    for table in SOURCE_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{source.rstrip('/')}/{table}.parquet")
+        for s in path.getFileSystem(conf).listStatus(path):
+            parts.append(f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()
+
+
 def _app_path(spark: SparkSession, kind: str, source: str) -> tuple[tuple[str, str, str], str]:
     app = application_id(spark)
-    key = (kind, app, source.rstrip("/"))
+    key = (kind, app, f"{source.rstrip('/')}?{_state(spark, source)}")
     digest = hashlib.sha1(key[2].encode()).hexdigest()[:12]
     return key, f"{shared_dir(spark)}/civicmart-{kind}/{app}/{digest}"
 
@@ -133,7 +148,23 @@ def staging_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _LOCK:
         if key not in _LOADED:
             staging = B.bind_staging(*[read_table(spark, sf_dir, t) for t in ("orders", "customer", "nation")])
-            (_conform(staging, S.STAGING).write.mode("overwrite").options(**WRITE_OPTIONS)
+            (_conform(staging, S.STAGING).hint("rebalance", "year").write.mode("overwrite").options(**WRITE_OPTIONS)
              .partitionBy("year").parquet(target))
             _LOADED[key] = read_staging(spark, target)
         return _LOADED[key]
+
+
+def keyed_dim_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location dimension of the staging rows, written before the fact load reads it.
+
+    Read back, its true size lets the planner broadcast it: the fact is not shuffled on
+    the few area codes.
+    """
+    key, target = _app_path(spark, "dim", sf_dir)
+    staging = staging_for(spark, sf_dir)
+    with _LOCK:
+        if key not in _LOADED:
+            dim = build_dim_location(extract_locations(staging))
+            _conform(dim, S.DIM_LOCATION).repartition(1).write.mode("overwrite").parquet(target)
+            _LOADED[key] = spark.read.schema(S.DIM_LOCATION).parquet(target)
+        return _LOADED[key]

@@ -8,20 +8,27 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# RFC 4180 quoting (a doubled quote inside a quoted field), as the exports use.
-_CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+from civicmart.functions.parse import null_if_missing
+from civicmart.sources.sinks import CSV_OPTIONS
+
+CORRUPT = "_corrupt_record"
 
 
 def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  multi_line: bool = False, glob: str | None = None) -> DataFrame:
     """Header CSV -> all-string columns named by the header; no schema inference.
 
-    Only the header line of the first file is read eagerly (to name the columns);
-    ``columns`` selects the ones the cleaners use, in any order, and fails early
-    with the list of available columns if one is absent.
+    Only the header line of the first file is read eagerly (to name the columns).
+    Every file's own header is compared with it while reading, so a file with other
+    columns or another order fails instead of filling the wrong columns. A row that
+    does not have as many fields as the header fails too: a quoted line break needs
+    ``multi_line`` (whole files then go to one task each). ``columns`` selects the
+    ones the cleaners use, in any order, and fails early with the list of available
+    columns if one is absent.
     """
-    reader = spark.read.options(**_CSV_OPTIONS).option("header", True).option("inferSchema", False)
-    reader = reader.option("multiLine", multi_line)
+    reader = (spark.read.options(**CSV_OPTIONS).option("header", True).option("inferSchema", False)
+              .option("multiLine", multi_line).option("enforceSchema", False)
+              .option("mode", "FAILFAST").option("columnPruning", False))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(path)
@@ -33,41 +40,58 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def _wide_string_schema(max_cols: int) -> T.StructType:
-    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max_cols)])
+def _wide_string_schema(n_cols: int) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n_cols)])
+
+
+def grid_width(spark: SparkSession, path: str, glob: str = "*.csv", multi_line: bool = True) -> int:
+    """Columns that hold every cell of every file: 1 + the most commas in a record (one job).
+
+    A record of more than one field does not fit the one-column schema used here, so
+    its text arrives as the corrupt record; commas inside quotes only make the bound wider.
+    """
+    schema = _wide_string_schema(1).add(CORRUPT, T.StringType())
+    raw = (spark.read.options(**CSV_OPTIONS).option("header", False).option("multiLine", multi_line)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+           .option("pathGlobFilter", glob).schema(schema).csv(path))
+    # The first field is read along: Spark refuses to read the corrupt record alone.
+    row = raw.agg(F.max(F.regexp_count(F.col(CORRUPT), F.lit(","))), F.max("_c0")).first()
+    return 1 + int(row[0] or 0)
 
 
-def read_grid(spark: SparkSession, path: str, max_cols: int = 64, glob: str = "*.csv") -> DataFrame:
-    """Headerless delimited sheet exports -> ``(file, row_idx, cells)``.
+def read_grid(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """Headerless delimited sheet exports -> ``(file, row_idx, cells)``; every cell is read.
 
-    Multi-line parsing keeps quoted newlines inside header cells. It also means a
-    file is never split: its rows arrive in order inside one task, so the row
-    index is the row's ``monotonically_increasing_id`` minus the first id of its
-    file. Only that per-file minimum is aggregated (one row per file, broadcast
-    back), so grid rows are never shuffled or sorted by file. Cells past
-    ``max_cols`` are not read.
+    ``file`` is the whole path, so files of one name in two folders stay two sheets.
+    Cells with a missing-value token of a default pandas read are NULL. Multi-line
+    parsing keeps quoted newlines inside header cells. It also means a file is never
+    split: its rows arrive in order inside one task, so the row index is the row's
+    ``monotonically_increasing_id`` minus the first id of its file. Only that per-file
+    minimum is aggregated and joined back (one row per file).
     """
-    raw = (spark.read.options(**_CSV_OPTIONS).option("header", False).option("multiLine", True)
-           .option("pathGlobFilter", glob).schema(_wide_string_schema(max_cols)).csv(path))
-    raw = raw.select(F.col("_metadata.file_name").alias("file"),
+    width = grid_width(spark, path, glob)
+    raw = (spark.read.options(**CSV_OPTIONS).option("header", False).option("multiLine", True)
+           .option("mode", "PERMISSIVE")
+           .option("pathGlobFilter", glob).schema(_wide_string_schema(width)).csv(path))
+    raw = raw.select(F.col("_metadata.file_path").alias("file"),
                      F.monotonically_increasing_id().alias("_seq"),
-                     F.array(*[F.col(f"_c{i}") for i in range(max_cols)]).alias("cells"))
+                     F.array(*[null_if_missing(F.col(f"_c{i}")) for i in range(width)]).alias("cells"))
     starts = raw.groupBy("file").agg(F.min("_seq").alias("_start"))
-    return (raw.join(F.broadcast(starts), "file")
+    return (raw.join(starts, "file")
             .select("file", (F.col("_seq") - F.col("_start")).cast("int").alias("row_idx"), "cells"))
 
 
-def profile_raw(spark: SparkSession, path: str, glob: str = "*.csv", max_cols: int = 256,
-                sample_rows: int = 2) -> DataFrame:
+def profile_raw(spark: SparkSession, path: str, glob: str = "*.csv", sample_rows: int = 2) -> DataFrame:
     """Per CSV file: data rows, header width (real CSV split) and the first data rows.
 
-    One job over the folder: counts are a grouped aggregate, the header is the
-    first row of its file, and the sample is a per-file top-k (planned as a
-    WindowGroupLimit, so only k rows per task and file move).
+    Counts are a grouped aggregate, the header is the first row of its file, and the
+    sample is a per-file top-k (planned as a WindowGroupLimit, so only k rows per task
+    and file move).
     """
-    raw = (spark.read.options(**_CSV_OPTIONS).option("header", False)
-           .option("pathGlobFilter", glob).schema(_wide_string_schema(max_cols)).csv(path))
-    cols = [F.col(f"_c{i}") for i in range(max_cols)]
+    n_cols = grid_width(spark, path, glob, multi_line=False)
+    raw = (spark.read.options(**CSV_OPTIONS).option("header", False).option("mode", "PERMISSIVE")
+           .option("pathGlobFilter", glob).schema(_wide_string_schema(n_cols)).csv(path))
+    cols = [F.col(f"_c{i}") for i in range(n_cols)]
     # A large file is read as several splits packed into tasks; ids are not
     # promised to follow file order across tasks, so order by (block start,
     # position inside the task), which is the file order.

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+# RFC 4180 quoting (a doubled quote inside a quoted field), for every reader and writer.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
 def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None) -> None:
     """Write ``df`` (action). ``mode='overwrite'`` is the drop-and-rebuild of the reference."""
@@ -14,6 +18,6 @@ def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        writer.options(**CSV_OPTIONS).option("header", True).csv(path)
     else:
         writer.format(fmt).save(path)

@@ -61,7 +61,7 @@ def test_orphan_null_location_semantics(spark):
     # average over per-location counts includes the NULL and orphan groups: (2+1+1+1)/4 = 1.25
     above = [r["area_name"] for r in Q.areas_above_average(fact, dim, "id").collect()]
     assert above == ["A"]
-    sql_form = [r["area_name"] for r in Q.areas_above_average_sql(fact, dim).collect()]
+    sql_form = [r["area_name"] for r in Q.areas_above_average(fact, dim, "name").collect()]
     assert sql_form == ["A"]
     checks = QC.fact_checks(fact, dim).first()
     assert checks["orphan_rows"] == 2 and checks["null_location_id"] == 1

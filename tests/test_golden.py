@@ -40,7 +40,7 @@ def test_variation_and_levels(mart):
         want = PUBLISHED[r["year"]][1]
         assert (want is None and r["annual_variation_percent"] is None) or \
             r["annual_variation_percent"] == pytest.approx(want, abs=1e-9)
-    inline = {r["year"]: r["annual_variation_percent"] for r in Q.annual_variation_sql(kpi).collect()}
+    inline = {r["year"]: r["annual_variation_percent"] for r in Q.annual_variation_inline(kpi).collect()}
     assert inline == {r["year"]: r["annual_variation_percent"] for r in Q.annual_variation(kpi).collect()}
     levels = {r["year"]: r["crime_intensity_level"] for r in Q.intensity_by_year(kpi).collect()}
     assert levels == {y: v[2] for y, v in PUBLISHED.items()}

@@ -38,7 +38,7 @@ def test_read_grid_keeps_quoted_newline_and_row_order(spark, scratch):
     _write(f"{scratch}/g/one.csv", 'title,,\n"Geographic\nArea",Base,2020\nAlpha,1,2\n')
     _write(f"{scratch}/g/two.csv", "x\ny\nz\n")
     _write(f"{scratch}/g/skip.txt", "ignored\n")
-    grid = read_grid(spark, f"{scratch}/g", max_cols=4)
+    grid = read_grid(spark, f"{scratch}/g")
     rows = {(r["file"], r["row_idx"]): r["cells"] for r in grid.collect()}
     assert set(f for f, _ in rows) == {"one.csv", "two.csv"}
     assert rows[("one.csv", 1)][:3] == ["Geographic\nArea", "Base", "2020"]
@@ -48,7 +48,7 @@ def test_read_grid_keeps_quoted_newline_and_row_order(spark, scratch):
 def test_profile_raw(spark, scratch):
     _write(f"{scratch}/p/a.csv", 'h1,h2,"h,3"\n1,2,3\n4,5,6\n7,8,9\n')
     _write(f"{scratch}/p/b.csv", "only\n")
-    prof = {os.path.basename(r["file"]): r for r in profile_raw(spark, f"{scratch}/p", max_cols=8).collect()}
+    prof = {os.path.basename(r["file"]): r for r in profile_raw(spark, f"{scratch}/p").collect()}
     assert prof["a.csv"]["n_rows"] == 3 and prof["a.csv"]["n_columns"] == 3
     assert prof["a.csv"]["sample"] == ["1,2,3", "4,5,6"]
     assert prof["b.csv"]["n_rows"] == 0 and prof["b.csv"]["sample"] is None
@@ -77,7 +77,7 @@ def test_read_staging_csv_and_parquet(spark, scratch):
 def test_read_grid_row_index_with_files_packed_in_one_partition(spark, scratch):
     for name in ("a", "b", "c"):
         _write(f"{scratch}/many/{name}.csv", "".join(f"{name}{i},x\n" for i in range(50)))
-    grid = read_grid(spark, f"{scratch}/many", max_cols=2)
+    grid = read_grid(spark, f"{scratch}/many")
     rows = grid.collect()
     assert len(rows) == 150
     for r in rows:
@@ -90,7 +90,7 @@ def test_profile_raw_orders_rows_across_splits(spark, scratch):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")  # ~10 splits of one file
     try:
-        prof = profile_raw(spark, f"{scratch}/big", max_cols=2).first()
+        prof = profile_raw(spark, f"{scratch}/big").first()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert prof["n_rows"] == 3000 and prof["n_columns"] == 2
