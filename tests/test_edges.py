@@ -141,7 +141,7 @@ def test_dimension_and_constraint_report(spark):
 def test_grid_rejects_file_without_header_in_scan_window(spark):
     late = [["x"]] * 55 + [["Geographic Area", "2020"]]
     grid = _grid(spark, {"late.csv": late, "ok.csv": [["Geographic Area", "2020"], ["P", "1"]]})
-    header = G.find_header(grid, "text")
+    header = G.find_header(grid, "text", scan_rows=50)
     assert [r["file"] for r in header.collect()] == ["ok.csv"]
     assert [r["file"] for r in G.rejected_files(grid, header).collect()] == ["late.csv"]
 
