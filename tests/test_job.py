@@ -29,7 +29,7 @@ def test_gates_warn_and_fail(spark):
     bad = run_gates(_mart(spark, DIRTY), "warn")
     assert bad.nulls["year"] == 1 and bad.duplicate_keys == 1 and bad.orphan_rows == 1
     assert len(bad.warnings) == 3
-    with pytest.raises(GateError, match="NULLs"):
+    with pytest.raises(GateError, match="gate null"):
         run_gates(_mart(spark, DIRTY), "fail")
 
 
