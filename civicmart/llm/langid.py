@@ -36,6 +36,7 @@ MAX_DOCS = 10_000
 MAX_WORDS = 200_000
 MAX_GRAMS = 20_000
 ORDERS = (5, 4, 3, 2, 1)
+HELD_WORDS = 200_000  # distinct words a worker counts before it hands them on
 CACHE = 400_000  # unseen words remembered by a worker
 
 
@@ -48,28 +49,32 @@ def _counts(rows: DataFrame) -> DataFrame:
     """(kind, item, lang, n): words (kind 0) and n-grams (kind n), counted once a partition first."""
 
     def count(it):
-        total: Counter = Counter()
+        words: dict[str, Counter] = {}
         for table in it:
             for part in batches(table, 256):
                 for lang, text in zip(part.column("lang").to_pylist(),
                                       part.column("text").to_pylist(), strict=True):
-                    for word, k in Counter(LETTERS.findall((text or "").lower())).items():
-                        total[(0, word, lang)] += k
-                        for n in ORDERS:
-                            for g in grams(word, n):
-                                total[(n, g, lang)] += k
-                if len(total) > 400_000:
-                    yield _batch(total)
-                    total = Counter()
-        if total:
-            yield _batch(total)
-
-    def _batch(total):
-        keys = list(zip(*total, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys[0], pa.int32()), pa.array(keys[1], pa.string()),
-             pa.array(keys[2], pa.string()), pa.array(list(total.values()), pa.int64())],
-            names=["kind", "item", "lang", "n"])
+                    words.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
+                if sum(map(len, words.values())) > HELD_WORDS:
+                    yield from _batches(words)
+                    words = {}
+        yield from _batches(words)
+
+    def _batches(words):
+        # N-grams of each distinct word once, times its count: one batch a kind and language.
+        for lang, own in words.items():
+            for kind in (0, *ORDERS):
+                items: Counter = own if kind == 0 else Counter()
+                if kind:
+                    for word, k in own.items():
+                        for g in grams(word, kind):
+                            items[g] += k
+                if items:
+                    n = len(items)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind] * n, pa.int32()), pa.array(list(items), pa.string()),
+                         pa.array([lang] * n, pa.string()), pa.array(list(items.values()), pa.int64())],
+                        names=["kind", "item", "lang", "n"])
 
     return (rows.select("lang", "text").mapInArrow(count, "kind int, item string, lang string, n long")
             .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
