@@ -43,8 +43,8 @@ LOWER = {c: c + 32 for c in range(65, 91)}
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     """The 64-bit fingerprint of a whole text, as an unsigned integer."""
-    words = WORD.findall((text or "").translate(LOWER) if not (text or "").isascii()
-                         else text.lower())
+    text = text or ""
+    words = WORD.findall(text.lower() if text.isascii() else text.translate(LOWER))
     if not words:
         return 0
     if len(words) < shingle:
