@@ -37,6 +37,7 @@ from civicmart.llm.tokenize import batches
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 TREE_NODES = 1000
+ALL_BITS = (1 << 64) - 1
 WORD = re.compile("[^ \t\n\v\f\r]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -77,6 +78,11 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         run, "doc_id long, fp long")
 
 
+def distance(a: int, b: int) -> int:
+    """Differing bits of two 64-bit values, signed or not."""
+    return ((a ^ b) & ALL_BITS).bit_count()
+
+
 class BKTree:
     """Distinct 64-bit values; children are keyed by their Hamming distance to the parent."""
 
@@ -90,7 +96,7 @@ class BKTree:
         if self.values:
             node = 0
             while True:
-                d = (value ^ self.values[node]).bit_count()
+                d = distance(value, self.values[node])
                 if d == 0:
                     return
                 child = self.children[node].get(d)
@@ -106,7 +112,7 @@ class BKTree:
         todo = [0] if self.values else []
         while todo:
             node = todo.pop()
-            d = (value ^ self.values[node]).bit_count()
+            d = distance(value, self.values[node])
             if d <= radius:
                 yield self.values[node]
             todo += [child for key, child in self.children[node].items()
