@@ -21,6 +21,8 @@ SPACE_CLASS = r"[ \t\n\u000B\f\r]"
 HOT_LIST = 10_000
 HOT_ROWS = 500
 
+SAMPLE_STEPS = 1 << 52
+
 
 _SHIPPED: set[str] = set()
 
@@ -99,13 +101,14 @@ def sampled(df: DataFrame, limit: int, seed: str, key: str = "doc_id") -> DataFr
     """At most about ``limit`` rows for fitting a model, chosen by a hash of ``key``.
 
     The same rows are chosen on every run and for every partitioning. With at most
-    ``limit`` rows all are taken.
+    ``limit`` rows all are taken. SAMPLE_STEPS is far above any row count over ``limit``,
+    so the share never rounds to nothing.
     """
     n = df.count()
     if n <= limit:
         return df
-    share = int(limit / n * (1 << 20))
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 20)) < share)
+    share = int(limit / n * SAMPLE_STEPS)
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(SAMPLE_STEPS)) < share)
 
 
 def fold(key: Column, n: int) -> Column:
