@@ -210,4 +210,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` that no benchmark item contaminates; all columns as they came."""
     flagged = matches(docs.select("doc_id", "text"), benchmark) \
         .select(F.col("doc_id").alias("_flagged")).distinct()
-    return docs.join(flagged, docs["doc_id"].eqNullSafe(F.col("_flagged")), "left_anti")
+    return docs.join(flagged, docs["doc_id"].eqNullSafe(flagged["_flagged"]), "left_anti")

@@ -169,6 +169,5 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """
     index = build_index(docs.select("doc_id", "text"))
     keep = index.entries.select(F.col("keep_id").alias("_keep"), F.col("h").alias("_h"))
-    marked = docs.withColumn("_h", F.xxhash64(normalised(F.col("text"))))
-    return marked.join(keep, marked["doc_id"].eqNullSafe(keep["_keep"])
-                       & (marked["_h"] == keep["_h"]), "left_semi").drop("_h")
+    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"])
+                     & (F.xxhash64(normalised(docs["text"])) == keep["_h"]), "left_semi")
