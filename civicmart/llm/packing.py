@@ -3,7 +3,7 @@
 Every document becomes its ids plus the end id. A document over ``capacity`` tokens is
 cut into full pieces, the first one taking the remainder; others stay whole. Pieces of
 exactly ``capacity`` tokens are sequences by themselves. The rest are dealt by a hash of
-their document over tasks of about ``pieces_per_task`` pieces. Each task sees its pieces
+their document and content (so documents without a doc_id spread too) over tasks of about ``pieces_per_task`` pieces. Each task sees its pieces
 in hash order and holds at most ``open_bins`` bins open: a piece goes to the bin whose
 free space fits it most closely, found in a bitset keyed by free space; when no bin
 fits and all are open, the fullest closes first. Memory is bounded by ``open_bins``.
@@ -121,7 +121,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OP
                 names=[*table.schema.names, "sequence_id", "offset"])
 
     # Full order inside a task: the same bins whenever a task runs again.
-    order = F.xxhash64("doc_id", "piece")
+    order = F.xxhash64("doc_id", "piece", "length", "ids_crc32")
     dealt = (pieces.repartition(tasks, order)
              .sortWithinPartitions(order, "doc_id", "piece", "length", "ids_crc32"))
     return dealt.mapInArrow(pack, PLACED)
