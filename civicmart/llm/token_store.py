@@ -27,6 +27,7 @@ from __future__ import annotations
 import io
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -165,10 +166,7 @@ class ShardWriter:
 
     def __init__(self, store, where: str, shard: int, width: int) -> None:
         self.store, self.where, self.shard, self.width = store, where, shard, width
-        self.keys: list[int] = []
-        self.rows: list[int] = []
-        self.offsets: list[int] = []
-        self.lengths: list[int] = []
+        self.keys, self.rows, self.offsets, self.lengths = (array("q") for _ in range(4))
         self.n_tokens = 0
         self.name = attempt_name(where, "payload")
         self.raw = store.open_output_stream(self.name)
@@ -270,25 +268,30 @@ def read_documents(spark: SparkSession, keys: DataFrame, manifest: DataFrame, cu
 
     def read(it):
         store, where = open_store(folder)
+        at_hand, shard = None, None  # keys come in shard order: a shard is opened once
         for table in it:
-            shards = np.array(table.column("shard").to_pylist(), dtype=np.int64)
-            docs = np.array(table.column("doc_id").to_pylist(), dtype=np.int64)
+            shards = table.column("shard").to_numpy()
+            docs = table.column("doc_id").to_numpy()
             for k in np.unique(shards).tolist():
                 if k not in files:
                     continue
                 name, first = files[k]
-                with store.open_input_file(f"{where.rstrip('/')}/{name}") as source:
-                    shard = Shard(source)
-                    mine = docs[shards == k]
-                    rows = []
-                    for doc, slot in zip(mine.tolist(), shard.lookup(mine).tolist(), strict=True):
-                        if slot >= 0:
-                            rows += [(doc, first + at, len(ids), zlib.crc32(ids.astype("<u4")))
-                                     for at, ids in shard.documents(slot)]
+                if k != at_hand:
+                    if shard is not None:
+                        shard.source.close()
+                    at_hand, shard = k, Shard(store.open_input_file(f"{where.rstrip('/')}/{name}"))
+                mine = docs[shards == k]
+                rows = []
+                for doc, slot in zip(mine.tolist(), shard.lookup(mine).tolist(), strict=True):
+                    if slot >= 0:
+                        rows += [(doc, first + at, len(ids), zlib.crc32(ids.astype("<u4")))
+                                 for at, ids in shard.documents(slot)]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        if shard is not None:
+            shard.source.close()
 
     wanted = (keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
               .distinct()
