@@ -37,7 +37,9 @@ from civicmart.llm.files import attempt_name, open_store
 
 ARCHIVE_BYTES = 16 << 20
 WINDOW = 1 << 18
-MAX_RECORD = 1 << 30  # a larger claim is damage: it is quarantined, not read into memory
+# No Spark string holds 2 GiB, so no record written here is larger: such a claim is damage,
+# quarantined and not read into memory.
+MAX_RECORD = (1 << 31) + (1 << 20)
 GZIP = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 # Fixed values of the WARC 1.1 format.
