@@ -20,11 +20,11 @@ def corpus(spark):
 def frame(corpus):
     """documents-like frames from (doc_id, text) pairs, with extra and clashing columns."""
     schema = ("doc_id long, text string, lang string, source string, n_chars long, "
-              "th long, h long, owner string, `_keep` string, norm string")
+              "th long, h long, owner string, `_keep` string, norm string, `_h` string, `_flagged` string")
 
     def make(rows, lang="en"):
         data = [(d, t, lang if not isinstance(lang, dict) else lang.get(d), "s", None, 1, 2, "x",
-                 "y", "z") for d, t in rows]
+                 "y", "z", "h", "f") for d, t in rows]
         return corpus.createDataFrame(data, schema).repartition(3)
 
     return make

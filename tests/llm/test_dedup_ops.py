@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from civicmart.llm import exact_dedup, line_dedup, simhash_dedup
-from civicmart.llm.common import salted_join, scratch, stored
+from civicmart.llm.common import salted_join, sampled, scratch, stored
 from civicmart.llm.components import components
 
 SPACE = " \t\n\v\f\r"
@@ -79,6 +79,7 @@ def test_kept_documents_keeps_the_columns(frame):
     docs = frame(edge_rows())
     out = exact_dedup.kept_documents(docs)
     assert out.columns == docs.columns
+    assert {(r["_keep"], r["_h"], r["_flagged"]) for r in out.collect()} == {("y", "h", "f")}
     kept = sorted(str((r.doc_id, r.text)) for r in out.collect())
     want = {norm(t): None for _, t in edge_rows()}
     assert {norm(eval(k)[1]) for k in kept} == set(want)  # every text once, none lost
@@ -231,6 +232,17 @@ def test_components_of_paths_stars_and_cycles(corpus):
     assert all(got[1000 + k] == 1000 for k in range(1, 900)) and got[71] == got[72] == 70
 
 
+def test_a_sample_has_the_share_asked_for(corpus):
+    rows = corpus.range(20_000).withColumnRenamed("id", "doc_id")
+    got = sampled(rows, 2_000, "s")
+    assert 1_800 < got.count() < 2_200
+    assert sorted(got.collect()) == sorted(sampled(rows.repartition(7), 2_000, "s").collect())
+    assert sampled(rows, 20_000, "s").count() == 20_000
+    many = corpus.range(5 * 10**7).withColumnRenamed("id", "doc_id")
+    many.count = lambda: 10**12  # as part of a table so large that the share is below 2^-20
+    assert 5 < sampled(many, 4 * 10**5, "s").count() < 50
+
+
 def test_salted_join_neither_loses_nor_repeats(corpus):
     left = corpus.range(5_000).select(F.when(F.col("id") < 4_000, 1).otherwise(F.col("id")).alias("k"), "id")
     groups = stored(left.groupBy("k").agg(F.count(F.lit(1)).alias("n")), scratch(corpus, "t"))
