@@ -3,6 +3,7 @@
 A byte-level BPE never joins across a single space between two non-space characters:
 the space begins the next word. So a text can be encoded piece by piece, and a piece's
 ids remembered. Unknown pieces of many texts are encoded in few calls of the library.
+A text that holds an added token of the file ("<|endoftext|>") is encoded in one call.
 """
 
 from __future__ import annotations
@@ -19,21 +20,21 @@ JOINED = 256  # pieces without white space that one call encodes as the lines of
 
 
 class Encoder:
-    """Encodes whole texts to little-endian id arrays; special strings are ordinary text."""
+    """Encodes whole texts to little-endian id arrays, as the library's plain call does."""
 
     def __init__(self, path: str) -> None:
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        # Cutting at spaces is proven for the byte-level scheme only.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Cutting at spaces is proven for the byte-level scheme only; line ends join pieces.
         self.cuts = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" \
-            and self.tokenizer.normalizer is None
+            and self.tokenizer.normalizer is None and not any("\n" in a for a in self.added)
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] \
             if self.cuts else None
 
@@ -45,7 +46,8 @@ class Encoder:
         """Ids of each text (null: none); whole texts, of any length."""
         if not self.cuts:
             return [np.frombuffer(b, self.dtype) for b in self._ids([t or "" for t in texts])]
-        cut = [(t or "").split(" ") for t in texts]
+        cut = [[""] if t and any(a in t for a in self.added) else (t or "").split(" ")
+               for t in texts]
         heads = [pieces.pop(0) for pieces in cut]
         if len(self.cache) > CACHE_PIECES // 2:  # pieces in use come back from the older half
             self.older, self.cache = self.cache, {}
@@ -58,7 +60,7 @@ class Encoder:
         for text, head, pieces in zip(texts, self._pieces(heads, ""), cut, strict=True):
             try:
                 ids = head + b"".join(map(cache.__getitem__, pieces))
-            except TypeError:  # white space beside a cut: the text is encoded in one
+            except TypeError:  # white space beside a cut, or an added token: encoded in one
                 (ids,) = self._ids([text or ""])
             out.append(np.frombuffer(ids, self.dtype))
         for p in new:

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from civicmart.llm import packing, token_store, tokenize, warc
 from civicmart.llm.common import scratch
@@ -153,6 +154,33 @@ def test_cached_encoding_equals_the_library():
     assert got == plain_ids(texts)
 
 
+END = "<|endoftext|>"
+
+
+def library_ids(texts):
+    """The contract's call, by a tokenizer of its own."""
+    t = Tokenizer.from_file(tokenize.default_tokenizer())
+    return [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_special_strings_are_the_librarys_single_ids(frame):
+    texts = [f"end of doc {END} next", END, f"a{END}b", f" {END}{END} x", f"{END}\n{END} ", "<|endof text|>",
+             "plain words", f"<|{END}|>", "x < | endoftext|> y"]
+    want = library_ids(texts)
+    assert 50256 in want[0] and len(want[0]) == 6
+    enc = tokenize.Encoder(tokenize.default_tokenizer())
+    assert [a.tolist() for a in enc.encode(texts)] == want
+    assert [a.tolist() for t in texts for a in enc.encode([t])] == want
+    rows, at = [], 0
+    for d, ids in enumerate(want):
+        rows.append((d, at, len(ids) + 1, crc([*ids, 0])))
+        at += len(ids) + 1
+    docs = list(enumerate(texts))
+    assert sorted(tuple(r) for r in token_store.token_store(frame(docs)).collect()) == rows
+    packed = packing.best_fit(frame(docs)).collect()
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in packed) == [(d, n, c) for d, _, n, c in rows]
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
