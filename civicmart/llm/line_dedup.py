@@ -123,10 +123,13 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = 10, buckets:
         index.add(lines.where(F.col("batch") == b).select("id", "h1", "h2"))
 
     owners = index.owners()
-    # Distinct (document, key) pairs: what a hot key must be dealt by.
-    uses = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    # Rows of a key (what a hot key must be dealt by), and the first and last document: a key
+    # matters if one of them isn't its owner, who may stand in an earlier run.
+    uses = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"),
+                                         F.max("id").alias("high"))
     total = lines.count()
-    sized = stored(owners.join(uses, ["h1", "h2"]).where("n > 1"), scratch(spark, "lines-owners"))
+    sized = stored(owners.join(uses, ["h1", "h2"]).where("low <> owner OR high <> owner")
+                   .drop("low", "high"), scratch(spark, "lines-owners"))
     extra = salted_join(lines, sized, ["h1", "h2"], "n", total, F.xxhash64("id", "pos"), "inner")
     masks = (extra.where(F.col("id") != F.col("owner"))
              .groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone")))

@@ -123,6 +123,17 @@ def test_line_dedup_of_an_empty_table(frame):
     assert line_dedup.line_dedup(frame([])).collect() == []
 
 
+def test_a_continued_index_drops_lines_of_earlier_documents(frame, corpus):
+    rng = random.Random(12)
+    rows = [(i, "\n".join(rng.choices([f"line number {j}" for j in range(60)] + LINES, k=4)))
+            for i in range(45)]
+    rows += [(45, "held by no one else\nline number 1"), (None, "held by no one else\nown line, no id")]
+    index, got = line_dedup.LineIndex(corpus, 4), []
+    for part in (rows[:20], rows[20:40], rows[40:], []):
+        got += line_dedup.line_dedup(frame(part), batches=2, index=index).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_lines(rows)
+
+
 def test_runs_are_compacted_and_disjoint(frame, corpus):
     index = line_dedup.LineIndex(corpus, 4)
     line_dedup.line_dedup(frame([(i, f"the shared line\nown line of {i}") for i in range(60)]),
