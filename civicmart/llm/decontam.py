@@ -108,25 +108,36 @@ def block_keys(fp: Column, radius: int) -> Column:
         F.lit((1 << (cuts[k + 1] - cuts[k])) - 1)).cast("int").alias("value")) for k in range(n)])
 
 
-RESULT = "doc_id long, item_id long, similarity double, window_start int, n_words int"
+SCORED = "doc_id long, th long, item long, item_id long, n_words int, start int, similarity double"
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
             similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, similarity, window_start, n_words."""
+    best = _scored(docs, benchmark, shingle, similarity, radius) \
+        .groupBy("doc_id", "item", "item_id", "n_words").agg(
+            F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("b"))
+    return best.select("doc_id", F.col("item_id").cast("long").alias("item_id"),
+                       F.col("b.similarity").alias("similarity"),
+                       (-F.col("b.s")).alias("window_start"), "n_words")
+
+
+def _scored(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
+            similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """Similar windows of each text (doc_id, th), one row a window and item."""
     spark = docs.sparkSession
     items = stored(benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
                    .select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("wh"),
                            F.size("w").alias("n_words"), F.least(F.size("w"), F.lit(shingle)).alias("k")),
                    scratch(spark, "bench-words"))
-    out = spark.createDataFrame([], RESULT)
+    out = spark.createDataFrame([], SCORED)
     for r in items.select("k").distinct().orderBy("k").collect():  # at most ``shingle`` rows
-        out = out.unionByName(_matches(docs, items.where(F.col("k") == r.k), r.k, similarity, radius))
+        out = out.unionByName(_windows(docs, items.where(F.col("k") == r.k), r.k, similarity, radius))
     return out
 
 
-def _matches(docs: DataFrame, items: DataFrame, shingle: int, similarity: float, radius: int) -> DataFrame:
-    """Matches with items whose shingles have ``shingle`` words each."""
+def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float, radius: int) -> DataFrame:
+    """Windows similar to items whose shingles have ``shingle`` words each."""
     spark = docs.sparkSession
     items = items.select(F.xxhash64("item_id", "wh").alias("item"), "item_id", "n_words",
                          _shingles(F.col("wh"), shingle).alias("sh")).withColumn("n", F.size("sh"))
@@ -194,20 +205,21 @@ def _matches(docs: DataFrame, items: DataFrame, shingle: int, similarity: float,
         & (F.col("n") == F.col("_n")) & (F.col("start") == F.col("_start")))
     item_sets = stored(items.select("item", "item_id", "n_words", tagged(F.col("sh")).alias("item_sh")),
                        scratch(spark, "bench-sets"))
-    pairs = own.select("doc_id", "n", "start", F.size("sh").alias("size"), tagged(F.col("sh")).alias("sh"),
+    pairs = own.select("doc_id", "th", "n", "start", F.size("sh").alias("size"), tagged(F.col("sh")).alias("sh"),
                        F.explode("items").alias("item")).join(_bounded(item_sets, n_holders), "item")
     scored = (pairs.withColumn("both", F.size(F.array_intersect("sh", "item_sh")))
               .withColumn("similarity", F.col("both") / (F.col("size") + F.col("n") - F.col("both")))
               .where(F.col("similarity") >= similarity))
-    best = scored.groupBy("doc_id", "item", "item_id", "n_words").agg(
-        F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("b"))
-    return best.select("doc_id", F.col("item_id").cast("long").alias("item_id"),
-                       F.col("b.similarity").alias("similarity"),
-                       (-F.col("b.s")).alias("window_start"), "n_words")
+    return scored.select("doc_id", "th", "item", F.col("item_id").cast("long").alias("item_id"),
+                         "n_words", "start", "similarity")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that no benchmark item contaminates; all columns as they came."""
-    flagged = matches(docs.select("doc_id", "text"), benchmark) \
-        .select(F.col("doc_id").alias("_flagged")).distinct()
-    return docs.join(flagged, docs["doc_id"].eqNullSafe(flagged["_flagged"]), "left_anti")
+    """Rows of ``docs`` that no benchmark item contaminates; all columns as they came.
+
+    A row is judged by its own text: others of its doc_id (or without one) stay.
+    """
+    flagged = _scored(docs.select("doc_id", "text"), benchmark) \
+        .select(F.col("doc_id").alias("_flagged"), F.col("th").alias("_text_hash")).distinct()
+    return docs.join(flagged, docs["doc_id"].eqNullSafe(flagged["_flagged"])
+                     & (F.xxhash64(docs["text"]) == flagged["_text_hash"]), "left_anti")

@@ -17,7 +17,9 @@ alternating star rounds in Spark.
 
 Defined results: null and empty texts have fingerprint zero, linked like any other;
 null doc_ids come last in the choice of a component's smallest; rows sharing a doc_id are
-rows each; an empty table gives an empty result; other columns are not read.
+rows each, and ``one_of_each`` keeps exactly one row a component (of a smallest doc_id, or of
+none, held by several rows: the one with the smallest fingerprint, then text hash); an empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -64,18 +66,19 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long."""
+    """(doc_id, th, fp): the text's hash, and the fingerprint's 64 bits as a signed long."""
 
     def run(it):
         for table in it:
             for part in batches(table, 512):
-                fps = np.array([simhash(t, shingle) for t in part.column(1).to_pylist()],
+                fps = np.array([simhash(t, shingle) for t in part.column(2).to_pylist()],
                                dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))],
-                                                 names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(fps.view(np.int64))],
+                    names=["doc_id", "th", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
+                       "text").mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def distance(a: int, b: int) -> int:
@@ -193,8 +196,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODE
     return met.select("sides").mapInArrow(search, "a long, b long")
 
 
-def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id (smallest doc_id reachable) of every document."""
+def _rooted(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and each distinct one's smallest doc_id, row count and root."""
     spark = docs.sparkSession
     fps = stored(fingerprints(docs, shingle), scratch(spark, "simhash"))
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least"),
@@ -203,6 +206,13 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     linked = components(links(distinct.select("fp"), radius))
     roots = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
+    return fps, roots
+
+
+def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (hex), component_id (smallest doc_id reachable) of every document."""
+    spark = docs.sparkSession
+    fps, roots = _rooted(docs, shingle, radius)
     # Component of each distinct fingerprint; a component of very many is dealt over tasks.
     counted = stored(roots.groupBy("root").agg(F.min("least").alias("component_id"),
                                                F.count(F.lit(1)).alias("members")),
@@ -218,8 +228,24 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Rows of ``docs`` that stand for their group: the smallest doc_id; all columns as they came."""
-    groups = simhash_dedup(docs.select("doc_id", "text"), shingle, radius)
-    keep = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))) \
-        .select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi")
+    """The row of ``docs`` that stands for each component: of the smallest doc_id; all columns as they came."""
+    spark = docs.sparkSession
+    fps, roots = _rooted(docs.select("doc_id", "text"), shingle, radius)
+    none = F.col("doc_id").isNull().alias("none")
+    # Partial minima at each step: no hot group of rows meets in one task.
+    least = (fps.groupBy("fp", "doc_id", "th").agg(F.count(F.lit(1)).alias("copies"))
+             .groupBy("fp").agg(F.min(F.struct(none, "doc_id", "fp", "th", "copies")).alias("row")))
+    keep = stored(roots.select("fp", "root").join(least, "fp")
+                  .groupBy("root").agg(F.min("row").alias("row"))
+                  .select(F.col("row.doc_id").alias("_keep"), F.col("row.th").alias("_text_hash"),
+                          F.col("row.copies").alias("_copies")), scratch(spark, "simhash-keep"))
+
+    def rows_of(kept):
+        return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_keep"])
+                         & (F.xxhash64(docs["text"]) == kept["_text_hash"]), "left_semi")
+
+    repeated = keep.where("_copies > 1")
+    if repeated.isEmpty():
+        return rows_of(keep)
+    return rows_of(keep.where("_copies = 1")).unionByName(
+        rows_of(repeated).dropDuplicates(["doc_id", "text"]))

@@ -231,6 +231,24 @@ def test_simhash_dedup_equals_brute_force(frame):
     assert sorted(r.doc_id for r in stay.collect()) == sorted(set(least.values()))
 
 
+def test_one_row_stands_for_each_component(frame):
+    rng = random.Random(13)
+    a, b, c, d = (" ".join(rng.choices([f"w{i}" for i in range(300)], k=400)) for _ in range(4))
+    near = a.replace(a.split()[200], "Changed", 1)
+    assert (brute_simhash(a) ^ brute_simhash(near)).bit_count() <= 2
+    rows = [(5, a), (None, near), (None, a),                # goes: near copies of a kept document
+            (None, b), (None, b.upper()), (None, b),        # only null ids: one row
+            (None, c),                                      # another such component
+            (6, d), (6, near), (6, d.upper()), (7, d)]      # 6 stands for d alone, once
+    docs = frame(rows)
+    stay = simhash_dedup.one_of_each(docs)
+    assert stay.columns == docs.columns
+    got = sorted(((r.doc_id, r.text.lower()) for r in stay.collect()), key=str)
+    assert got == sorted([(5, a), (None, b), (None, c), (6, d)], key=str)
+    unique = frame([(5, a), (6, near), (None, c)])
+    assert sorted((r.doc_id for r in simhash_dedup.one_of_each(unique).collect()), key=str) == [5, None]
+
+
 def test_simhash_dedup_of_an_empty_table(frame):
     assert simhash_dedup.simhash_dedup(frame([])).collect() == []
 

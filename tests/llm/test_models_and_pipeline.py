@@ -171,6 +171,17 @@ def test_decontamination_equals_brute_force(corpus, frame):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in docs if d not in flagged)
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_their_doc_id(corpus, frame):
+    item = " ".join(f"t{i}" for i in range(30))
+    rows = [(None, "a clean text without an id"), (None, f"before {item} after"), (None, None), (None, item),
+            (7, "a clean text with a repeated id"), (7, item), (8, "clean"), (9, f"{item} end")]
+    docs = frame(rows)
+    kept = decontam.clean_documents(docs, bench(corpus, [(1, item)]))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        ((d, t) for d, t in rows if "t5" not in (t or "")), key=str)
+
+
 def test_decontamination_of_empty_tables(corpus, frame):
     assert decontam.matches(frame([]), bench(corpus, [(1, "a b c d e f")])).collect() == []
     assert decontam.matches(frame([(1, "a b c d e f")]), bench(corpus, [])).collect() == []
