@@ -15,7 +15,7 @@ shuffling or sorting it again. Documents come in batches of ascending doc_id. A
 
 ``FANOUT`` runs of one level are compacted into one run of the next. Runs are disjoint
 by construction, so the owner of a key stands in exactly one of them. Keys are 128 bits
-of hash (two xxHash64 values), never the text.
+of hash (two xxHash64 values of different seeds), never the text.
 
 Defined results: null or empty text is one empty line; null doc_id counts as larger
 than every doc_id, and all rows without
@@ -97,7 +97,7 @@ def long_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
                         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
     keyed = lines.withColumn("key", line_key(F.col("line"))).where(F.char_length("key") >= min_chars)
     return keyed.select(F.coalesce("doc_id", F.lit(MAX_ID)).alias("id"), "doc_id", "th", "pos",
-                        F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(7)).alias("h2"))
+                        F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))  # hash of 7 as the seed
 
 
 def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = 10, buckets: int | None = None,

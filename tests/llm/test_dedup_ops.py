@@ -134,6 +134,31 @@ def test_a_continued_index_drops_lines_of_earlier_documents(frame, corpus):
     assert sorted((tuple(r) for r in got), key=str) == brute_lines(rows)
 
 
+def colliding_lines():
+    """Two lines of 16 letters with the same XXH64 of seed 42: the second word is solved for."""
+    p1, p2, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    m = (1 << 64) - 1
+    rotl = lambda x, r: (x << r | x >> 64 - r) & m
+    mix = lambda x: rotl(x * p2 & m, 31) * p1 & m
+    unmix = lambda y: rotl(y * pow(p1, -1, 1 << 64) & m, 33) * pow(p2, -1, 1 << 64) & m
+    first = lambda x: (rotl((42 + p5 + 16 & m) ^ mix(x), 27) * p1 + p4) & m
+    word = lambda b: int.from_bytes(b, "little")
+    line, rng = b"the line to meet", random.Random(1)
+    want = first(word(line[:8])) ^ mix(word(line[8:]))
+    while True:
+        head = bytes(rng.choices(range(97, 123), k=8))
+        tail = unmix(want ^ first(word(head))).to_bytes(8, "little")
+        if all(32 < c < 127 and not 65 <= c <= 90 for c in tail):
+            return line.decode(), (head + tail).decode()
+
+
+def test_lines_that_collide_in_one_hash_are_told_apart(frame):
+    a, b = colliding_lines()
+    assert a != b and xxhash.xxh64_intdigest(a, 42) == xxhash.xxh64_intdigest(b, 42)
+    rows = [(1, a), (2, b), (3, f"{a}\n{b}")]
+    assert sorted(tuple(r) for r in line_dedup.line_dedup(frame(rows)).collect()) == brute_lines(rows)
+
+
 def test_runs_are_compacted_and_disjoint(frame, corpus):
     index = line_dedup.LineIndex(corpus, 4)
     line_dedup.line_dedup(frame([(i, f"the shared line\nown line of {i}") for i in range(60)]),
