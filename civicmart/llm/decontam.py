@@ -146,7 +146,10 @@ def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float,
     holders = stored(items.select(F.explode("sh").alias("h"), "n").distinct(),
                      scratch(spark, "bench-holders"))
     n_holders = holders.count()
-    lengths = [r.n for r in items.select("n").distinct().collect()]  # distinct item lengths
+    lengths, n_shingles = [], 0
+    for r in items.groupBy("n").count().collect():  # distinct item lengths
+        lengths.append(r.n)
+        n_shingles += r["n"] * r["count"]
     stride = min(stride_for(n, similarity) for n in lengths)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
@@ -206,7 +209,7 @@ def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float,
     item_sets = stored(items.select("item", "item_id", "n_words", tagged(F.col("sh")).alias("item_sh")),
                        scratch(spark, "bench-sets"))
     pairs = own.select("doc_id", "th", "n", "start", F.size("sh").alias("size"), tagged(F.col("sh")).alias("sh"),
-                       F.explode("items").alias("item")).join(_bounded(item_sets, n_holders), "item")
+                       F.explode("items").alias("item")).join(_bounded(item_sets, n_shingles), "item")
     scored = (pairs.withColumn("both", F.size(F.array_intersect("sh", "item_sh")))
               .withColumn("similarity", F.col("both") / (F.col("size") + F.col("n") - F.col("both")))
               .where(F.col("similarity") >= similarity))

@@ -182,6 +182,21 @@ def test_clean_rows_stay_beside_contaminated_ones_of_their_doc_id(corpus, frame)
         ((d, t) for d, t in rows if "t5" not in (t or "")), key=str)
 
 
+def test_item_sets_are_broadcast_by_all_their_shingles(corpus, frame, monkeypatch):
+    item, seen = " ".join(f"t{i}" for i in range(30)), []
+
+    def bounded(df, rows, kept=decontam._bounded):
+        if "item_sh" in df.columns:
+            seen.append((rows, df.selectExpr("sum(size(item_sh)) n").first().n))
+        return kept(df, rows)
+
+    monkeypatch.setattr(decontam, "_bounded", bounded)
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 100)
+    got = decontam.matches(frame([(1, item), (2, "x")]), bench(corpus, [(k, item) for k in range(10)])).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, k) for k in range(10)]
+    assert seen == [(260, 260)]
+
+
 def test_decontamination_of_empty_tables(corpus, frame):
     assert decontam.matches(frame([]), bench(corpus, [(1, "a b c d e f")])).collect() == []
     assert decontam.matches(frame([(1, "a b c d e f")]), bench(corpus, [])).collect() == []
