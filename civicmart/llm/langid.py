@@ -210,9 +210,10 @@ def identify(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 
 
 def with_language(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """Rows of ``docs`` in which a language was found (not ``und``); all columns as they came.
+    """Rows of ``docs`` in which a language can be found; all columns as they came.
 
-    Rows are rejected by their text alone: no letter in it, or null.
+    Rows are rejected by their text alone: no letter in it, or null. Without a labelled
+    row to train on the others stay.
     """
     model = train(docs.where(fold(F.col("doc_id"), 3) != 1), max_docs)
     state = docs.sparkSession.sparkContext.broadcast(pickle.dumps((model.langs, model.tables)))
@@ -222,7 +223,8 @@ def with_language(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
         own = Model(*pickle.loads(state.value))
         for table in it:
             for part in batches(table, 512):
-                keep = [own.predict(t)[0] != "und" for t in part.column(at).to_pylist()]
+                keep = [own.predict(t)[0] != "und" or bool(t and LETTERS.search(t.lower()))
+                        for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

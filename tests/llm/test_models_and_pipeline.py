@@ -47,6 +47,13 @@ def test_language_id_edges(frame):
     assert [(r.lang_pred, r.score) for r in unlabelled] == [("und", 0.0)]
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_texts_with_letters_stay_without_a_model(frame, lang):
+    rows = [(1, "abc"), (2, "some words"), (3, None), (4, ""), (5, "12 --"), (None, "é")]
+    kept = langid.with_language(frame(rows, lang=lang)).collect()
+    assert sorted((str(r.doc_id) for r in kept)) == ["1", "2", "None"]
+
+
 def test_words_come_before_ngrams():
     import numpy as np
     tables = {0: {"chat": np.log([0.1, 0.9])}, 5: {}, 4: {"chat": np.log([0.9, 0.1])}, 3: {},
