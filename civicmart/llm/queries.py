@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart.llm import (decontam, exact_dedup, langid, line_dedup, packing, quality_knn,
-                           simhash_dedup, token_store, toxicity, warc)
+                           simhash_dedup, substring_dedup, token_store, toxicity, warc)
 from civicmart.llm.common import read_table
 
 
@@ -58,6 +58,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
 # DuckDB writes the white space class as an RE2 class; chr(11) and chr(12) need \x escapes.
 _SPACE = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -90,11 +96,35 @@ w AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM w
 """
 
+# A window is its 13 words joined by spaces; words hold none.
+_OP11_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '{_SPACE}+') if x <> ''] AS ws
+  FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+firsts AS (SELECT k, min(doc_id) AS owner FROM wins GROUP BY k HAVING min(doc_id) <> max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, i + j AS pos
+  FROM wins JOIN firsts USING (k), (SELECT unnest(range(13)) AS j) WHERE owner < doc_id),
+words AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_language_id, op2_toxicity, op3_line_dedup, op4_warc, op5_decontamination, op6_packing,
-        op7_token_store, op8_simhash_dedup, op9_quality, op10_exact_dedup)}
+        op7_token_store, op8_simhash_dedup, op9_quality, op10_exact_dedup, op11_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": _OP3_SQL, "op10_exact_dedup": _OP10_SQL}
+    return {"op3_line_dedup": _OP3_SQL, "op10_exact_dedup": _OP10_SQL,
+            "op11_substring_dedup": _OP11_SQL}
