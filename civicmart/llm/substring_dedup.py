@@ -7,22 +7,24 @@ smaller doc_id is repeated, and all words it covers go.
 1. *Shards by content.* A window's key is the smallest hash of its ``gram``-word grams, so
    equal windows have equal keys wherever they stand, and neighbouring windows mostly share
    theirs: a document falls into *pieces*, runs of windows of one key. Only keys that two
-   documents hold can matter (partial minima and maxima of doc_id tell); pieces of other
-   keys are left where they are. A key of very many rows (a gram in a third of all
-   documents) is replaced by the hash of the whole window, so that no shard depends on how
-   often a gram is used; windows that are frequent themselves need no search for a partner.
-2. *Index.* Equal pieces are merged by their text, with their smallest and largest doc_id and
-   their number. A shard holds the distinct pieces of some keys, about ``shard_words`` words,
-   in a compressed FM-index (``fm_index``).
+   texts hold can matter; pieces of other keys are left where they are. A key of very many
+   rows (a gram in a third of all documents) is replaced by the hash of the whole window, so
+   that no shard depends on how often a gram is used.
+2. *Index.* A shard holds the pieces of some keys; the distinct ones, each with its smallest
+   doc_id, are put into a compressed FM-index (``fm_index``).
 3. *Matching statistics.* The pieces are streamed through the index of their shard: backward search
    gives for each word the longest match that starts there. A stretch of at least ``window``
    words is an interval of rows, and the smallest doc_id among them is that of the first
    document holding the window.
 4. *Removal.* Each occurrence of a piece loses the windows with a first document smaller than
-   its own; the intervals of a text are joined back to it and its words dropped.
+   its own; the intervals are joined back to the texts and the words dropped. The joins before
+   and after the search read one exchange of the texts.
 
-Frequent keys are found by tasks that report the keys above a share of their batch, so the
-list has a proven bound (``1 / share`` keys) and misses no key of twice that share.
+Windows that are themselves in very many rows are merged before they are sent anywhere. Their list
+has a proven bound: tasks report what is above a share of their batch, so at most ``1 / share``
+windows can be listed and none of twice that share is missed. They are searched in an index
+of their own and looked up by their text where the words are dropped. The same holds for
+frequent keys.
 
 Defined results: null and empty texts have no words; a null doc_id counts as larger than every
 doc_id, all rows without one as one document; rows sharing a doc_id are one document (what they share stays in each); texts shorter than a
@@ -33,16 +35,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import salted_join, scratch, stored
+from civicmart.llm.common import scratch, stored
 from civicmart.llm.fm_index import FMIndex
 from civicmart.llm.textmodel import mixed
 from civicmart.llm.tokenize import batches
 
 WINDOW, GRAM = 13, 5
-SHARD_WORDS = 400_000
+SHARD_WORDS = 1_000_000  # of a shard, if all of its windows were repeated
 HOT_SHARE = 1e-4       # a key is frequent from this share of all rows on: at most 1 / HOT_SHARE keys
 RUN = 64               # windows of a piece at most; longer runs of a key are cut
 BATCH_CHARS = 2_000_000
@@ -133,9 +135,9 @@ class Windows:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """doc (smallest first, null last), routing hash of the row, text."""
+    """doc_id, doc (null as the largest), routing hash of the row, text."""
     doc = F.col("doc_id").cast("long")
-    return docs.select(F.coalesce(doc, F.lit(MAX_ID)).alias("doc"),
+    return docs.select(doc.alias("doc_id"), F.coalesce(doc, F.lit(MAX_ID)).alias("doc"),
                        F.xxhash64(doc, "text").alias("r"),
                        F.coalesce("text", F.lit("")).alias("text"))
 
@@ -145,8 +147,13 @@ def _parts(tables):
         yield from batches(table, 4096, BATCH_CHARS)
 
 
-def frequent_keys(texts: DataFrame, window: int, gram: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and windows that hold more than about ``share`` of all rows: two sorted lists."""
+def _column(part, name: str) -> pa.Array:
+    c = part.column(name)
+    return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+
+
+def frequent_keys(texts: DataFrame, window: int, gram: int, share: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys and windows that hold more than about ``share`` of all rows, sorted; and the number of windows."""
 
     def report(it):
         for part in _parts(it):
@@ -163,51 +170,72 @@ def frequent_keys(texts: DataFrame, window: int, gram: int, share: float) -> tup
     counted = stored(texts.select("text").mapInArrow(report, "kind int, key long, n long")
                      .groupBy("kind", "key").agg(F.sum("n").alias("n")),
                      scratch(texts.sparkSession, "substring-frequent"))
-    total = {r.kind: r.n for r in counted.where("key IS NULL").collect()}  # two rows
-    out = []
-    for kind in (0, 1):
-        limit = max(500, int(share * total.get(kind, 0)))
-        rows = counted.where((F.col("kind") == kind) & (F.col("key").isNotNull()) & (F.col("n") > limit))
-        out.append(np.sort(np.array([r.key for r in rows.select("key").collect()], dtype=np.int64)))
-    return out[0], out[1]
+    total = max([r.n for r in counted.where("key IS NULL").collect()], default=0)  # two rows
+    limit = max(500, int(share * total))
+    rows = counted.where(F.col("key").isNotNull() & (F.col("n") > limit)).collect()  # 2 / share at most
+    grams, windows = (np.sort(np.array([r.key for r in rows if r.kind == k], dtype=np.int64)) for k in (0, 1))
+    return grams, windows, total
 
 
-def _column(part, name: str) -> pa.Array:
-    c = part.column(name)
-    return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+def frequent_windows(texts: DataFrame, window: int, hot: np.ndarray) -> dict[bytes, int]:
+    """The text of each frequent window and the smallest doc_id that holds it, by an index of their own."""
+    if not len(hot):
+        return {}
+    spark = texts.sparkSession
+    listed = spark.sparkContext.broadcast(hot)
+
+    def occurrences(it):
+        for part in _parts(it):
+            words = Words(_column(part, "text"))
+            found = Windows(words, window, 1, np.zeros(0, np.int64))
+            at = found.at[_among(found.whole, listed.value)]
+            joined, begins = words.joined()
+            ends = np.append(begins, len(joined))[at + window] - 1
+            least: dict[bytes, int] = {}
+            docs = _column(part, "doc").to_numpy()[words.row[at]]
+            for s, e, doc in zip(begins[at].tolist(), ends.tolist(), docs.tolist(), strict=True):
+                text = joined[s:e]
+                least[text] = min(doc, least.get(text, MAX_ID))
+            yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.binary()),
+                                              pa.array(list(least.values()), pa.int64())], names=["piece", "doc"])
+
+    distinct = texts.mapInArrow(occurrences, "piece binary, doc long").groupBy("piece").agg(F.min("doc").alias("doc"))
+    # One shard: no more than 1 / share windows.
+    told = (distinct.select(F.lit(0).alias("shard"), "doc", F.lit(0).cast("long").alias("r"),
+                            F.lit(0).cast("long").alias("start"), "piece")
+            .groupBy("shard").applyInArrow(lambda t: first_documents(t, window), "piece binary, doc long"))
+    return {bytes(r.piece): r.doc for r in told.collect()}
 
 
 def shared_keys(texts: DataFrame, window: int, gram: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(r, keys): for each text the keys that some other document holds too."""
-    spark = texts.sparkSession
-    lists = spark.sparkContext.broadcast(hot)
+    """(r, keys): for each text the keys that some other text holds too, but for frequent windows."""
+    lists = texts.sparkSession.sparkContext.broadcast(hot)
 
     def keys(it):
         grams_hot, windows_hot = lists.value
         for part in _parts(it):
             words = Words(_column(part, "text"))
             found = Windows(words, window, gram, grams_hot)
-            cold = ~_among(found.whole, windows_hot)  # frequent windows are shared without asking
+            cold = ~_among(found.whole, windows_hot)
             row, key = words.row[found.at[cold]], found.key[cold]
             new = np.ones(len(row), dtype=bool)
             new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
-            row = row[new]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[new]), _column(part, "doc").take(pa.array(row)),
-                 _column(part, "r").take(pa.array(row))], names=["key", "doc", "r"])
+                [pa.array(key[new]), _column(part, "r").take(pa.array(row[new]))], names=["key", "r"])
 
-    # One exchange by key serves the extremes and the join; no key in it is frequent.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts.mapInArrow(keys, "key long, doc long, r long").repartition(n, "key")
-    shared = (rows.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-              .where("low <> high").select("key"))
-    return rows.join(shared, "key", "left_semi").groupBy("r").agg(F.collect_set("key").alias("keys"))
+    same = Window.partitionBy("key")  # no key in it is frequent
+    return (texts.select("r", "text").mapInArrow(keys, "key long, r long")
+            .withColumns({"low": F.min("r").over(same), "high": F.max("r").over(same)}).where("low <> high")
+            .groupBy("r").agg(F.collect_set("key").alias("keys")))
 
 
-def pieces(texts: DataFrame, keys: DataFrame, window: int, gram: int,
-           hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc, r, start, key, piece): runs of windows that may be repeated, with their words."""
-    lists = texts.sparkSession.sparkContext.broadcast(hot)
+PIECES = "shard long, doc long, r long, start long, piece binary"
+
+
+def pieces(with_keys: DataFrame, window: int, gram: int, hot: tuple[np.ndarray, np.ndarray],
+           shards: int) -> DataFrame:
+    """Runs of windows that may be repeated, with their words, of (doc, r, text, keys, ..)."""
+    lists = with_keys.sparkSession.sparkContext.broadcast(hot)
 
     def cut(it):
         grams_hot, windows_hot = lists.value
@@ -217,20 +245,16 @@ def pieces(texts: DataFrame, keys: DataFrame, window: int, gram: int,
             listed = _column(part, "keys")
             row = words.row[found.at]
             ends = np.searchsorted(row, np.arange(part.num_rows), "right")
-            begin = 0
-            wanted = _among(found.whole, windows_hot)
-            key = np.where(wanted, found.whole, found.key)
+            wanted, begin = np.zeros(len(row), dtype=bool), 0
             for k, end in enumerate(ends.tolist()):
-                if end > begin and listed[k].is_valid:
-                    known = np.sort(listed[k].values.to_numpy())
-                    wanted[begin:end] |= _among(key[begin:end], known)
+                if end > begin:
+                    wanted[begin:end] = _among(found.key[begin:end], np.sort(listed[k].values.to_numpy()))
                 begin = end
-            at, key, row = found.at[wanted], key[wanted], row[wanted]
+            wanted &= ~_among(found.whole, windows_hot)
+            at, key, row = found.at[wanted], found.key[wanted], row[wanted]
             if not len(at):
                 continue
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1)
-            first = np.flatnonzero(new)
+            first = _run_starts(at, row, key)
             since = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
             first = np.flatnonzero(since % RUN == 0)
             last = np.append(first[1:], len(at)) - 1
@@ -238,98 +262,81 @@ def pieces(texts: DataFrame, keys: DataFrame, window: int, gram: int,
             a, b = at[first], at[last] + window  # first word, and the word behind the last
             ends_at = np.append(begins, len(joined))[b] - 1
             text = [joined[s:e] for s, e in zip(begins[a].tolist(), ends_at.tolist(), strict=True)]
-            row_of = row[first]
-            word0 = np.searchsorted(words.row, row_of, "left")
+            row = row[first]
             yield pa.RecordBatch.from_arrays(
-                [_column(part, "doc").take(pa.array(row_of)), _column(part, "r").take(pa.array(row_of)),
-                 pa.array((a - word0).astype(np.int64)), pa.array(key[first]), pa.array(text, pa.binary())],
-                names=["doc", "r", "start", "key", "piece"])
-
-    with_keys = texts.join(keys, "r", "left").select("doc", "r", "text", "keys")
-    return with_keys.mapInArrow(cut, "doc long, r long, start long, key long, piece binary")
-
-
-def search_shard(table: pa.Table, window: int) -> pa.Table:
-    """Index the distinct pieces of a shard and stream them through it.
-
-    Returns (p1, p2, runs) of the pieces with repeated windows: runs of windows (first, last) and
-    the smallest doc_id that holds them.
-    """
-    texts = table.column("piece").to_pylist()
-    low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
-    ids: dict[bytes, int] = {}
-    words = [t.split(b" ") for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    begins = np.cumsum(sizes + 1) - (sizes + 1)
-    text = np.zeros(int((sizes + 1).sum()), dtype=np.int64)
-    flat = np.fromiter((ids.setdefault(w, len(ids) + 1) for ws in words for w in ws), np.int64,
-                       int(sizes.sum()))
-    owner = np.repeat(np.arange(len(words)), sizes)
-    text[np.arange(len(flat)) + owner] = flat
-    index = FMIndex(text, window)
-    length, row = index.matching_statistics(text, begins, begins + sizes)
-    # The first document of every block of rows that agree on a window.
-    owner_at = np.repeat(np.arange(len(words)), sizes + 1)
-    starts = index.starts(window)
-    first_doc = np.minimum.reduceat(low[owner_at[index.order]], starts[:-1])
-    at = np.flatnonzero(length >= window)
-    least = first_doc[np.searchsorted(starts, row[at], "right") - 1]
-    whose = owner_at[at]
-    some = least < high[whose]  # else no document that holds the piece loses the window
-    at, least, whose = at[some], least[some], whose[some]
+                [pa.array((mixed(key[first].view(np.uint64)) % np.uint64(shards)).astype(np.int64)),
+                 _column(part, "doc").take(pa.array(row)), _column(part, "r").take(pa.array(row)),
+                 pa.array(a - np.searchsorted(words.row, row, "left")), pa.array(text, pa.binary())],
+                names=["shard", "doc", "r", "start", "piece"])
+
+    return with_keys.mapInArrow(cut, PIECES)
+
+
+def _run_starts(at: np.ndarray, *same: np.ndarray) -> np.ndarray:
+    """Where runs of consecutive places with equal values begin."""
     new = np.ones(len(at), dtype=bool)
-    new[1:] = (whose[1:] != whose[:-1]) | (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1 if len(at) else first
-    piece = whose[first]
-    runs = pa.StructArray.from_arrays(
-        [pa.array((at[first] - begins[piece]).astype(np.int32)),
-         pa.array((at[last] - begins[piece]).astype(np.int32)), pa.array(least[first])],
-        names=["a", "b", "least"])
-    held, counts = np.unique(piece, return_counts=True)
-    offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
-    picked = table.select(["p1", "p2", "n"]).take(pa.array(held))
-    return pa.table([*picked.columns, pa.ListArray.from_arrays(offsets, runs)],
-                    names=["p1", "p2", "n", "runs"])
-
-
-RUNS = "p1 long, p2 long, n long, runs array<struct<a:int,b:int,least:long>>"
-
-
-def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
-                       shard_words: int = SHARD_WORDS, hot_share: float = HOT_SHARE) -> DataFrame:
-    """(doc, r, gone): for each text with repeated windows, the word intervals (first, last) they cover.
-
-    ``doc`` and ``r`` are the doc_id (null last) and the hash of doc_id and text that ``_texts`` gives a row.
-    """
-    spark = docs.sparkSession
-    gram = min(gram, window)
-    texts = _texts(docs)
-    hot = frequent_keys(texts, window, gram, hot_share)
-    keys = shared_keys(texts, window, gram, hot)
-    found = pieces(texts, keys, window, gram, hot).withColumns(
-        {"p1": F.xxhash64("key", "piece"), "p2": F.xxhash64(F.lit(7), "key", "piece")})
-    path = scratch(spark, "substring-pieces")
-    found.write.option("compression", "zstd").parquet(path)
-    found = spark.read.schema(found.schema).parquet(path)
-    path = scratch(spark, "substring-distinct")
-    distinct = (found.groupBy("key", "piece", "p1", "p2")
-                .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n")))
-    distinct.write.option("compression", "zstd").parquet(path)
-    distinct = spark.read.schema(distinct.schema).parquet(path)
-    size = distinct.agg(F.sum(F.octet_length("piece")), F.sum("n")).first()
-    shards = max(1, -(-(size[0] or 0) // (6 * shard_words)))  # about six bytes a word
-    runs = (distinct.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"),
-                            "p1", "p2", "piece", "low", "high", "n")
-            .groupBy("shard").applyInArrow(lambda t: search_shard(t, window), RUNS))
-    runs = stored(runs, scratch(spark, "substring-runs"))
-    hits = salted_join(found.select("doc", "r", "start", "p1", "p2"), runs, ["p1", "p2"], "n",
-                       size[1] or 0, F.col("r"), "inner")
-    spans = F.transform(F.filter("runs", lambda x: x["least"] < F.col("doc")), lambda x: F.struct(
-        (F.col("start") + x["a"]).alias("first"),
-        (F.col("start") + x["b"] + F.lit(window - 1)).alias("last")))
-    return (hits.select("doc", "r", F.explode(spans).alias("s"))
-            .groupBy("doc", "r").agg(F.collect_set("s").alias("gone")))
+    new[1:] = at[1:] != at[:-1] + 1
+    for values in same:
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+class _Shard:
+    """The distinct pieces of a shard, indexed, and each one's repeated windows."""
+
+    def __init__(self, table: pa.Table, window: int) -> None:
+        places: dict[bytes, int] = {}
+        self.piece = np.fromiter((places.setdefault(p, len(places)) for p in table.column("piece").to_pylist()),
+                                 np.int64, table.num_rows)
+        self.doc = table.column("doc").to_numpy()
+        self.texts = list(places)
+        n = len(places)
+        low, high = np.full(n, MAX_ID), np.full(n, -MAX_ID - 1)
+        np.minimum.at(low, self.piece, self.doc)
+        np.maximum.at(high, self.piece, self.doc)
+        words = [t.split(b" ") for t in places]
+        sizes = np.fromiter(map(len, words), np.int64, n)
+        ids: dict[bytes, int] = {}
+        flat = np.fromiter((ids.setdefault(w, len(ids) + 1) for ws in words for w in ws), np.int64, int(sizes.sum()))
+        begins = np.cumsum(sizes + 1) - (sizes + 1)
+        text = np.zeros(int((sizes + 1).sum()), dtype=np.int64)
+        text[np.arange(len(flat)) + np.repeat(np.arange(n), sizes)] = flat
+        index = FMIndex(text, window)
+        length, row = index.matching_statistics(text, begins, begins + sizes)
+        # The first document of every block of rows that agree on a window.
+        owner = np.repeat(np.arange(n), sizes + 1)
+        starts = index.starts(window)
+        first_doc = np.minimum.reduceat(low[owner[index.order]], starts[:-1])
+        at = np.flatnonzero(length >= window)
+        least = first_doc[np.searchsorted(starts, row[at], "right") - 1]
+        at, least = at[least < high[owner[at]]], least[least < high[owner[at]]]
+        first = _run_starts(at, owner[at], least)
+        last = np.append(first[1:], len(at))[:len(first)] - 1
+        # Runs of windows by piece: first and last window, smallest doc_id that holds them.
+        self.of = owner[at[first]]
+        self.a, self.b = at[first] - begins[self.of], at[last] - begins[self.of]
+        self.least, self.low = least[first], low
+
+
+def repeated_in_shard(table: pa.Table, window: int) -> pa.Table:
+    """(doc, r, first, last): word intervals that occurrences in a shard lose."""
+    shard = _Shard(table, window)
+    begin = np.searchsorted(shard.of, shard.piece, "left")
+    count = np.searchsorted(shard.of, shard.piece, "right") - begin
+    row = np.repeat(np.arange(len(shard.piece)), count)
+    run = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
+    gone = shard.least[run] < shard.doc[row]
+    row, run = row[gone], run[gone]
+    start = table.column("start").to_numpy()[row]
+    return pa.table([pa.array(shard.doc[row]), pa.array(table.column("r").to_numpy()[row]),
+                     pa.array(start + shard.a[run]), pa.array(start + shard.b[run] + window - 1)],
+                    names=["doc", "r", "first", "last"])
+
+
+def first_documents(table: pa.Table, window: int) -> pa.Table:
+    """Each distinct piece (a single window here) with the smallest doc_id of its rows in the index."""
+    shard = _Shard(table, window)
+    return pa.table([pa.array(shard.texts, pa.binary()), pa.array(shard.low)], names=["piece", "doc"])
 
 
 KEPT = "doc_id long, n_words long, n_removed long, kept_text string"
@@ -339,28 +346,53 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
                     shard_words: int = SHARD_WORDS, hot_share: float = HOT_SHARE) -> DataFrame:
     """Drop repeated passages of ``docs``; returns doc_id, n_words, n_removed, kept_text."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    gone = stored(repeated_intervals(docs, window, gram, shard_words, hot_share),
-                  scratch(spark, "substring-gone"))
+    gram = min(gram, window)
+    texts = _texts(docs)
+    *hot, n_windows = frequent_keys(texts, window, gram, hot_share)
+    hot = tuple(hot)
+    # A run of one key has about (window - gram + 2) / 2 windows, and window - 1 words more.
+    run = (window - gram + 2) / 2
+    shards = max(1, -(-int(n_windows * (run + window - 1) / run) // shard_words))
+    often = spark.sparkContext.broadcast((hot[1], frequent_windows(texts, window, hot[1])))
+    dealt = texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "r")
+    # Both joins take all columns of the texts, so that they read the same exchange.
+    found = pieces(dealt.join(shared_keys(texts, window, gram, hot), "r"), window, gram, hot, shards)
+    gone = (found.groupBy("shard").applyInArrow(lambda t: repeated_in_shard(t, window),
+                                                "doc long, r long, first long, last long")
+            .groupBy("r").agg(F.collect_set(F.struct("doc", "first", "last")).alias("gone")))
 
     def drop(it):
-        for table in it:
-            for part in batches(table, 512):
-                rows = []
-                for doc, text, spans in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
-                    words = (text or "").encode().split()
-                    n, kept = len(words), words
-                    if spans:
-                        stay = np.ones(n, dtype=bool)
-                        for s in spans:
-                            stay[s["first"]:s["last"] + 1] = False
-                        kept = [words[k] for k in np.flatnonzero(stay).tolist()]
-                    rows.append((doc, n, n - len(kept), b" ".join(kept)))
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept_text"])
+        windows_hot, first_of = often.value
+        for part in _parts(it):
+            words = Words(_column(part, "text"))
+            n = np.bincount(words.row, minlength=part.num_rows)
+            word0 = np.cumsum(n) - n
+            docs_of, listed = _column(part, "doc").to_numpy(), _column(part, "gone")
+            stay = np.ones(len(words.row) + 1, dtype=bool)
+            joined, begins = words.joined()
+            ends = np.append(begins, len(joined))[1:] - 1
+            for k, spans in enumerate(listed):
+                if spans.is_valid:
+                    own, first, last = (spans.values.field(c).to_numpy() for c in range(3))
+                    for a, b in zip(first[own == docs_of[k]].tolist(), last[own == docs_of[k]].tolist(), strict=True):
+                        stay[word0[k] + a:word0[k] + b + 1] = False
+            if len(windows_hot):
+                found = Windows(words, window, 1, np.zeros(0, np.int64))
+                for at in found.at[_among(found.whole, windows_hot)].tolist():
+                    text = joined[begins[at]:ends[at + window - 1]]
+                    if first_of.get(text, MAX_ID) < docs_of[words.row[at]]:
+                        stay[at:at + window] = False
+            stay = stay[:-1]
+            kept = np.bincount(words.row[stay], minlength=part.num_rows)
+            texts_kept = []
+            for k, (a, m, left) in enumerate(zip(word0.tolist(), n.tolist(), kept.tolist(), strict=True)):
+                if left == m:
+                    texts_kept.append(joined[begins[a]:ends[a + m - 1]] if m else b"")
+                else:
+                    texts_kept.append(b" ".join([joined[begins[i]:ends[i]]
+                                                 for i in (a + np.flatnonzero(stay[a:a + m])).tolist()]))
+            yield pa.RecordBatch.from_arrays(
+                [_column(part, "doc_id"), pa.array(n), pa.array(n - kept), pa.array(texts_kept, pa.string())],
+                names=["doc_id", "n_words", "n_removed", "kept_text"])
 
-    marked = docs.withColumns({"doc": F.coalesce("doc_id", F.lit(MAX_ID)), "r": F.xxhash64("doc_id", "text")}) \
-        .join(gone, ["doc", "r"], "left").select("doc_id", "text", "gone")
-    return marked.mapInArrow(drop, KEPT)
+    return dealt.join(gone, "r", "left").mapInArrow(drop, KEPT)
