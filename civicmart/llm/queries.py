@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart.llm import (decontam, exact_dedup, langid, line_dedup, packing, quality_knn,
-                           simhash_dedup, substring_dedup, token_store, toxicity, warc)
+                           simhash_dedup, substring_dedup, token_store, toxicity, warc, whitening)
 from civicmart.llm.common import read_table
 
 
@@ -64,6 +64,16 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, fitted, error = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    share = F.array(*map(F.lit, fitted.explained)).cast("array<double>")  # one number a component
+    return (rows.withColumn("explained", share)
+            .select("key", "deviation", F.posexplode(F.arrays_zip("whitened", "explained")).alias("k", "w"))
+            .select(F.col("key").alias("vec_id"), (F.col("k") + 1).cast("int").alias("component"),
+                    F.lit(fitted.n).cast("long").alias("n"), "deviation", "w.whitened", "w.explained",
+                    F.lit(error).cast("double").alias("identity_error")))
+
+
 # DuckDB writes the white space class as an RE2 class; chr(11) and chr(12) need \x escapes.
 _SPACE = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -122,7 +132,8 @@ FROM w LEFT JOIN kept USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_language_id, op2_toxicity, op3_line_dedup, op4_warc, op5_decontamination, op6_packing,
-        op7_token_store, op8_simhash_dedup, op9_quality, op10_exact_dedup, op11_substring_dedup)}
+        op7_token_store, op8_simhash_dedup, op9_quality, op10_exact_dedup, op11_substring_dedup,
+        op12_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
