@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import (decontam, exact_dedup, langid, line_dedup, packing, quality_knn,
+from civicmart.llm import (decontam, exact_dedup, hard_negatives, langid, line_dedup, packing, quality_knn,
                            simhash_dedup, substring_dedup, token_store, toxicity, warc, whitening)
 from civicmart.llm.common import read_table
 
@@ -74,6 +74,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(error).cast("double").alias("identity_error")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
 # DuckDB writes the white space class as an RE2 class; chr(11) and chr(12) need \x escapes.
 _SPACE = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -129,13 +134,37 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+_OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(c AS DOUBLE)) for c in embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS label, r.vec_id AS other, r.label AS other_label,
+         CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score
+  FROM s WHERE label = other_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM s JOIN p USING (anchor_id)
+WHERE label <> other_label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 3
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_language_id, op2_toxicity, op3_line_dedup, op4_warc, op5_decontamination, op6_packing,
         op7_token_store, op8_simhash_dedup, op9_quality, op10_exact_dedup, op11_substring_dedup,
-        op12_embedding_whitening)}
+        op12_embedding_whitening, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": _OP3_SQL, "op10_exact_dedup": _OP10_SQL,
-            "op11_substring_dedup": _OP11_SQL}
+            "op11_substring_dedup": _OP11_SQL, "op13_hard_negatives": _OP13_SQL}
