@@ -181,8 +181,10 @@ def _streamed(folder: str, columns: list[str], labels: list[int] | None = None):
     """Batches of a table in the shared folder, of some labels."""
     store, where = open_store(folder)
     wanted = None if labels is None else pads.field("label").isin(labels)
-    yield from pads.dataset(where, filesystem=store, format="parquet").to_batches(
-        columns=columns, filter=wanted, batch_size=ANCHOR_BATCH)
+    for part in pads.dataset(where, filesystem=store, format="parquet").to_batches(
+            columns=columns, filter=wanted, batch_size=ANCHOR_BATCH):
+        if part.num_rows:
+            yield part
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
