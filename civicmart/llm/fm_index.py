@@ -110,8 +110,12 @@ class FMIndex:
         while step < cap + 1:  # two suffixes are told apart up to ``cap`` symbols at least
             ahead = np.zeros(n, dtype=np.int64)
             ahead[:max(n - step, 0)] = ranks[-1][step:]
-            _, own = np.unique(ranks[-1] * (int(ranks[-1].max()) + 1) + ahead, return_inverse=True)
-            ranks.append(own.astype(np.int64))
+            key = ranks[-1] * (int(ranks[-1].max()) + 1) + ahead
+            order = np.argsort(key)
+            key = key[order]
+            own = np.empty(n, dtype=np.int64)
+            own[order] = np.cumsum(np.append(False, key[1:] != key[:-1]))
+            ranks.append(own)
             step *= 2
         self.order = np.argsort(ranks[-1], kind="stable")
         self.symbols = int(text.max()) + 1

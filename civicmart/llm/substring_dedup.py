@@ -54,9 +54,20 @@ _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) << np.uint64(20))
+_POWERS = {base: np.ones(1, np.uint64) for base in (_FACTOR, _INVERSE)}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, base, np.uint64)]))
+    """The first ``n`` powers, kept up to a batch's usual size."""
+    known = _POWERS[base]
+    if len(known) < n:
+        steps = np.full(max(n, 2 * BATCH_CHARS), base, np.uint64)
+        steps[0] = 1
+        known = np.multiply.accumulate(steps)
+        if n <= 2 * BATCH_CHARS:
+            _POWERS[base] = known
+    return known[:n]
 
 
 class Words:
@@ -85,8 +96,7 @@ class Words:
         """64-bit polynomial hashes of the words."""
         n = len(self._data)
         with np.errstate(over="ignore"):
-            value = mixed((self._data.astype(np.uint64) + np.uint64(1)) << np.uint64(20))
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(value * _powers(_FACTOR, n)[:n])])
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[self._data] * _powers(_FACTOR, n))])
             own = (sums[self.ends] - sums[self.starts]) * _powers(_INVERSE, n)[self.starts]
             return mixed(own ^ (own >> np.uint64(31)))
 
@@ -103,9 +113,8 @@ def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each ``n`` consecutive words."""
     last = len(hashes) - n + 1
     with np.errstate(over="ignore"):
-        out = hashes[:last].copy()
-        for k in range(1, n):
-            out = out * np.uint64(_FACTOR) + hashes[k:last + k]
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * _powers(_FACTOR, len(hashes)))])
+        out = (sums[n:] - sums[:last]) * _powers(_INVERSE, last)
     return mixed(out ^ (out >> np.uint64(32)))
 
 
@@ -124,9 +133,10 @@ class Windows:
             return
         hashes = words.hashes()
         grams, last = _rolled(hashes, gram), len(words.row) - window + 1
-        least = grams[:last].copy()
-        for k in range(1, window - gram + 1):
-            np.minimum(least, grams[k:last + k], out=least)
+        least, wide = grams, 1  # minima of stretches, doubled as far as they fit
+        while wide < window - gram + 1:
+            step = min(wide, window - gram + 1 - wide)
+            least, wide = np.minimum(least[:len(least) - step], least[step:]), wide + step
         inside = words.row[:last] == words.row[window - 1:]
         self.at = np.flatnonzero(inside)
         self.whole = _rolled(hashes, window)[inside].view(np.int64)
@@ -159,7 +169,9 @@ def frequent_keys(texts: DataFrame, window: int, gram: int, share: float) -> tup
         for part in _parts(it):
             found = Windows(Words(_column(part, "text")), window, gram, np.zeros(0, np.int64))
             for kind, keys in ((0, found.key), (1, found.whole)):
-                values, counts = np.unique(keys, return_counts=True)
+                keys = np.sort(keys)
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+                values, counts = keys[first], np.diff(np.append(first, len(keys)))
                 often = counts > max(1, share * len(keys))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.append(np.full(often.sum(), kind), kind).astype(np.int32)),
