@@ -44,3 +44,15 @@ def intensity_level(rate: Column | str, high: float = HIGH_THRESHOLD,
     """'High' if rate >= high, 'Medium' if rate >= medium, else 'Low' (NULL rate -> 'Low')."""
     r = _col(rate)
     return F.when(r >= F.lit(high), "High").when(r >= F.lit(medium), "Medium").otherwise("Low")
+
+
+def exact_mean(c: Column | str) -> Column:
+    """Mean of a DOUBLE column (an aggregate) that doesn't depend on the order of its rows.
+
+    Values are added as decimals of 10 places, which is exact and so order-free, and divided once. If one
+    isn't finite, or is 1e18 or more in size, the sum of these is the mean.
+    """
+    c = _col(c)
+    finite = F.abs(c) < F.lit(1e18)
+    odd = F.sum(F.when(~finite, c))
+    return F.coalesce(odd, F.sum(F.when(finite, c).cast("decimal(28,10)")).cast("double") / F.count(c))

@@ -99,9 +99,30 @@ def _header_cells(grid: DataFrame, header: DataFrame, offset: int, alias: str) -
 
 
 def kept_columns(data: DataFrame) -> DataFrame:
-    """``(file, col_idx)`` of columns with at least one non-empty data cell."""
-    cells = data.select("file", F.posexplode("cells").alias("col_idx", "value"))
-    return cells.where(~_is_empty(F.col("value"))).select("file", "col_idx").distinct()
+    """``(file, col_idx)`` of columns with at least one non-empty data cell.
+
+    Each row is a mask with a bit a column; the masks of a file are or-ed by partial aggregation (up to
+    32,768 columns, twice what a sheet can have), so a file of any length sends one mask a task.
+    """
+    per_file = data.where(F.size("cells") > 0).groupBy("file").agg(
+        F.bitmap_or_agg(_filled_mask(F.col("cells"))).alias("mask"), F.max(F.size("cells")).alias("width"))
+    digit = F.hex("mask")
+
+    def filled(i: Column) -> Column:
+        of_four = F.conv(F.substr(digit, F.floor(i / 4).cast("int") + 1, F.lit(1)), 16, 10).cast("int")
+        return F.floor(of_four / F.pow(F.lit(2), 3 - i % 4)) % 2 == 1
+
+    kept = F.filter(F.sequence(F.lit(0), F.col("width") - 1), filled)
+    return per_file.select("file", F.explode(kept).alias("col_idx"))
+
+
+def _filled_mask(cells: Column) -> Column:
+    """A binary with the bits of the non-empty cells set, the first cell's highest."""
+    bits = F.transform(cells, lambda c: F.when(_is_empty(c), 0).otherwise(1))
+    bits = F.concat(bits, F.array_repeat(F.lit(0), F.pmod(-F.size(cells), F.lit(8)).cast("int")))
+    digits = F.transform(F.sequence(F.lit(0), (F.size(bits) / 4).cast("int") - 1), lambda i: F.hex(
+        F.get(bits, i * 4) * 8 + F.get(bits, i * 4 + 1) * 4 + F.get(bits, i * 4 + 2) * 2 + F.get(bits, i * 4 + 3)))
+    return F.unhex(F.array_join(digits, ""))
 
 
 def _names(grid: DataFrame, header: DataFrame, kept: DataFrame, mode: str,
@@ -176,6 +197,17 @@ def grid_rejects(grid: DataFrame, mode: str = "text", years: Sequence[int] | Non
     return rejected_files(grid, usable)
 
 
+def _placed_rows(grid: DataFrame, mode: str, years: Sequence[int] | None, drop_empty_place: bool,
+                 scan_rows: int | None, header_row: int | None) -> DataFrame:
+    """Data rows with their place and the layout of their file."""
+    layout = grid_layout(grid, mode, years, scan_rows=scan_rows, header_row=header_row)
+    data = grid.join(layout, "file").where(
+        F.col("row_idx") > F.col("header_row") + F.col("header_rows") - 1)
+    place = F.trim(_text(F.try_element_at("cells", (F.col("place_idx") + 1).cast("int"))))
+    rows = data.withColumn("place", place)
+    return rows.where((F.col("place") != "") & (F.col("place") != "nan")) if drop_empty_place else rows
+
+
 def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] | None = None,
                     drop_empty_place: bool = True, with_file: bool = False,
                     checkpoint: bool = True, scan_rows: int | None = None,
@@ -190,13 +222,8 @@ def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] |
     if checkpoint:
         shared_dir(grid.sparkSession)
         grid = grid.checkpoint(eager=True)
-    layout = grid_layout(grid, mode, years, scan_rows=scan_rows, header_row=header_row)
-    data = grid.join(layout, "file").where(
-        F.col("row_idx") > F.col("header_row") + F.col("header_rows") - 1)
-    place = F.trim(_text(F.try_element_at("cells", (F.col("place_idx") + 1).cast("int"))))
-    rows = data.select("file", "cells", place.alias("place"), F.explode("year_cols").alias("yc"))
-    if drop_empty_place:
-        rows = rows.where((F.col("place") != "") & (F.col("place") != "nan"))
+    data = _placed_rows(grid, mode, years, drop_empty_place, scan_rows, header_row)
+    rows = data.select("file", "cells", "place", F.explode("year_cols").alias("yc"))
     value = F.try_element_at("cells", (F.col("yc.col_idx") + 1).cast("int"))
     cols = [F.col("place"), F.col("yc.year").alias("year"),
             round_half_even_long(to_number(value)).alias("population")]
@@ -205,11 +232,25 @@ def population_long(grid: DataFrame, mode: str = "text", years: Sequence[int] |
     return rows.select(*cols)
 
 
-def population_wide(long: DataFrame, years: Sequence[int]) -> DataFrame:
-    """The clean wide frame: place plus one column per listed year."""
-    years = [int(y) for y in years]
-    wide = long.groupBy("place").pivot("year", years).agg(F.first("population"))
-    return wide.select("place", *[F.col(str(y)) for y in years])
+def population_wide(grid: DataFrame, mode: str, years: Sequence[int], drop_empty_place: bool = True,
+                    checkpoint: bool = True, scan_rows: int | None = None,
+                    header_row: int | None = None) -> DataFrame:
+    """The clean wide frame: ``(file, row_idx, place, <year>, ..)``, one row per data row of a sheet.
+
+    Each row gathers its own cells by the layout of its file, so two rows of one place stay two, in
+    one file or in several. Values are numbers as they stand (not rounded), NULL where a cell is
+    not a number or the sheet lacks the year.
+    """
+    if checkpoint:
+        shared_dir(grid.sparkSession)
+        grid = grid.checkpoint(eager=True)
+    data = _placed_rows(grid, mode, years, drop_empty_place, scan_rows, header_row)
+
+    def of_year(y: int) -> Column:
+        at = F.get(F.filter("year_cols", lambda c: c["year"] == y), F.lit(0))["col_idx"]
+        return to_number(F.try_element_at("cells", (at + 1).cast("int"))).alias(str(y))
+
+    return data.select("file", "row_idx", "place", *[of_year(int(y)) for y in years])
 
 
 def sheet_cells(grid: DataFrame, scan_rows: int = CONVERTER_SCAN_ROWS,
@@ -219,7 +260,6 @@ def sheet_cells(grid: DataFrame, scan_rows: int = CONVERTER_SCAN_ROWS,
     Header = first row with "geographic area" (files without one are left out, see
     ``rejected_files``); all-empty data columns are dropped; names are normalised
     (newline -> space, strip); rows whose first remaining column is empty go.
-    Write it with ``partitionBy("file")`` to keep one folder per sheet.
     """
     if checkpoint:
         shared_dir(grid.sparkSession)
@@ -235,3 +275,49 @@ def sheet_cells(grid: DataFrame, scan_rows: int = CONVERTER_SCAN_ROWS,
     cells = rows.select("file", "row_idx", F.posexplode("cells").alias("col_idx", "value"))
     return (cells.join(names, ["file", "col_idx"])
             .select("file", "row_idx", "col_idx", "name", "value"))
+
+
+def sheet_id(file: Column) -> Column:
+    """A short key that is safe as a folder name, the same for the same path: sheets of one name in
+    two folders have two."""
+    return F.substring(F.sha2(file, 256), 1, 16)
+
+
+def _header_names(grid: DataFrame, header: DataFrame) -> DataFrame:
+    """``(file, col_idx, name)`` as a data-frame reader names columns: a cell without text is
+    ``Unnamed: <position>``, a repeated text gets ``.1``, ``.2``, ..; then newlines and ends are cleaned."""
+    cells = _header_cells(grid, header, 0, "raw")
+    named = cells.withColumn("raw", F.when(_is_empty(F.col("raw")), F.concat(F.lit("Unnamed: "), "col_idx"))
+                             .otherwise(F.col("raw")))
+    nth = F.row_number().over(Window.partitionBy("file", "raw").orderBy("col_idx")) - 1
+    named = named.withColumn("nth", nth)
+    full = F.when(F.col("nth") > 0, F.concat("raw", F.lit("."), "nth")).otherwise(F.col("raw"))
+    return named.select("file", "col_idx", normalize_header(full).alias("name"))
+
+
+def _csv_field(c: Column) -> Column:
+    """A field of a CSV line: quoted where it must be, nothing for a missing cell."""
+    quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(c.isNull(), "").when(c.rlike('[",\r\n]'), quoted).otherwise(c)
+
+
+def sheet_lines(grid: DataFrame, scan_rows: int = CONVERTER_SCAN_ROWS, checkpoint: bool = True) -> DataFrame:
+    """The converter's clean sheets as CSV lines: ``(file, row_idx, line)``, the header at -1.
+
+    Sheets differ in their columns, so a sheet is rendered as text by its own list of kept columns;
+    no frame has to hold the columns of all. Rows whose first kept cell is empty go, as in ``sheet_cells``.
+    """
+    if checkpoint:
+        shared_dir(grid.sparkSession)
+        grid = grid.checkpoint(eager=True)
+    header = find_header(grid, "text", scan_rows=scan_rows)
+    data = _data_rows(grid, header, 1)
+    columns = (_header_names(grid, header).join(kept_columns(data), ["file", "col_idx"])
+               .groupBy("file").agg(F.array_sort(F.collect_list(F.struct("col_idx", "name"))).alias("kept")))
+    head = columns.select("file", F.lit(-1).alias("row_idx"), F.array_join(
+        F.transform("kept", lambda k: _csv_field(k["name"])), ",").alias("line"))
+    cells = F.transform("kept", lambda k: F.get("cells", k["col_idx"]))
+    rows = (data.join(columns, "file").withColumn("own", cells)
+            .where(~_is_empty(F.get("own", F.lit(0))))
+            .select("file", "row_idx", F.array_join(F.transform("own", _csv_field), ",").alias("line")))
+    return head.unionByName(rows)

@@ -29,6 +29,23 @@ def build_dim_location(locations: DataFrame) -> DataFrame:
                             F.col("area_code").cast("int").alias("area_code"), "area_name")
 
 
+def merge_dim_location(stored: DataFrame, locations: DataFrame) -> DataFrame:
+    """M2 over several loads: ``stored`` with the areas of ``locations`` whose code it lacks.
+
+    Ids given before never change; new codes follow the largest id, in the order of their codes.
+    ``area_code`` is unique, as the table declares: a code keeps the name it came with first
+    (of several new names the smallest), and rows without a code get no key. The anti join and the
+    unpartitioned row number see one row an area.
+    """
+    new = (locations.where(F.col("area_code").isNotNull()).groupBy(F.col("area_code").cast("int").alias("area_code"))
+           .agg(F.min("area_name").alias("area_name"))
+           .join(stored.select("area_code"), "area_code", "left_anti"))
+    last = stored.agg(F.coalesce(F.max("location_id"), F.lit(0))).scalar()
+    given = (last + F.row_number().over(Window.orderBy("area_code"))).cast("int")
+    return stored.select("location_id", "area_code", "area_name").unionByName(
+        new.select(given.alias("location_id"), "area_code", "area_name"))
+
+
 def load_fact(staging: DataFrame, dim_location: DataFrame) -> DataFrame:
     """M3: look up ``location_id`` by area_code; unknown codes keep NULL (orphans).
 

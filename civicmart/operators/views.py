@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.functions.metrics import rate_per_100k
+from civicmart.functions.metrics import exact_mean, rate_per_100k
 
 TOTAL = "total_crimes"
 
@@ -71,10 +71,11 @@ def location_geo(fact: DataFrame, dim_location: DataFrame, scale: int = 4) -> Da
 
     Averaged per location first (partial aggregation), then decorated. A mean
     is unchanged by the row duplication a join could introduce, so this equals
-    averaging after the join, grouped by (location_id, area_name).
+    averaging after the join, grouped by (location_id, area_name). Sums are exact decimals,
+    so the mean is the same however the rows are partitioned.
     """
     per_id = (fact.where(F.col("location_id").isNotNull()).groupBy("location_id")
-              .agg(F.avg("lat").alias("avg_lat"), F.avg("lon").alias("avg_lon")))
+              .agg(exact_mean("lat").alias("avg_lat"), exact_mean("lon").alias("avg_lon")))
     joined = per_id.join(dim_location.select("location_id", "area_name"), "location_id")
     return joined.select("location_id", "area_name",
                          F.round("avg_lat", scale).alias("avg_lat"),

@@ -121,6 +121,18 @@ _AUDIT = """
 _KPI = ("SELECT y AS year, n AS total_crimes, people AS population, jobless AS unemployment_rate, "
         "rate AS crime_rate_per_100k FROM rates WHERE jobless IS NOT NULL")
 
+_CELL = "(SELECT CAST(sum(k) AS BIGINT) FROM placed WHERE nat = n_nationkey AND y = {y})"
+_WIDE = ", ".join(f'CAST({_CELL.format(y=y)} AS DOUBLE) AS "{y}"' for y in range(1995, 2002))
+_WIDE_TEXT = ", ".join(f"CAST({_CELL.format(y=y)} AS VARCHAR) AS y{y}" for y in range(1995, 2002))
+# Order lines as facts: nothing is missing, orders of several lines repeat their key.
+_LEDGER = """
+  SELECT CAST(step AS INTEGER) AS step, name, CAST(violations AS BIGINT) AS violations, first_failure, action FROM (
+    SELECT 1 AS step, 'null' AS name, 0 AS violations, NULL AS first_failure, 'passed' AS action UNION ALL
+    SELECT 2, 'duplicate', count(*), concat('crime_id ', min(l_orderkey)), {judged}
+    FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1) UNION ALL
+    SELECT 3, 'orphan', {orphan} UNION ALL
+    SELECT 4, 'refresh', {last})"""
+
 _QUERIES = {
     "sample_rows": f"SELECT {_FACT} FROM incident WHERE crime_id IN (SELECT unnest(min(o_orderkey, 10)) FROM orders)",
     "rows_of_year": f"""SELECT {_FACT} FROM incident WHERE crime_id IN (
@@ -147,8 +159,8 @@ _QUERIES = {
     "by_location": f"""SELECT n_nationkey AS location_id, n_nationkey AS area_code, n_name AS area_name,
         n AS total_crimes FROM ({_PER_NATION}) JOIN nation ON n_nationkey = nat""",
     "by_type": "SELECT code AS crime_code, kind AS crime_desc, CAST(sum(k) AS BIGINT) AS total_crimes FROM placed GROUP BY ALL",
-    "location_geo": """SELECT area AS location_id, area_name, round(avg(lat), 4) AS avg_lat, round(avg(lon), 4) AS avg_lon
-        FROM incident WHERE area IS NOT NULL GROUP BY ALL""",
+    "location_geo": """SELECT area AS location_id, area_name, round(sum(lat::DECIMAL(28,10))::DOUBLE / count(lat), 4) AS avg_lat,
+        round(sum(lon::DECIMAL(28,10))::DOUBLE / count(lon), 4) AS avg_lon FROM incident WHERE area IS NOT NULL GROUP BY ALL""",
     "area_year_matrix": f"""SELECT n_name AS area_name, {_PIVOT}
         FROM placed JOIN nation ON n_nationkey = nat WHERE y BETWEEN 1995 AND 2001 GROUP BY n_name""",
     "null_profile": f"""SELECT (SELECT count(*) FROM orders) AS total_rows, {_MISSING[0]} AS null_year,
@@ -180,7 +192,7 @@ _QUERIES = {
     "clean_labour": _LABOUR,
     "csv_labour": _LABOUR,
     "load_unemployment": "SELECT y AS year, jobless AS unemployment_rate FROM measure WHERE jobless IS NOT NULL",
-    "load_population": f"SELECT year, population FROM ({_SHEET}) WHERE place = 'FRANCE'",
+    "load_population": f"SELECT year, population FROM ({_SHEET}) WHERE place = 'NATION_0'",
     "grid_header_rows": """SELECT concat('population_', lower(r_name), '.csv') AS file,
         CAST(1 + r_regionkey AS INTEGER) AS header_row FROM region""",
     "grid_to_long": _SHEET,
@@ -198,6 +210,45 @@ _QUERIES = {
               WHERE o.n_regionkey = r_regionkey AND o.n_name < nation.n_name) AS INTEGER) AS row_at
             FROM nation JOIN region ON r_regionkey = n_regionkey),
            (SELECT CAST(unnest([0, 2, 3, 4, 5, 6, 7, 8, 9]) AS INTEGER) AS col)""",
+    "population_wide": f"""
+      SELECT concat(prefix, 'population_', lower(r_name), '.csv') AS file, CAST(r_regionkey + 3 + (
+               SELECT count(*) FROM nation o WHERE o.n_regionkey = n.n_regionkey AND o.n_name < n.n_name) AS INTEGER) AS row_idx,
+             n_name AS place, {_WIDE}
+      FROM nation n JOIN region ON r_regionkey = n_regionkey, (SELECT unnest(['', 'again_']) AS prefix)""",
+    "sheet_csv": f"""
+      SELECT n_name AS place, (SELECT nullif(count(*), 0)::VARCHAR FROM customer WHERE c_nationkey = n_nationkey) AS base,
+             {_WIDE_TEXT}
+      FROM nation""",
+    "csv_lenient": """SELECT crime_id, lat, CASE WHEN status = 'P' AND crime_code = 1 THEN NULL ELSE lon END AS lon
+        FROM incident WHERE NOT (status = 'P' AND crime_code = 2)""",
+    "csv_rejects": """
+      SELECT 'more than 8 fields' AS reason, count(*) AS n FROM incident WHERE status = 'P' AND crime_code = 2
+      HAVING count(*) > 0 UNION ALL
+      SELECT concat('missing columns [', string_agg(concat(chr(39), c, chr(39)), ', '), ']'), 1
+      FROM (SELECT unnest(['DR_NO', 'DATE OCC', 'AREA', 'AREA NAME', 'Crm Cd', 'Crm Cd Desc', 'LAT', 'LON']) AS c)""",
+    "csv_head": """
+      SELECT y AS year, CAST(n AS INTEGER) AS line_no, CASE n WHEN 1 THEN 'crime_id,crime_desc,lat' ELSE concat_ws(',',
+               keys[n - 1], (SELECT crime_desc FROM incident WHERE crime_id = keys[n - 1]),
+               (SELECT lat FROM incident WHERE crime_id = keys[n - 1])) END AS line
+      FROM (SELECT year AS y, list_sort(list(crime_id)) AS keys FROM incident WHERE year IS NOT NULL GROUP BY year),
+           (SELECT unnest([1, 2, 3]) AS n) WHERE n <= len(keys) + 1""",
+    "dim_location_incremental": """
+      SELECT CAST(CASE WHEN a.area > 12 THEN (SELECT count(*) FROM _areas o WHERE o.area BETWEEN 13 AND a.area)
+                  ELSE (SELECT count(*) FROM _areas o WHERE o.area > 12 OR o.area <= a.area) END AS INTEGER) AS location_id,
+             CAST(a.area AS INTEGER) AS area_code, a.area_name FROM _areas a WHERE a.area IS NOT NULL""",
+    "audit_concurrent": """
+      SELECT CAST(run AS INTEGER) AS run, CAST((run - 1) * (SELECT count(jobless) FROM rates)
+               + (SELECT count(jobless) FROM rates e WHERE e.y <= r.y) AS INTEGER) AS log_id, y AS year, n AS total_crimes
+      FROM rates r, (SELECT unnest([1, 2]) AS run) WHERE jobless IS NOT NULL""",
+    "audit_expired": """SELECT CAST(run AS INTEGER) AS run, run = 3 AS kept,
+        CAST(run * (SELECT count(jobless) FROM rates) AS INTEGER) AS last_id FROM (SELECT unnest([1, 2, 3]) AS run)""",
+    "overwritten_table": "SELECT code AS crime_code, kind AS crime_desc, CAST(sum(k) AS BIGINT) AS total_crimes FROM placed GROUP BY ALL",
+    "gate_ledger_warn": _LEDGER.format(judged="'warned'", orphan="0, NULL, 'passed'", last="0, NULL, 'wrote run 1'"),
+    "gate_ledger_fail": _LEDGER.format(judged="'failed'", orphan="NULL, NULL, 'skipped'", last="NULL, NULL, 'no run'"),
+    "refresh_ledger": """
+      SELECT job, CAST(bad AS BIGINT) AS violations, said AS action, (SELECT count(jobless) FROM rates) AS audit_rows,
+             CAST((SELECT count(jobless) FROM rates) AS INTEGER) AS last_id
+      FROM (VALUES ('first', 0, 'wrote run 1'), ('second', 1, 'kept run 1')) v(job, bad, said)""",
     "dim_time": "SELECT y AS year FROM per_year WHERE y IN (1995, 1996, 1997, 1998, 1999, 2000)",
     "dim_location_keyed": """SELECT CAST((SELECT count(*) FROM _areas o WHERE o.area < a.area) + 1 AS INTEGER) AS location_id,
         CAST(a.area AS INTEGER) AS area_code, a.area_name FROM _areas a""",

@@ -19,14 +19,12 @@ from civicmart.operators import clean as C
 from civicmart.operators import grid as G
 from civicmart import schema as S
 from civicmart.operators import model as M
+from civicmart.plans import versions
 from civicmart.schema import INCIDENT_COLUMNS, LABOUR_COLUMNS
 from civicmart.sources.mart import Mart, materialize_mart, read_staging
 from civicmart.sources.raw import read_grid, read_raw_csv
 from civicmart.session import shared_dir
-from civicmart.sources.sinks import CSV_OPTIONS, write_frame
-
-
-LONG_SCHEMA = "place string, year int, population bigint"
+from civicmart.sources.sinks import write_frame
 
 
 def clean_incident_files(spark: SparkSession, src: str, dst: str, lo: int | None = 2020,
@@ -67,20 +65,29 @@ def clean_population_files(spark: SparkSession, src: str, dst: str, mode: str, y
     grid = read_grid(spark, src, glob=glob).checkpoint(eager=True)
     long = G.population_long(grid, mode, years, checkpoint=False, header_row=header_row)
     write_frame(long, f"{dst}/long", fmt)
-    reader = spark.read.schema(LONG_SCHEMA)
-    written = (reader.options(**CSV_OPTIONS).option("header", True).csv(f"{dst}/long") if fmt == "csv"
-               else reader.parquet(f"{dst}/long"))
-    write_frame(G.population_wide(written, years), f"{dst}/wide", fmt)
+    wide = G.population_wide(grid, mode, years, checkpoint=False, header_row=header_row)
+    write_frame(wide.sortWithinPartitions("file", "row_idx").drop("file", "row_idx"), f"{dst}/wide", fmt)
     write_frame(G.grid_rejects(grid, mode, years, header_row), f"{dst}/rejected")
     return spark.read.schema("file string").parquet(f"{dst}/rejected")
 
 
 def convert_sheet_files(spark: SparkSession, src: str, dst: str, glob: str = "*.csv") -> DataFrame:
-    """The sheet converter over a folder: cleaned cells in ``dst/cells``, one partition folder per
-    sheet; all files without a header in ``dst/rejected``, which is returned."""
+    """The sheet converter over a folder of exported sheets; returns the files without a header.
+
+    ``dst/sheets/sheet=<id>/`` holds the clean CSV of a sheet with its own header line and columns, one file
+    a sheet (as its source is). ``dst/index`` tells the path, id, rows and columns of every sheet,
+    ``dst/cells`` has all cells in long form, by the same id, and ``dst/rejected`` the files returned.
+    """
     shared_dir(spark)
     grid = read_grid(spark, src, glob=glob).checkpoint(eager=True)
-    write_frame(G.sheet_cells(grid, checkpoint=False), f"{dst}/cells", "parquet", partition_by=["file"])
+    lines = G.sheet_lines(grid, checkpoint=False).withColumn("sheet", G.sheet_id(F.col("file")))
+    (lines.repartition("sheet").sortWithinPartitions("sheet", "row_idx").select("sheet", "line")
+     .write.mode("overwrite").partitionBy("sheet").text(f"{dst}/sheets"))
+    cells = G.sheet_cells(grid, checkpoint=False).withColumn("sheet", G.sheet_id(F.col("file")))
+    write_frame(cells, f"{dst}/cells", partition_by=["sheet"])
+    written = spark.read.parquet(f"{dst}/cells").groupBy("file", "sheet").agg(
+        F.count_distinct("row_idx").alias("n_rows"), F.count_distinct("col_idx").alias("n_columns"))
+    write_frame(written, f"{dst}/index")
     rejected = G.rejected_files(grid, G.find_header(grid, "text", scan_rows=G.CONVERTER_SCAN_ROWS))
     write_frame(rejected, f"{dst}/rejected")
     return spark.read.schema("file string").parquet(f"{dst}/rejected")
@@ -100,19 +107,42 @@ def build_mart(events: DataFrame, population_long: DataFrame, unemployment: Data
     )
 
 
+def extend_dim_location(spark: SparkSession, path: str, locations: DataFrame) -> DataFrame:
+    """Add new areas to the dimension stored at ``path`` and return it; loads may run at once.
+
+    Every load commits a version on top of the newest one, so two loads that meet the same new
+    code give it one id.
+    """
+    locations = locations.select("area_code", "area_name")
+
+    def build(base: versions.Version | None, folder: str) -> int:
+        stored = (spark.createDataFrame([], S.DIM_LOCATION) if base is None
+                  else spark.read.schema(S.DIM_LOCATION).parquet(versions.data_path(path, base)))
+        M.merge_dim_location(stored, locations).repartition(1).write.parquet(folder)
+        last = spark.read.schema(S.DIM_LOCATION).parquet(folder).agg(F.max("location_id")).first()[0]
+        return int(last or 0)
+
+    return spark.read.schema(S.DIM_LOCATION).parquet(versions.data_path(path, versions.commit(path, build)))
+
+
 def load_mart_files(spark: SparkSession, events: str, population_long: str, unemployment: str,
-                    place: str, dst: str, lo: int | None = None, hi: int | None = None) -> Mart:
+                    place: str, dst: str, lo: int | None = None, hi: int | None = None,
+                    keys: str | None = None) -> Mart:
     """Read cleaned outputs, build, write and check the mart; returns the mart read back.
 
     The location dimension is written and checked first, then the fact load joins the
     written table, whose true size the planner knows. Keys that the tables declare
-    unique are refused when they repeat.
+    unique are refused when they repeat. ``keys``: a stored dimension that this load extends
+    (``extend_dim_location``), so areas keep their ids over loads.
     """
     rows = spark.read.parquet(events)
-    dim_path = f"{dst.rstrip('/')}/_load/dim_location"
-    dim = M.build_dim_location(M.extract_locations(rows).where("area_code IS NOT NULL"))
-    write_frame(dim.repartition(1), dim_path)
-    dim = spark.read.schema(S.DIM_LOCATION).parquet(dim_path)
+    if keys is None:
+        dim_path = f"{dst.rstrip('/')}/_load/dim_location"
+        dim = M.build_dim_location(M.extract_locations(rows).where("area_code IS NOT NULL"))
+        write_frame(dim.repartition(1), dim_path)
+        dim = spark.read.schema(S.DIM_LOCATION).parquet(dim_path)
+    else:
+        dim = extend_dim_location(spark, keys, M.extract_locations(rows))
     repeated = [r.area_code for r in dim.groupBy("area_code").count().where("count > 1").orderBy("area_code")
                 .select("area_code").collect()]  # at most the areas
     if repeated:
@@ -160,6 +190,7 @@ def main(argv: list[str] | None = None) -> int:
         e.add_argument(name, required=True)
     e.add_argument("--lo", type=int)
     e.add_argument("--hi", type=int)
+    e.add_argument("--keys", help="folder of the stored location dimension that loads extend")
     args = ap.parse_args(argv)
     spark = build_session("civicmart-etl")
     if args.cmd == "incidents":
@@ -181,7 +212,7 @@ def main(argv: list[str] | None = None) -> int:
             raise SystemExit(f"{n} files without a header, listed in {args.dst}/rejected")
     elif args.cmd == "load":
         load_mart_files(spark, args.events, args.population, args.unemployment, args.place, args.dst,
-                        args.lo, args.hi)
+                        args.lo, args.hi, args.keys)
     return 0
 
 

@@ -12,14 +12,16 @@ from __future__ import annotations
 
 import argparse
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicmart.operators import quality as Q
 from civicmart.operators.views import yearly_kpi_view
-from civicmart.plans.refresh import read_audit, refresh_audit
+from civicmart.plans.refresh import current_run, read_audit, refresh_audit
 from civicmart.sources.mart import Mart
 
 log = logging.getLogger(__name__)
@@ -29,6 +31,9 @@ class GateError(ValueError):
     """A quality gate failed under the ``fail`` policy."""
 
 
+LEDGER = "job string, step int, name string, violations bigint, first_failure string, action string"
+
+
 @dataclass
 class GateReport:
     total_rows: int = 0
@@ -36,6 +41,7 @@ class GateReport:
     duplicate_keys: int = 0
     orphan_rows: int = 0
     warnings: list[str] = field(default_factory=list)
+    ledger: list[tuple] = field(default_factory=list)  # (step, name, violations, first_failure, action)
 
     @property
     def passed(self) -> bool:
@@ -83,39 +89,89 @@ def check_mart(spark: SparkSession, path: str) -> None:
         raise ValueError(f"mart check failed: no readable {', '.join(missing)} below {path}")
 
 
+GATES = ("null", "duplicate", "orphan")  # in the order they are judged
+
+
 def run_gates(mart: Mart, policy: str = "warn",
-              null_cols: tuple[str, ...] = ("year", "location_id", "crime_desc")) -> GateReport:
-    """Null, duplicate and orphan gates on the fact (actions on one-row results)."""
+              null_cols: tuple[str, ...] = ("year", "location_id", "crime_desc"),
+              report: GateReport | None = None) -> GateReport:
+    """Null, duplicate and orphan gates on the fact (actions on one-row results).
+
+    ``report`` is filled as the gates go, so that its ledger tells what happened also when a gate
+    raises: each gate's violations and what was done (``passed``, ``warned``, ``failed``, ``skipped``).
+    """
     if policy not in ("warn", "fail"):
         raise ValueError(f"policy must be 'warn' or 'fail', got {policy!r}")
-    report = GateReport()
+    report = report if report is not None else GateReport()
     row = Q.fact_checks(mart.fact, mart.dim_location, null_cols).first()
     report.total_rows = int(row["total_rows"])
     report.nulls = {c: int(row[f"null_{c}"]) for c in null_cols}
 
-    def violated(message: str) -> None:
+    def judged(gate: str, violations: int, first: str | None, message: str) -> None:
+        step = GATES.index(gate) + 1
+        if not violations:
+            report.ledger.append((step, gate, 0, None, "passed"))
+            return
+        message = f"gate {gate}: {message}"
         report.warnings.append(message)
+        report.ledger.append((step, gate, violations, first, "failed" if policy == "fail" else "warned"))
         if policy == "fail":
+            report.ledger += [(k + 1, g, None, None, "skipped") for k, g in enumerate(GATES) if k + 1 > step]
             raise GateError(message)
         log.warning(message)
 
-    if any(report.nulls.values()):
-        violated("gate null: " + ", ".join(f"{n} rows lack {c}" for c, n in report.nulls.items() if n))
-    report.duplicate_keys = int(Q.duplicate_key_count(mart.fact, ["crime_id"]).first()[0])
-    if report.duplicate_keys:
-        violated(f"gate duplicate: {report.duplicate_keys} keys are used by several rows")
+    lacking = [c for c, n in report.nulls.items() if n]
+    judged("null", sum(report.nulls.values()), lacking[0] if lacking else None,
+           ", ".join(f"{report.nulls[c]} rows lack {c}" for c in lacking))
+    keys = Q.duplicate_keys(mart.fact, ["crime_id"]).agg(F.count(F.lit(1)).alias("n"), F.min("crime_id").alias("first"))
+    found = keys.first()
+    report.duplicate_keys = int(found["n"])
+    judged("duplicate", report.duplicate_keys, None if found["first"] is None else f"crime_id {found['first']}",
+           f"{report.duplicate_keys} keys are used by several rows")
     report.orphan_rows = int(row["orphan_rows"])
-    if report.orphan_rows:
-        violated(f"gate orphan: {report.orphan_rows} rows point at no known location")
+    judged("orphan", report.orphan_rows, "location_id" if report.orphan_rows else None,
+           f"{report.orphan_rows} rows point at no known location")
     return report
 
 
+def write_ledger(spark: SparkSession, path: str, job: str, report: GateReport) -> None:
+    """Append a job's steps to the ledger beside the audit log (a few rows)."""
+    rows = [(job, *step) for step in report.ledger]
+    spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/_ledger")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """All steps of all jobs: job, step, name, violations, first_failure, action."""
+    return spark.read.schema(LEDGER).parquet(f"{path.rstrip('/')}/_ledger")
+
+
 def run_batch(spark: SparkSession, mart: Mart, audit_path: str, policy: str = "warn",
-              on_error: str = "keep_previous") -> tuple[GateReport, DataFrame]:
-    """Gates -> refresh -> verify. Returns the gate report and the current audit log."""
-    report = run_gates(mart, policy)
-    kpi = yearly_kpi_view(mart.fact, mart.population, mart.unemployment)
-    refresh_audit(spark, kpi, audit_path, on_error=on_error)
+              on_error: str = "keep_previous", job: str | None = None) -> tuple[GateReport, DataFrame]:
+    """Gates -> refresh -> verify. Returns the gate report and the current audit log.
+
+    Every step is written to the ledger with the run, whatever its end: a gate that stopped the job, the
+    gates and the refresh it kept from running, a refresh that failed and which run stayed current.
+    """
+    report, step = GateReport(), len(GATES) + 1
+    before = current_run(spark, audit_path)
+    stays = f"kept run {before}" if before else "no run"
+    try:
+        run_gates(mart, policy, report=report)
+        kpi = yearly_kpi_view(mart.fact, mart.population, mart.unemployment)
+        try:
+            run = refresh_audit(spark, kpi, audit_path, on_error="raise")
+            report.ledger.append((step, "refresh", 0, None, f"wrote run {run}"))
+        except Exception as exc:  # noqa: BLE001 - policy decides
+            report.ledger.append((step, "refresh", 1, type(exc).__name__, stays))
+            if on_error == "raise":
+                raise
+            log.error("audit refresh failed, %s: %s", stays, exc)
+    except GateError:
+        report.ledger.append((step, "refresh", None, None, stays))
+        raise
+    finally:
+        if report.ledger:
+            write_ledger(spark, audit_path, job or uuid.uuid4().hex, report)
     audit = read_audit(spark, audit_path)
     for r in audit.collect():  # one row per year
         log.info("year=%s total=%s rate=%s unemployment=%s", r["year"], r["total_crimes"],

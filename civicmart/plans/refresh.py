@@ -1,31 +1,24 @@
 """Audit-log refresh (R1-R4): a full refresh that keeps ``log_id`` growing.
 
-Each refresh writes a new run folder ``<path>/run=<n>/`` and, only once that
-write has committed, appends ``(run, committed_at, last_id)`` to a small commit log
-``<path>/_runs``; ids go on from the last one ever given, also after an empty run. The current audit log is the newest logged run, so readers
-never see a half-written run, and a failed refresh leaves the previous run
-current. A run folder written but never logged (the job died in between) is
-invisible and is overwritten by the next attempt. Old rows disappear from view
-by construction (only one run is current); old run folders can be expired by
-the storage's lifecycle rules. Everything goes through Spark readers and
-writers, so it works the same on a local folder or a cluster file system.
+Every refresh is a version of the log (``plans.versions``): rows go to a folder of their own, and
+one marker file makes them current. Two refreshers at once can't harm each other: the slower one
+finds its number taken, reads the last id that the other gave, and goes on from there, so ids of all
+refreshes are disjoint and grow. A failed refresh leaves the previous run current. Old rows
+disappear from view by construction (only one run is current); ``expire`` removes their files.
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicmart import schema as S
+from civicmart.plans import versions
 
 log = logging.getLogger(__name__)
 
-RUN_LOG_SCHEMA = "run int, committed_at timestamp, last_id int"
-
-
 def audit_rows(kpi: DataFrame, prev_max_id: int = 0) -> DataFrame:
     """Audit projection of the yearly KPI; ``log_id`` continues after ``prev_max_id``.
 
@@ -42,30 +35,22 @@ def audit_rows(kpi: DataFrame, prev_max_id: int = 0) -> DataFrame:
     )
 
 
-def run_log(spark: SparkSession, path: str) -> DataFrame | None:
-    """The commit log ``(run, committed_at)``, or None before the first refresh."""
-    try:
-        return spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{path.rstrip('/')}/_runs")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise  # an unreadable log is not an empty one
-        return None
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The commit log ``(run, folder, committed_at, last_id)``, empty before the first refresh."""
+    return versions.history(spark, path)
 
 
 def current_run(spark: SparkSession, path: str) -> int | None:
-    runs = run_log(spark, path)
-    if runs is None:
-        return None
-    latest = runs.agg(F.max("run")).first()[0]
-    return None if latest is None else int(latest)
+    version = versions.latest(path)
+    return version.run if version else None
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The current audit log ordered by year (empty if never refreshed)."""
-    run = current_run(spark, path)
-    if run is None:
+    version = versions.latest(path)
+    if version is None:
         return spark.createDataFrame([], S.AUDIT_LOG)
-    df = spark.read.schema(S.AUDIT_LOG).parquet(f"{path.rstrip('/')}/run={run}")
+    df = spark.read.schema(S.AUDIT_LOG).parquet(versions.data_path(path, version))
     return df.select(*S.AUDIT_LOG.fieldNames()).orderBy("year")
 
 
@@ -74,27 +59,25 @@ def refresh_audit(spark: SparkSession, kpi: DataFrame, path: str,
     """Write a new audit run from ``kpi`` (action); return the current run number.
 
     ``on_error='keep_previous'`` logs a failure and leaves the previous run current
-    (the stand-alone job's rollback-and-continue); ``'raise'`` propagates it.
+    (the stand-alone job's rollback-and-continue); ``'raise'`` propagates it. A run that another
+    refresher overtakes is written again with the ids that follow.
     """
     if on_error not in ("keep_previous", "raise"):
         raise ValueError(f"on_error must be 'keep_previous' or 'raise', got {on_error!r}")
-    path = path.rstrip("/")
-    previous = current_run(spark, path)
-    runs = run_log(spark, path)
-    prev_max = 0 if runs is None else int(runs.agg(F.max("last_id")).first()[0] or 0)
-    n = (previous or 0) + 1
+    previous = versions.latest(path)
+
+    def build(base: versions.Version | None, folder: str) -> int:
+        given = base.last_id if base else 0
+        audit_rows(kpi, given).coalesce(1).write.parquet(folder)
+        last = spark.read.schema(S.AUDIT_LOG).parquet(folder).agg(F.max("log_id")).first()[0]
+        return given if last is None else int(last)  # an empty run gives no id
+
     try:
-        audit_rows(kpi, prev_max).coalesce(1).write.mode("overwrite").parquet(f"{path}/run={n}")
-        given = (spark.read.schema(S.AUDIT_LOG).parquet(f"{path}/run={n}").agg(F.max("log_id")).first()[0]
-                 or prev_max)
-        # the commit point: one row appended to the run log
-        (spark.createDataFrame([(n, given)], "run int, last_id int")
-         .select("run", F.current_timestamp().alias("committed_at"), "last_id")
-         .coalesce(1).write.mode("append").parquet(f"{path}/_runs"))
+        version = versions.commit(path, build)
     except Exception as exc:  # noqa: BLE001 - policy decides
         if on_error == "raise":
             raise
-        log.error("audit refresh failed, keeping run %s: %s", previous, exc)
-        return previous
-    log.info("audit log refreshed: run %s, log_id after %s", n, prev_max)
-    return n
+        log.error("audit refresh failed, keeping run %s: %s", previous.run if previous else None, exc)
+        return previous.run if previous else None
+    log.info("audit log refreshed: run %s, last log_id %s", version.run, version.last_id)
+    return version.run

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 
@@ -91,3 +92,32 @@ def cluster_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }
+
+
+_SCRATCH: set[str] = set()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared one, for what its queries write on the way.
+
+    It goes when the driver's process ends, or earlier by ``remove_scratch``.
+    """
+    root = f"{shared_dir(spark)}/civicmart-{application_id(spark)}"
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(_remove, root)
+    return root
+
+
+def _remove(root: str) -> None:
+    from civicmart.sources import store
+    if root in _SCRATCH:
+        _SCRATCH.discard(root)
+        store.remove(root)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all that queries of this application wrote to the shared folder; frames read from it end."""
+    from civicmart.sources.mart import forget
+    forget(spark)
+    _remove(scratch_root(spark))

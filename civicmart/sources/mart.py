@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from civicmart import schema as S
 from civicmart.operators.model import build_dim_location, extract_locations
-from civicmart.session import application_id, shared_dir
+from civicmart.session import application_id, scratch_root
 from civicmart.sources import bindings as B
 from civicmart.sources.sinks import CSV_OPTIONS
 from civicmart.sources.tables import read_table
@@ -104,21 +104,31 @@ _LOCK = threading.Lock()
 
 
 def _state(spark: SparkSession, source: str) -> str:
-    """Names, sizes and times of the source files: a rewritten input is loaded again."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    """Names, sizes and times of the source files: a rewritten input is loaded again.
+
+    Taken from Spark's file metadata columns, which read no data column, and reduced to one number a table.
+    """
     parts = []
     for table in SOURCE_TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(f"{source.rstrip('/')}/{table}.parquet")
-        for s in path.getFileSystem(conf).listStatus(path):
-            parts.append(f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}")
-    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()
+        files = read_table(spark, source, table).select(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        parts.append(str(tuple(files.agg(F.count(F.lit(1)), F.sum(
+            F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)"))).first())))
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()
 
 
 def _app_path(spark: SparkSession, kind: str, source: str) -> tuple[tuple[str, str, str], str]:
     app = application_id(spark)
     key = (kind, app, f"{source.rstrip('/')}?{_state(spark, source)}")
     digest = hashlib.sha1(key[2].encode()).hexdigest()[:12]
-    return key, f"{shared_dir(spark)}/civicmart-{kind}/{app}/{digest}"
+    return key, f"{scratch_root(spark)}/{kind}/{digest}"
+
+
+def forget(spark: SparkSession) -> None:
+    """Load anew what this application asks for next (its files are about to go)."""
+    with _LOCK:
+        for key in [k for k in _LOADED if k[1] == application_id(spark)]:
+            del _LOADED[key]
 
 
 def mart_for(spark: SparkSession, sf_dir: str) -> Mart:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,82 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def header_groups(spark: SparkSession, path: str, glob: str | None = None) -> list[tuple[list[str], list[str]]]:
+    """Files of a folder grouped by their header line: (columns, file paths) of each group.
+
+    Lines are told apart by where they stand, so only one line a file is kept. The driver holds
+    the file names, as it does to plan any read of them.
+    """
+    heads = head_lines(spark, path, 1, glob).select("file", "line").collect()  # one a file
+    groups: dict[str, list[str]] = {}
+    for r in heads:
+        groups.setdefault(r.line.lstrip("\ufeff"), []).append(r.file)
+    out = []
+    for line, files in sorted(groups.items()):
+        parsed = spark.createDataFrame([(line,)], "line string")
+        n = 1 + line.count(",")
+        names = parsed.select(F.from_csv("line", ", ".join(f"_c{i} string" for i in range(n)), CSV_OPTIONS)).first()[0]
+        out.append(([c for c in names if c is not None], sorted(files)))
+    return out
+
+
+def read_raw_csv_lenient(spark: SparkSession, path: str, columns: Sequence[str],
+                         glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Header CSV whose files may differ -> (rows, rejects); one bad file or row doesn't end the folder.
+
+    Files are read in groups of one header and unioned by name, so columns may come in any order and
+    further ones are ignored. A row with fewer fields than its header is padded with NULL, as a data-frame
+    reader does. Rejected, with the reason: rows with more fields, and files that lack one of ``columns``.
+    ``rejects`` is (file, reason, line); its file-level rows have no line. Fields don't hold line breaks.
+    """
+    rows = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    rejects = spark.createDataFrame([], "file string, reason string, line string")
+    for names, files in header_groups(spark, path, glob):
+        missing = [c for c in columns if c not in names]
+        if missing:
+            listed = spark.createDataFrame([(f, f"missing columns {missing}", None) for f in files], rejects.schema)
+            rejects = rejects.unionByName(listed)
+            continue
+        # One field beyond the header tells too long rows from short ones.
+        schema = _wide_string_schema(len(names) + 1).add(CORRUPT, T.StringType())
+        read = (spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", True)
+                .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                .option("columnPruning", False).schema(schema).csv(files)
+                .withColumn("file", F.col("_metadata.file_path")))
+        # Spark keeps the text of every row that hasn't exactly the schema's fields: without it there is one more.
+        too_long = F.col(CORRUPT).isNull() | (_fields(F.col(CORRUPT)) > len(names))
+        line = F.coalesce(CORRUPT, F.to_csv(F.struct(*[f"_c{i}" for i in range(len(names) + 1)])))
+        rows = rows.unionByName(read.where(~too_long).select(
+            *[F.col(f"_c{names.index(c)}").alias(c) for c in columns]))
+        rejects = rejects.unionByName(read.where(too_long).select(
+            "file", F.lit(f"more than {len(names)} fields").alias("reason"), line.alias("line")))
+    return rows, rejects
+
+
+def _fields(line: Column) -> Column:
+    """Fields of a CSV line: commas outside quotes, and one."""
+    return F.regexp_count(F.regexp_replace(line, '"([^"]|"")*"', ""), F.lit(",")) + 1
+
+
+def head_lines(spark: SparkSession, path: str, k: int = 3, glob: str | None = None) -> DataFrame:
+    """The first ``k`` lines of each file as they stand: (file, line_no, line).
+
+    A line's place is (start of its split, place in the task), which is the file's order however many
+    splits it has. Only splits that begin in the first bytes can hold a first line, but a line may be long, so
+    all are looked at; each task keeps ``k`` lines a file (planned as a WindowGroupLimit).
+    """
+    reader = spark.read
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"),
+        F.col("value").alias("line"))
+    order = Window.partitionBy("file").orderBy("block", "pos")
+    return (lines.withColumn("line_no", F.row_number().over(order)).where(F.col("line_no") <= k)
+            .select("file", "line_no", "line"))
+
+
 def _wide_string_schema(n_cols: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n_cols)])
 

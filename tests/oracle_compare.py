@@ -55,7 +55,7 @@ def duck_type(t) -> str:
     name = str(t)
     if name.startswith("DECIMAL"):
         return name.lower().replace(" ", "")
-    return {"BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "float64", "VARCHAR": "str"}.get(name, name)
+    return {"BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "float64", "VARCHAR": "str", "BOOLEAN": "boolean"}.get(name, name)
 
 
 def canon(columns, rows):

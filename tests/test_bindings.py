@@ -4,7 +4,7 @@ from civicmart.operators import queries as Q
 from civicmart.sources import bindings as B
 from civicmart.sources.mart import mart_from_tables, materialize_mart
 from civicmart.sources.tables import read_table
-from conftest import SF001
+from paths import SF001
 
 
 def _rows(df):

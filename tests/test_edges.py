@@ -176,8 +176,8 @@ def test_grid_year_row_and_two_row_header(spark):
     fixed = _grid(spark, {"s.csv": [sheet[0], ["Geographic Area"] + sheet[1][1:]] + sheet[2:]})
     two_row = sorted(tuple(r) for r in G.population_long(fixed, "two_row", [2020, 2021]).collect())
     assert two_row == by_years
-    wide = G.population_wide(G.population_long(fixed, "two_row", [2020, 2021]), [2020, 2021]).collect()
-    assert [tuple(r) for r in wide] == [(".Alpha", 10, 11)]
+    wide = G.population_wide(fixed, "two_row", [2020, 2021]).collect()
+    assert [tuple(r) for r in wide] == [("s.csv", 3, ".Alpha", 10.0, 11.0)]
 
 
 def test_sheet_cells_converter_output(spark):

@@ -11,7 +11,7 @@ from civicmart.sources import bindings as B
 from civicmart.sources.mart import mart_from_tables
 from civicmart.sources.sinks import write_frame
 from civicmart.sources.tables import read_table
-from conftest import SF001
+from paths import SF001
 
 
 def _write_grid_files(grid_df, folder):
@@ -64,10 +64,61 @@ def test_sheet_converter_job(spark, scratch):
         fh.write("no header here\n1,2\n")
     rejected = [r[0] for r in etl.convert_sheet_files(spark, f"{scratch}/sheets", f"{scratch}/out").collect()]
     assert [r.rsplit("/", 1)[1] for r in rejected] == ["bad.csv"]
-    out = spark.read.parquet(f"{scratch}/out")
+    out = spark.read.parquet(f"{scratch}/out/cells")
     assert sorted((r["name"], r["value"]) for r in out.collect()) == [("2020", "5"), ("Geographic Area", "Alpha")]
 
 
+def test_sheet_converter_writes_a_csv_per_sheet_that_reads_back(spark, scratch):
+    """Sheets of one name in two folders, of different columns, with quotes, newlines and repeated headers."""
+    for folder, text in (("x", 'title,,\n"Geographic Area",,2020\n"Al, pha",,5\n,,7\nBeta,,\n'),
+                         ("y", '"Geographic Area",Base,Base,,"Two\nlines"\n"say ""hi""",1,2,3,"a\nb"\n')):
+        os.makedirs(f"{scratch}/in/{folder}")
+        with open(f"{scratch}/in/{folder}/a.csv", "w") as fh:
+            fh.write(text)
+    assert etl.convert_sheet_files(spark, f"{scratch}/in/*", f"{scratch}/out").count() == 0
+    index = {r["file"].split("/")[-2]: r for r in spark.read.parquet(f"{scratch}/out/index").collect()}
+    assert {k: (r["n_rows"], r["n_columns"]) for k, r in index.items()} == {"x": (2, 2), "y": (1, 5)}
+    got = {k: spark.read.options(header=True, multiLine=True, escape='"').csv(f"{scratch}/out/sheets/sheet={r['sheet']}")
+           for k, r in index.items()}
+    assert got["x"].columns == ["Geographic Area", "2020"]
+    assert [tuple(r) for r in got["x"].collect()] == [("Al, pha", "5"), ("Beta", None)]
+    assert got["y"].columns == ["Geographic Area", "Base", "Base.1", "Unnamed: 3", "Two lines"]
+    assert [tuple(r) for r in got["y"].collect()] == [('say "hi"', "1", "2", "3", "a\nb")]
+
+
+def test_wide_output_keeps_rows_of_one_place_apart(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    for name, rows in (("a", "A,1,5,6\nA,1,7,n/a\n"), ("b", "A,1,8,9.5\n")):
+        with open(f"{scratch}/in/{name}.csv", "w") as fh:
+            fh.write("place,base,2020,2021\n" + rows)
+    etl.clean_population_files(spark, f"{scratch}/in", f"{scratch}/out", "years", [2020, 2021])
+    wide = spark.read.parquet(f"{scratch}/out/wide")
+    assert wide.columns == ["place", "2020", "2021"]
+    assert sorted(map(tuple, wide.collect()), key=str) == [("A", 5.0, 6.0), ("A", 7.0, None), ("A", 8.0, 9.5)]
+
+
+def test_location_ids_are_stable_over_loads(spark, scratch):
+    schema = "area_code int, area_name string"
+    first = etl.extend_dim_location(spark, f"{scratch}/dim", spark.createDataFrame([(7, "G"), (5, "E")], schema))
+    assert sorted(map(tuple, first.collect())) == [(1, 5, "E"), (2, 7, "G")]
+    more = spark.createDataFrame([(1, "A"), (7, "renamed"), (6, "F"), (6, "F2"), (None, "?")], schema)
+    second = etl.extend_dim_location(spark, f"{scratch}/dim", more)
+    assert sorted(map(tuple, second.collect())) == [(1, 5, "E"), (2, 7, "G"), (3, 1, "A"), (4, 6, "F")]
+    assert sorted(map(tuple, etl.extend_dim_location(spark, f"{scratch}/dim", more).collect())) == \
+        sorted(map(tuple, second.collect()))
+
+
+def test_loads_at_once_give_a_code_one_id(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    schema = "area_code int, area_name string"
+    loads = [spark.createDataFrame([(c, f"n{c}") for c in range(k, k + 4)], schema) for k in (0, 2, 4)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda d: etl.extend_dim_location(spark, f"{scratch}/dim", d).count(), loads))
+    rows = etl.extend_dim_location(spark, f"{scratch}/dim", loads[0].limit(0)).collect()
+    assert sorted(r["area_code"] for r in rows) == list(range(8))
+    assert sorted(r["location_id"] for r in rows) == list(range(1, 9))
+
+
 def test_etl_cli_incidents(spark, scratch):
     raw = spark.createDataFrame([("1", "01/08/2021 02:05:00 PM", "3", "Pacific", "510", "STOLEN", "34.0", "-118.0")],
                                 ", ".join(f"`{c}` string" for c in INCIDENT_COLUMNS))
@@ -89,7 +140,7 @@ def test_csv_outputs_read_back_typed(spark, scratch):
         fh.write('"Geographic Area",Base,2020,2021\nAlpha,1,5,6\n')
     etl.clean_population_files(spark, f"{scratch}/sheets", f"{scratch}/pop", "text", [2020, 2021], fmt="csv")
     wide = spark.read.option("header", True).csv(f"{scratch}/pop/wide").collect()
-    assert [tuple(r) for r in wide] == [("Alpha", "5", "6")]
+    assert [tuple(r) for r in wide] == [("Alpha", "5.0", "6.0")]
 
 
 def test_etl_cli_all_subcommands(spark, scratch):

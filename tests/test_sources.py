@@ -3,7 +3,7 @@
 import os
 
 from civicmart.schema import INCIDENT_COLUMNS
-from civicmart.sources.raw import profile_raw, read_grid, read_raw_csv
+from civicmart.sources.raw import head_lines, profile_raw, read_grid, read_raw_csv, read_raw_csv_lenient
 from civicmart.sources.sinks import write_frame
 
 
@@ -54,6 +54,33 @@ def test_profile_raw(spark, scratch):
     assert prof["b.csv"]["n_rows"] == 0 and prof["b.csv"]["sample"] is None
 
 
+def test_lenient_read_pads_short_rows_and_sets_bad_ones_aside(spark, scratch):
+    _write(f"{scratch}/in/a.csv", 'A,B,C\n1,2,3\n4,5\n6\n7,8,9,10\n"x, y",,"q""q"\n')
+    _write(f"{scratch}/in/b.csv", "C,X,A,B\n3,z,1,2\n")
+    _write(f"{scratch}/in/c.csv", "A,B\n1,2\n")
+    _write(f"{scratch}/in/d.csv", "A,B,C\n10,11,12\n")
+    rows, rejects = read_raw_csv_lenient(spark, f"{scratch}/in", ["A", "C"])
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(
+        [("1", "3"), ("4", None), ("6", None), ("x, y", 'q"q'), ("1", "3"), ("10", "12")], key=str)
+    got = sorted((os.path.basename(r["file"]), r["reason"], r["line"]) for r in rejects.collect())
+    assert got == [("a.csv", "more than 3 fields", "7,8,9,10"), ("c.csv", "missing columns ['C']", None)]
+
+
+def test_head_lines_of_a_file_in_many_splits(spark, scratch):
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(4000)]
+    _write(f"{scratch}/h/long.csv", "\n".join(lines) + "\n")
+    _write(f"{scratch}/h/short.csv", "one\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = {(os.path.basename(r["file"]), r["line_no"]): r["line"]
+               for r in head_lines(spark, f"{scratch}/h", 3).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {("long.csv", 1): lines[0], ("long.csv", 2): lines[1], ("long.csv", 3): lines[2],
+                   ("short.csv", 1): "one"}
+
+
 def test_write_frame_roundtrip(spark, scratch):
     df = spark.createDataFrame([(2020, "a,b"), (2021, None)], "year int, s string")
     write_frame(df, f"{scratch}/o_csv", fmt="csv")
