@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicmart.session import shared_dir
@@ -22,6 +22,7 @@ HOT_LIST = 10_000
 HOT_ROWS = 500
 
 SAMPLE_STEPS = 1 << 52
+SAMPLE_PARTS = 8
 
 
 _SHIPPED: set[str] = set()
@@ -97,18 +98,49 @@ def salted_join(left: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     return dealt.join(spread, [*keys, "_part"], how).drop("_part")
 
 
-def sampled(df: DataFrame, limit: int, seed: str, key: str = "doc_id") -> DataFrame:
-    """At most about ``limit`` rows for fitting a model, chosen by a hash of ``key``.
+def sample_place(df: DataFrame, seed: str) -> Column:
+    """A row's place among SAMPLE_STEPS, from the hash of all its columns."""
+    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(SAMPLE_STEPS))
 
-    The same rows are chosen on every run and for every partitioning. With at most
-    ``limit`` rows all are taken. SAMPLE_STEPS is far above any row count over ``limit``,
-    so the share never rounds to nothing.
+
+def sample_steps(limit: int, n: int) -> int:
+    """Rows with a place below this number are about ``limit`` of ``n``."""
+    return SAMPLE_STEPS if n <= limit else int(limit / n * SAMPLE_STEPS)
+
+
+def sampled(df: DataFrame, limit: int, seed: str, by: str | None = None) -> DataFrame:
+    """Rows for fitting a model, chosen by a hash of all their columns: all if at most ``limit``, else about
+    ``limit`` and never over twice as many.
+
+    With ``by``, every value of that column gets an equal part of ``limit`` and what small ones leave over is not
+    dealt out. The same rows are chosen on every run and for every partitioning. Repeated
+    rows have one hash; where so many are alike that the share of all rows misses the limit by half, rows
+    are taken in the order of their hash instead, which bounds them too. SAMPLE_STEPS is far above any
+    row count over ``limit``, so the share never rounds to nothing.
     """
-    n = df.count()
-    if n <= limit:
+    h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
+    place = sample_place(df, seed)
+    groups = [by] if by else []
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).collect() if by else [None]
+    if by:
+        n = {r[0]: r.n for r in sizes}  # one number a value of ``by``
+    else:
+        n = {None: df.count()}
+    part = -(-limit // max(1, len(n)))
+    if all(k <= part for k in n.values()):
         return df
-    share = int(limit / n * SAMPLE_STEPS)
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(SAMPLE_STEPS)) < share)
+    share = F.lit(0).cast("long")
+    for value, k in n.items():
+        own = F.lit(sample_steps(part, k))
+        share = F.when(F.col(by).eqNullSafe(F.lit(value)), own).otherwise(share) if by else own
+    picked = df.where(place < share)
+    got = {r[0]: r.n for r in picked.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).collect()} if by \
+        else {None: picked.count()}
+    if all(min(part, k) // 2 <= got.get(value, 0) <= 2 * part for value, k in n.items()):
+        return picked
+    rank = F.row_number().over(Window.partitionBy(*groups, F.pmod(h, F.lit(SAMPLE_PARTS))).orderBy("_h"))
+    return (df.withColumn("_h", h).withColumn("_rank", rank)
+            .where(F.col("_rank") <= -(-2 * part // SAMPLE_PARTS)).drop("_h", "_rank"))
 
 
 def fold(key: Column, n: int) -> Column:

@@ -7,34 +7,38 @@ first: wherever no n-gram of an order is known, the next shorter order is tried.
 document's score is the posterior of its best language under the summed word scores,
 tempered by the square root of the number of words (words of a text aren't independent).
 
-Training reads at most ``max_docs`` labelled documents (all if fewer), chosen by a hash
-of doc_id; counts are aggregated in Spark, and tables keep the ``max_words`` and
-``max_grams`` (each order) most frequent entries, which bounds what is broadcast.
+Training reads at most about ``max_docs`` labelled documents, the same number of each language as far as it
+has them; counts are aggregated in Spark. For each language the ``max_words`` and ``max_grams``
+(each order) most frequent entries are kept, so small languages aren't crowded out by large ones.
+Tasks write the tables to the shared folder and workers read them there: the model never passes the driver.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; so is any
 text if no labelled row exists. Null doc_id is never trained on. Repeated rows are rows
-each; ties between languages go to the alphabetically first; an empty table gives an
-empty result; other columns are not read.
+each, in training too (a row that makes up most of a table is bounded there); ties between languages go to
+the alphabetically first; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import math
 import pickle
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.dataset as pads
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import fold, sampled
-from civicmart.llm.textmodel import LETTERS
+from civicmart.llm.common import fold, sampled, scratch
+from civicmart.llm.files import open_store
+from civicmart.llm.textmodel import letter_words
 from civicmart.llm.tokenize import batches
 
 MAX_DOCS = 10_000
-MAX_WORDS = 200_000
-MAX_GRAMS = 20_000
+MAX_WORDS = 60_000   # of a language
+MAX_GRAMS = 10_000   # of a language and order
+MIN_SCORE = 0.0      # of a document kept by ``with_language``: 0 keeps every predicted one
 ORDERS = (5, 4, 3, 2, 1)
 HELD_WORDS = 200_000  # distinct words a worker counts before it hands them on
 CACHE = 400_000  # unseen words remembered by a worker
@@ -54,7 +58,7 @@ def _counts(rows: DataFrame) -> DataFrame:
             for part in batches(table, 256):
                 for lang, text in zip(part.column("lang").to_pylist(),
                                       part.column("text").to_pylist(), strict=True):
-                    words.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
+                    words.setdefault(lang, Counter()).update(letter_words((text or "").lower()))
                 if sum(map(len, words.values())) > HELD_WORDS:
                     yield from _batches(words)
                     words = {}
@@ -77,28 +81,61 @@ def _counts(rows: DataFrame) -> DataFrame:
                         names=["kind", "item", "lang", "n"])
 
     return (rows.select("lang", "text").mapInArrow(count, "kind int, item string, lang string, n long")
-            .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
-            .groupBy("kind", "item").agg(F.sum("n").alias("total"),
-                                         F.collect_list("lang").alias("langs"),
-                                         F.collect_list("n").alias("ns")))
+            .groupBy("kind", "item", "lang").agg(F.sum("n").alias("n")))
 
 
-class Model:
-    """Languages and log-probability tables; ``tables[0]`` holds words, ``tables[n]`` n-grams."""
+@dataclass(frozen=True)
+class Fitted:
+    """Where the tables of a model lie, its languages, and the counts by (kind, language)."""
+
+    langs: list[str]
+    totals: dict[tuple[int, str], int]
+    folder: str
+
+    def load(self) -> Model:
+        tables: dict[int, dict[str, int]] = {}
+        rows: dict[int, np.ndarray] = {}
+        store, where = open_store(self.folder)
+        for kind in (0, *ORDERS):
+            total = np.array([self.totals.get((kind, lang), 0) + 1 for lang in self.langs], dtype=float)
+            found = pads.dataset(where, filesystem=store, format="parquet").to_table(
+                columns=["item", "at", "ns"], filter=pads.field("kind") == kind)
+            at, ns = (found.column(c).combine_chunks() for c in ("at", "ns"))
+            row = np.repeat(np.arange(len(found)), np.diff(at.offsets.to_numpy()) if len(found) else 0)
+            counts = np.full((len(found), len(total)), 0.5)
+            counts[row, at.flatten().to_numpy()] += ns.flatten().to_numpy()
+            tables[kind] = dict(zip(found.column("item").to_pylist(), range(len(found)), strict=True))
+            rows[kind] = np.log(counts / total).astype(np.float32)
+        return Model(self.langs, tables, rows)
+
+
+_LOADED: dict[str, Model] = {}
 
-    def __init__(self, langs: list[str], tables: dict[int, dict[str, np.ndarray]]) -> None:
-        self.langs, self.tables = langs, tables
-        self.unknown = np.zeros(len(langs))
+
+def _model(state: bytes) -> Model:
+    """The worker's model (one at a time is kept)."""
+    fitted = pickle.loads(state)
+    if fitted.folder not in _LOADED:
+        _LOADED.clear()
+        _LOADED[fitted.folder] = fitted.load()
+    return _LOADED[fitted.folder]
+
+
+class Model:
+    """Languages and log-probabilities: ``tables[0]`` gives the row of a word in ``rows[0]``, ``tables[n]`` of an n-gram."""
+
+    def __init__(self, langs: list[str], tables: dict[int, dict[str, int]], rows: dict[int, np.ndarray]) -> None:
+        self.langs, self.tables, self.grams = langs, tables, rows
+        self.unknown = np.zeros(len(langs), np.float32)
+        self.known = len(tables.get(0, {}))
+        self.rows = np.zeros((self.known + CACHE, len(langs)), np.float32)
+        if self.known:
+            self.rows[:self.known] = rows[0]
         self._forget()
 
     def _forget(self) -> None:
-        """Rows of known words first; rows of unseen words are added as they come."""
-        words = self.tables.get(0, {})
-        self.known = len(words)
-        self.place = {w: k for k, w in enumerate(words)}
-        self.rows = np.zeros((self.known + CACHE, len(self.langs)))
-        if words:
-            self.rows[:self.known] = np.stack(list(words.values()))
+        """Rows of known words stay; rows of unseen words are added as they come."""
+        self.place = dict(self.tables.get(0, {}))
 
     def _places(self, words) -> list[int]:
         """Row of each word's log-probabilities: itself if known, else by backoff."""
@@ -111,7 +148,7 @@ class Model:
             if at is None:
                 at = len(place)
                 if at == len(self.rows):  # a text of more unseen words than are remembered
-                    self.rows = np.concatenate([self.rows, np.zeros((CACHE, len(self.langs)))])
+                    self.rows = np.concatenate([self.rows, np.zeros((CACHE, len(self.langs)), np.float32)])
                 place[word] = at
                 self.rows[at] = self._backoff(word)
             out.append(at)
@@ -122,7 +159,7 @@ class Model:
         marked, total, used = f"^{word}$", self.unknown.copy(), 0
         open_spans = [(0, len(marked))]
         for n in ORDERS:
-            table, left = self.tables[n], []
+            table, own, left = self.tables[n], self.grams[n], []
             for lo, hi in open_spans:
                 start = at = lo
                 while at + n <= hi:
@@ -132,7 +169,7 @@ class Model:
                         continue
                     if at > start:
                         left.append((start, at))
-                    total += known
+                    total += own[known]
                     used += 1
                     at += n
                     start = at
@@ -142,7 +179,7 @@ class Model:
         return total / max(1, used)  # an unseen word weighs as one piece of evidence
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(LETTERS.findall(text.lower())) if text else None
+        words = Counter(letter_words(text.lower())) if text else None
         if not words or not self.langs:
             return "und", 0.0
         times = np.fromiter(words.values(), dtype=float, count=len(words))
@@ -154,44 +191,38 @@ class Model:
 
 
 def train(labelled: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS,
-          max_grams: int = MAX_GRAMS) -> Model:
+          max_grams: int = MAX_GRAMS) -> Fitted:
     """Model of the rows of ``labelled`` (doc_id, text, lang); lang must not be null."""
-    rows = sampled(labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL"),
-                   max_docs, "langid")
-    counted = _counts(rows.repartition(F.xxhash64("doc_id", "text"))).persist()
-    try:
-        sums = (counted.select("kind", F.explode(F.arrays_zip("langs", "ns")).alias("b"))
-                .groupBy("kind", "b.langs").agg(F.sum("b.ns").alias("n")).collect())
-        langs = sorted({r.langs for r in sums})
-        size = {(r.kind, r.langs): r.n for r in sums}  # kinds x languages
-        kept = None
-        for kind in (0, *ORDERS):
-            part = (counted.where(F.col("kind") == kind).orderBy(F.desc("total"), "item")
-                    .limit(max_grams if kind else max_words))
-            kept = part if kept is None else kept.unionByName(part)
-        rows_kept = kept.select("kind", "item", "langs", "ns").toArrow()
-        place = {lang: k for k, lang in enumerate(langs)}
-        floor = {kind: np.log([0.5 / (size.get((kind, lang), 0) + 1) for lang in langs])
-                 for kind in (0, *ORDERS)}
-        tables: dict[int, dict[str, np.ndarray]] = {kind: {} for kind in (0, *ORDERS)}
-        for kind, item, by, ns in zip(*(c.to_pylist() for c in rows_kept.columns), strict=True):
-            score = tables[kind][item] = floor[kind].copy()
-            for lang, n in zip(by, ns, strict=True):
-                score[place[lang]] = math.log((n + 0.5) / (size[(kind, lang)] + 1))
-    finally:
-        counted.unpersist()
-    return Model(langs, tables)
-
-
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+    spark = labelled.sparkSession
+    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL") \
+        .select("doc_id", "text", "lang")
+    rows = sampled(known, max_docs, "langid", by="lang")
+    path = scratch(spark, "langid-counts")
+    _counts(rows.repartition(F.xxhash64("doc_id", "text"))).write.parquet(path)
+    counted = spark.read.schema("kind int, item string, lang string, n long").parquet(path)
+    sums = counted.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()  # kinds x languages
+    langs = sorted({r.lang for r in sums})
+    place = F.create_map(*[F.lit(x) for k, lang in enumerate(langs) for x in (lang, k)]) if langs else F.lit(None)
+    most = F.row_number().over(Window.partitionBy("kind", "lang").orderBy(F.desc("n"), "item"))
+    folder = scratch(spark, "langid-model")
+    if langs:
+        (counted.withColumn("kept", most <= F.when(F.col("kind") == 0, max_words).otherwise(max_grams))
+         .groupBy("kind", "item").agg(F.max("kept").alias("kept"), F.collect_list(F.struct(
+             place[F.col("lang")].alias("at"), "n")).alias("by"))
+         .where("kept").select("kind", "item", F.col("by.at").alias("at"), F.col("by.n").alias("ns"))
+         .write.parquet(folder))
+    return Fitted(langs, {(r.kind, r.lang): r.n for r in sums}, folder)
+
+
+def predict(docs: DataFrame, fitted: Fitted) -> DataFrame:
     """doc_id, lang_pred, score of every document; only the text is looked at."""
-    state = docs.sparkSession.sparkContext.broadcast(pickle.dumps((model.langs, model.tables)))
+    state = pickle.dumps(fitted)
 
     def run(it):
-        own = Model(*pickle.loads(state.value))
+        own = _model(state) if fitted.langs else None
         for table in it:
             for part in batches(table, 512):
-                got = [own.predict(t) for t in part.column("text").to_pylist()]
+                got = [own.predict(t) if own else ("und", 0.0) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([g[0] for g in got], pa.string()),
                      pa.array([g[1] for g in got], pa.float64())],
@@ -209,22 +240,31 @@ def identify(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
         "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """Rows of ``docs`` in which a language can be found; all columns as they came.
+def with_language(docs: DataFrame, max_docs: int = MAX_DOCS, languages: list[str] | None = None,
+                  min_score: float = MIN_SCORE) -> DataFrame:
+    """Rows of ``docs`` whose language is found; all columns as they came.
 
-    Rows are rejected by their text alone: no letter in it, or null. Without a labelled
-    row to train on the others stay.
+    A row stays if a language is predicted for it (not ``und``), with at least ``min_score``, and
+    it is one of ``languages`` (default: any learned one). Without a labelled row nothing can be
+    predicted; rows whose text has a letter then stay.
     """
     model = train(docs.where(fold(F.col("doc_id"), 3) != 1), max_docs)
-    state = docs.sparkSession.sparkContext.broadcast(pickle.dumps((model.langs, model.tables)))
+    state = pickle.dumps(model)
     at = docs.columns.index("text")
 
+    def stays(own: Model | None, text: str | None) -> bool:
+        if own is None:
+            return bool(text and letter_words(text.lower()))
+        lang, score = own.predict(text)
+        if lang == "und" and "und" not in own.langs or not text:
+            return False
+        return score >= max(min_score, 1e-300) and (languages is None or lang in languages)
+
     def run(it):
-        own = Model(*pickle.loads(state.value))
+        own = _model(state) if model.langs else None
         for table in it:
             for part in batches(table, 512):
-                keep = [own.predict(t)[0] != "und" or bool(t and LETTERS.search(t.lower()))
-                        for t in part.column(at).to_pylist()]
+                keep = [stays(own, t) for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -3,15 +3,31 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 
 import numpy as np
 
 LETTERS = re.compile(r"[^\W\d_]+")
+_KINDS = {"M": [], "N": []}  # combining marks; numbers that aren't digits ("½"), which \w holds too
+for _c in range(0x80, 0x20000):
+    _kind = unicodedata.category(chr(_c))
+    if _kind[0] == "M" or _kind in ("No", "Nl"):
+        _KINDS[_kind[0]].append(chr(_c))
+_MARK, _NUMBER = (re.escape("".join(_KINDS[k])) for k in "MN")
+_SPECIAL = re.compile(f"[{_MARK}{_NUMBER}]")
+_MARKED = re.compile(f"(?:[^\\W\\d_{_NUMBER}][{_MARK}]*)+")
 TOKENS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 CACHE = 300_000
 
 
+def letter_words(text: str) -> list[str]:
+    """Maximal runs of letters, each with the combining marks that follow it."""
+    if text.isascii() or not _SPECIAL.search(text):
+        return LETTERS.findall(text)
+    return _MARKED.findall(text)
+
+
 class WordHash(dict):
     """word -> 32-bit crc32; emptied when full."""
 

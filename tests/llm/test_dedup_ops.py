@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from civicmart.llm import exact_dedup, line_dedup, simhash_dedup
-from civicmart.llm.common import salted_join, sampled, scratch, stored
+from civicmart.llm.common import sample_place, sample_steps, salted_join, sampled, scratch, stored
 from civicmart.llm.components import components
 
 SPACE = " \t\n\v\f\r"
@@ -34,10 +34,32 @@ def brute_exact(rows):
     for key, members in groups.items():
         best = max(members, key=lambda m: (len(m[1] or ""), m[0] is not None, -(m[0] or 0)))
         sha = hashlib.sha256(key.encode()).hexdigest()
-        out += [(d, best[0], len(members), d == best[0], sha) for d, _ in members]
+        first = members.index(best)  # one row of the group stays, whatever repeats
+        out += [(d, best[0], len(members), k == first, sha) for k, (d, _) in enumerate(members)]
     return sorted(out, key=str)
 
 
+def test_one_row_of_a_group_stays_when_ids_and_texts_repeat(frame):
+    rows = [(1, "a b"), (1, "a b"), (1, "a   b"), (None, "x y"), (None, "x y"), (None, " xy"), (None, "x\ty"),
+            (5, "q"), (5, "q"), (None, "q"), (None, None), (None, "")]
+    got = exact_dedup.exact_dedup(frame(rows)).collect()
+    kept = [r for r in got if r.kept]
+    assert len(got) == 12 and sorted((str(r.keep_id), r.group_size) for r in kept) == [
+        ("1", 3), ("5", 3), ("None", 2), ("None", 4)]
+    stay = [(r.doc_id, r.text) for r in exact_dedup.kept_documents(frame(rows)).collect()]
+    assert len(stay) == 4 and (1, "a   b") in stay and (5, "q") in stay
+    assert sum(t in ("x y", "x\ty", " xy") for _, t in stay) == 1
+
+
+def test_a_chain_is_walked_by_bytes(frame, monkeypatch):
+    """All texts share one hash: the rows find their entries by their bytes alone."""
+    real = F.xxhash64
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *c: F.lit(7).cast("long") if c == ("norm",) else real(*c))
+    rows = [(i, t) for i, t in enumerate(["one", "two", "o ne", "three", None, " ", "t w o", "three"])]
+    got = sorted((tuple(r) for r in exact_dedup.exact_dedup(frame(rows)).collect()), key=str)
+    assert got == brute_exact(rows)
+
+
 def test_exact_dedup_equals_brute_force(frame):
     rows = edge_rows()
     got = [tuple(r) for r in exact_dedup.exact_dedup(frame(rows)).collect()]
@@ -293,8 +315,20 @@ def test_a_sample_has_the_share_asked_for(corpus):
     assert sorted(got.collect()) == sorted(sampled(rows.repartition(7), 2_000, "s").collect())
     assert sampled(rows, 20_000, "s").count() == 20_000
     many = corpus.range(5 * 10**7).withColumnRenamed("id", "doc_id")
-    many.count = lambda: 10**12  # as part of a table so large that the share is below 2^-20
-    assert 5 < sampled(many, 4 * 10**5, "s").count() < 50
+    # as part of a table so large that the share is below 2^-20
+    assert 5 < many.where(sample_place(many, "s") < sample_steps(4 * 10**5, 10**12)).count() < 50
+
+
+def test_repeated_rows_neither_empty_nor_flood_a_sample(corpus):
+    """One row makes up a third, or all, of the table: bounded on every seed, and never nothing."""
+    for others in (100_000, 0):
+        rows = corpus.range(50_000).selectExpr("7L AS doc_id", "'en' AS lang").unionByName(
+            corpus.range(others).selectExpr("id AS doc_id", "if(id % 50 = 0, 'xx', 'de') AS lang"))
+        for seed in "abcde":
+            assert 100 <= sampled(rows, 1_000, seed).count() <= 2_000
+            by = sampled(rows, 900, seed, by="lang")
+            got = {r.lang: r["count"] for r in by.groupBy("lang").count().collect()}
+            assert set(got) == ({"en", "de", "xx"} if others else {"en"}) and max(got.values()) <= 2_000
 
 
 def test_salted_join_neither_loses_nor_repeats(corpus):

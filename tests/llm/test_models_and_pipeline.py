@@ -11,6 +11,7 @@ import pytest
 import corpus_pipeline
 from civicmart.llm import decontam, langid, queries, quality_knn, toxicity
 from civicmart.llm.common import read_table
+from civicmart.llm.textmodel import letter_words
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -54,11 +55,47 @@ def test_texts_with_letters_stay_without_a_model(frame, lang):
     assert sorted((str(r.doc_id) for r in kept)) == ["1", "2", "None"]
 
 
+def test_words_keep_their_marks_and_numbers_are_no_letters(frame):
+    assert letter_words("हिन्दी भाषा में") == ["हिन्दी", "भाषा", "में"]
+    assert letter_words("cafe\u0301 ½ x² 3rd") == ["cafe\u0301", "x", "rd"]
+    docs = frame([(i, "हिन्दी भाषा में" if i % 2 else "the cat") for i in range(40)] + [(50, "½ ²"), (51, "में")],
+                 lang={i: "hi" if i % 2 else "en" for i in range(40)})
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert got[50] == "und" and got[51] == "hi"
+
+
+def test_a_small_language_is_learned_beside_a_large_one(frame):
+    """One language holds nearly all rows and has far more words than a table may keep."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(f"ab{rng.randrange(9000)}".translate(str.maketrans("0123456789", "ghijklmnop")) for _ in range(60)))
+            for i in range(400)]
+    rows += [(1000 + i, "zu zo ze " * 3) for i in range(12)]
+    docs = frame(rows, lang={**{i: "big" for i in range(400)}, **{1000 + i: "tiny" for i in range(12)}})
+    fitted = langid.train(docs, max_docs=60, max_words=5, max_grams=5)
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, fitted).collect()}
+    assert all(got[1000 + i] == "tiny" for i in range(12)) and got[0] == "big"
+
+
+def test_ties_go_to_the_alphabetically_first_and_repeated_rows_are_rows_each(frame):
+    rows = [(1, "same words"), (2, "same words"), (1, "same words"), (2, "same words"), (4, "zzz")]
+    got = langid.predict(frame(rows, lang={1: "b", 2: "a"}), langid.train(frame(rows[:4], lang={1: "b", 2: "a"}))).collect()
+    assert len(got) == 5 and {r.lang_pred for r in got} == {"a"}
+
+
+def test_language_stage_decides_by_language_and_score(frame):
+    rows = [(i, "le chat et la souris" if i % 2 else "the cat and the mouse") for i in range(40)] + [(90, "chat cat")]
+    docs = frame(rows, lang={i: "fr" if i % 2 else "en" for i in range(40)})
+    kept = {r.doc_id for r in langid.with_language(docs, languages=["fr"]).collect()}
+    assert kept >= {i for i in range(40) if i % 2} and not kept & {i for i in range(40) if i % 2 == 0}
+    sure = {r.doc_id for r in langid.with_language(docs, min_score=0.9).collect()}
+    assert sure >= set(range(40)) and 90 not in sure
+
+
 def test_words_come_before_ngrams():
     import numpy as np
-    tables = {0: {"chat": np.log([0.1, 0.9])}, 5: {}, 4: {"chat": np.log([0.9, 0.1])}, 3: {},
-              2: {"at": np.log([0.2, 0.8])}, 1: {"c": np.log([0.5, 0.5])}}
-    model = langid.Model(["en", "fr"], tables)
+    entries = {0: {"chat": [0.1, 0.9]}, 5: {}, 4: {"chat": [0.9, 0.1]}, 3: {}, 2: {"at": [0.2, 0.8]}, 1: {"c": [0.5, 0.5]}}
+    tables = {k: {item: 0 for item in e} for k, e in entries.items()}
+    model = langid.Model(["en", "fr"], tables, {k: np.log(list(e.values()) or np.zeros((0, 2))) for k, e in entries.items()})
     assert model.predict("chat")[0] == "fr"          # the word itself decides
     assert model.predict("chats")[0] == "en"         # unseen: its longest n-gram
     assert model.predict("zat")[0] == "fr"           # unseen: a shorter one
