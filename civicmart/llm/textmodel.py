@@ -9,23 +9,36 @@ import zlib
 import numpy as np
 
 LETTERS = re.compile(r"[^\W\d_]+")
-_KINDS = {"M": [], "N": []}  # combining marks; numbers that aren't digits ("½"), which \w holds too
-for _c in range(0x80, 0x20000):
-    _kind = unicodedata.category(chr(_c))
-    if _kind[0] == "M" or _kind in ("No", "Nl"):
-        _KINDS[_kind[0]].append(chr(_c))
-_MARK, _NUMBER = (re.escape("".join(_KINDS[k])) for k in "MN")
-_SPECIAL = re.compile(f"[{_MARK}{_NUMBER}]")
-_MARKED = re.compile(f"(?:[^\\W\\d_{_NUMBER}][{_MARK}]*)+")
+
+
+def _special(codes: range) -> tuple[str, str]:
+    """Combining marks, and numbers that aren't digits (\\w holds "½" too), as parts of a character class."""
+    kinds = {"M": [], "N": []}
+    for c in map(chr, codes):
+        kind = unicodedata.category(c)
+        if kind[0] == "M" or kind in ("No", "Nl"):
+            kinds[kind[0]].append(c)
+    return tuple(re.escape("".join(kinds[k])) for k in "MN")
+
+
+def _patterns(codes: range) -> tuple[re.Pattern, re.Pattern]:
+    mark, number = _special(codes)
+    return re.compile(f"[{mark}{number}]"), re.compile(f"(?:[^\\W\\d_{number}][{mark}]*)+")
+
+
+# Classes within the basic plane are searched by table; those with characters beyond it are slow.
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+_BASIC, _WIDE = _patterns(range(0x80, 0x10000)), _patterns(range(0x80, 0x20000))
 TOKENS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 CACHE = 300_000
 
 
 def letter_words(text: str) -> list[str]:
     """Maximal runs of letters, each with the combining marks that follow it."""
-    if text.isascii() or not _SPECIAL.search(text):
+    if text.isascii():
         return LETTERS.findall(text)
-    return _MARKED.findall(text)
+    special, words = _WIDE if _ASTRAL.search(text) else _BASIC
+    return words.findall(text) if special.search(text) else LETTERS.findall(text)
 
 
 class WordHash(dict):
