@@ -8,15 +8,19 @@ A text that holds an added token of the file ("<|endoftext|>") is encoded in one
 
 from __future__ import annotations
 
+import json
 import re
+import string
 from collections.abc import Sequence
 
 import numpy as np
 
 SPACED = re.compile("[\\s\u180e]")
 CACHE_PIECES = 1_000_000  # about 200 MB a Python worker, in two generations
+CACHE_TAILS = 100_000
 LONGEST_CACHED = 64
-JOINED = 256  # pieces without white space that one call encodes as the lines of a text
+PUNCTUATION = string.punctuation
+JOINED = 64  # pieces without white space that one call encodes as the lines of a text
 
 
 class Encoder:
@@ -37,6 +41,9 @@ class Encoder:
             and self.tokenizer.normalizer is None and not any("\n" in a for a in self.added)
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] \
             if self.cuts else None
+        # The pattern that words end by is part of the scheme unless the file turns it off.
+        self.splits = self.cuts and json.loads(self.tokenizer.to_str())["pre_tokenizer"].get("use_regex", True)
+        self.tails: dict[str, bytes] = {}  # punctuation -> ids of it behind letters
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -44,8 +51,12 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text (null: none); whole texts, of any length."""
+        return [np.frombuffer(b, self.dtype) for b in self.encode_bytes(texts)]
+
+    def encode_bytes(self, texts: Sequence[str | None], end: bytes = b"") -> list[bytes]:
+        """The same ids as bytes, each text's followed by ``end``."""
         if not self.cuts:
-            return [np.frombuffer(b, self.dtype) for b in self._ids([t or "" for t in texts])]
+            return [b + end for b in self._ids([t or "" for t in texts])]
         cut = [[""] if t and any(a in t for a in self.added) else (t or "").split(" ")
                for t in texts]
         heads = [pieces.pop(0) for pieces in cut]
@@ -53,21 +64,49 @@ class Encoder:
             self.older, self.cache = self.cache, {}
         cache, older = self.cache, self.older  # piece -> ids of the piece behind a space
         missing = set().union(*cut).difference(cache)
-        cache.update((p, older[p]) for p in missing if p in older)
-        new = [p for p in missing if p not in cache]
-        cache.update(zip(new, self._pieces(new, " "), strict=True))
+        known = missing.intersection(older)
+        cache.update(zip(known, map(older.__getitem__, known), strict=True))
+        new = missing.difference(known)
+        if self.splits:
+            self._add_split(new)
+        else:
+            cache.update(zip(new, self._pieces(list(new), " "), strict=True))
         out = []
         for text, head, pieces in zip(texts, self._pieces(heads, ""), cut, strict=True):
             try:
-                ids = head + b"".join(map(cache.__getitem__, pieces))
+                out.append(b"".join([head, *map(cache.__getitem__, pieces), end]))
             except TypeError:  # white space beside a cut, or an added token: encoded in one
-                (ids,) = self._ids([text or ""])
-            out.append(np.frombuffer(ids, self.dtype))
+                out.append(self._ids([text or ""])[0] + end)
         for p in new:
             if len(p) > LONGEST_CACHED:
                 del cache[p]
         return out
 
+    def _add_split(self, new: set[str]) -> None:
+        """Cache new pieces; of letters with punctuation behind them, the letters are encoded once.
+
+        The scheme's pattern ends a word where its letters end, and takes the punctuation up to the next
+        letter, digit or white space as one more word, which has no space before it.
+        """
+        cache, ends = self.cache, []
+        for p in new:
+            core = p.rstrip(PUNCTUATION)
+            if len(core) != len(p) and core.isalpha():
+                ends.append((p, core, p[len(core):]))
+        new.difference_update([p for p, _, _ in ends])
+        new.update(core for _, core, _ in ends if core not in cache)
+        own = list(new)
+        cache.update(zip(own, self._pieces(own, " "), strict=True))
+        for p, core, tail in ends:
+            ids = self.tails.get(tail)
+            if ids is None:
+                if len(self.tails) >= CACHE_TAILS:
+                    self.tails.clear()
+                ids = self.tails[tail] = self._ids([tail])[0]
+            cache[p] = cache[core] + ids
+            if len(p) > LONGEST_CACHED:
+                new.add(p)
+
     def _pieces(self, pieces: list[str], before: str) -> list[bytes | None]:
         """Ids of each piece behind ``before``; None if white space stands at an end of it.
 

@@ -187,14 +187,30 @@ def crc(ids):
 
 def test_token_store_equals_brute_force(corpus, frame):
     rows = [(i * 3 - 7, t) for i, t in enumerate(TEXTS)] + [(2, "again"), (2, "again"), (2, "and again"), (None, "no key")]
-    ordered = sorted(((d, t or "") for d, t in rows if d is not None))
-    want, at = [], 0
-    for d, ids in zip([d for d, _ in ordered], plain_ids([t for _, t in ordered]), strict=True):
-        ids = [*ids, 0]
-        want.append((d, at, len(ids), crc(ids)))
-        at += len(ids)
-    got = token_store.token_store(frame(rows), rows_per_shard=4)
-    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    got = [tuple(r) for r in token_store.token_store(frame(rows), rows_per_shard=4).collect()]
+    ids = [[*ids, 0] for ids in plain_ids([t or "" for _, t in rows])]
+    assert sorted(((d, n, c) for d, _, n, c in got), key=str) == sorted(
+        ((d, len(i), crc(i)) for (d, _), i in zip(rows, ids, strict=True)), key=str)
+    at = 0
+    for _, start, n, _ in sorted(got, key=lambda r: r[1]):  # gapless
+        assert start == at
+        at += n
+    order = [d for d, *_ in sorted(got, key=lambda r: r[1])]
+    assert order == sorted(order, key=lambda d: (d is None, d or 0))  # ascending, those without an id last
+
+
+def test_a_doc_id_of_a_third_of_all_rows_fills_several_shards(corpus, frame):
+    from civicmart.llm.common import scratch
+    rows = [(i, f"text {i}") for i in range(60)] + [(30, f"more {i}") for i in range(30)] + [(None, f"no {i}") for i in range(9)]
+    folder = scratch(corpus, "tokens-test")
+    manifest = token_store.write_shards(frame(rows), folder, rows_per_shard=8)
+    sizes = [r.n_rows for r in manifest.collect()]
+    assert sum(sizes) == 99 and len(sizes) > 8 and max(sizes) < 40
+    keys = frame([(30, ""), (None, ""), (12345, "")]).select("doc_id")
+    got = token_store.read_documents(keys, manifest, folder).collect()
+    want = [[*i, 0] for i in plain_ids([t for d, t in rows if d in (30, None)])]
+    assert sorted((r.n_tokens, r.ids_crc32) for r in got) == sorted((len(i), crc(i)) for i in want)
+    assert sum(r.doc_id is None for r in got) == 9
 
 
 def test_token_store_of_an_empty_table(frame):
@@ -207,16 +223,17 @@ def test_foreign_keys_are_refused_and_damage_is_noticed():
     assert sorted(mph.slots(keys).tolist()) == list(range(3_000))
     lengths = np.arange(1, 3_001)
     offsets = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    body = token_store.index_bytes(keys, np.ones(3_000, np.int64), offsets, lengths, 2)
     ids = np.arange(lengths.sum()) % 60_000
-    shard = token_store.Shard(io.BytesIO(body + ids.astype("<u2").tobytes()))
+    raw = token_store.MAGIC + ids.astype("<u2").tobytes()
+    body = raw + token_store.index_bytes(keys, np.ones(3_000, np.int64), offsets, lengths, 2, len(raw))
+    shard = token_store.Shard(io.BytesIO(body))
     slots = shard.lookup(keys)
     (at, got), = shard.documents(int(slots[1_234]))
     assert at == offsets[1_234] and got.tolist() == ids[at:at + 1_235].tolist()
     strange = np.setdiff1d(np.arange(50_000, dtype=np.int64), keys)
     assert (shard.lookup(strange) >= 0).sum() == 0
     with pytest.raises(ValueError):
-        token_store.Shard(io.BytesIO(body[:40] + b"?" + body[41:]))
+        token_store.Shard(io.BytesIO(body[:-60] + bytes([body[-60] ^ 1]) + body[-59:]))
 
 
 # --- packing ------------------------------------------------------------------------
