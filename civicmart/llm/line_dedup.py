@@ -5,8 +5,8 @@ lower-cased. A key of at least ``min_chars`` code points keeps its lines only in
 smallest doc_id that holds it; all other lines stay.
 
 The index is a list of *runs*. A run is a table of (h1, h2, owner), hash-bucketed by
-h1 and sorted inside the buckets, so that a later batch merge-joins it without
-shuffling or sorting it again. Documents come in batches of ascending doc_id. A batch
+both hashes, each bucket one sorted file, so that a later batch merge-joins it without
+shuffling it again (Spark still sorts a bucket it reads, which finds it in order). Documents come in batches of ascending doc_id. A batch
 
 1. reduces its lines to distinct keys with their smallest doc_id (partial aggregation:
    a hot line shrinks before the shuffle),
@@ -52,25 +52,34 @@ class LineIndex:
         return self.spark.table(name)
 
     def _write(self, df: DataFrame) -> str:
+        """Write a frame that is dealt by (h1, h2) as a run: a bucket a task, one file each."""
         path = scratch(self.spark, "lines-run")
         name = "llm_" + path.rsplit("-", 1)[1]
-        (df.repartition(self.buckets, "h1").write.bucketBy(self.buckets, "h1")
+        (df.write.bucketBy(self.buckets, "h1", "h2")
          .sortBy("h1", "h2").option("path", path).format("parquet").saveAsTable(name))
         return name
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch of lines (owner id, h1, h2) whose documents come after all earlier ones."""
-        fresh = lines.groupBy("h1", "h2").agg(F.min("id").alias("owner"))
+        self._push(0, self._write(self.unknown(lines)))
+
+    def unknown(self, lines: DataFrame) -> DataFrame:
+        """Keys of a batch (with their smallest id) that no run holds.
+
+        Keys are dealt as the runs' buckets are, so only the batch moves; runs are read where they lie.
+        """
+        fresh = (lines.groupBy("h1", "h2").agg(F.min("id").alias("owner"))
+                 .repartition(self.buckets, "h1", "h2"))
         for run in self.runs():
-            fresh = fresh.join(self.read(run), ["h1", "h2"], "left_anti")
-        self._push(0, self._write(fresh))
+            fresh = fresh.join(self.read(run).hint("merge"), ["h1", "h2"], "left_anti")
+        return fresh
 
     def _push(self, level: int, run: str) -> None:
         if level == len(self.levels):
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) == FANOUT:
-            merged = self._write(self.owners(self.levels[level]))
+            merged = self._write(self.owners(self.levels[level]).repartition(self.buckets, "h1", "h2"))
             for old in self.levels[level]:
                 self.spark.sql(f"DROP TABLE {old}")
             self.levels[level] = []

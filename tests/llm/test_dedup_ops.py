@@ -129,6 +129,32 @@ LINES = ["A common line here", "a COMMON line here  ", "\ta common line here", "
          "ÉCLAIR au chocolat", "éclair au chocolat", "another shared line", "ten chars.", "nine char"]
 
 
+def test_runs_are_joined_without_moving_them(corpus, frame):
+    """The plan of a later batch shuffles the batch, never a run."""
+    rows = [(d, "\n".join(f"a line of number {k}" for k in range(d, d + 5))) for d in range(40)]
+    lines = line_dedup.long_lines(frame(rows)).select("id", "h1", "h2")
+    index = line_dedup.LineIndex(corpus, 8)
+    index.add(lines.where("id < 20"))
+    index.add(lines.where("id >= 20 AND id < 30"))
+    plan = index.unknown(lines.where("id >= 30"))._jdf.queryExecution().executedPlan().toString()
+    names = index.runs()
+    assert len(names) == 2
+    text = plan.splitlines()
+    for name in names:
+        (at,) = [k for k, line in enumerate(text) if name in line]
+        depth = text[at].index("FileScan")
+        above = []
+        for line in reversed(text[:at]):  # the operators between the scan and its join
+            place = len(line) - len(line.lstrip(" :+-*"))
+            if place < depth:
+                depth = place
+                above.append(line)
+                if "SortMergeJoin" in line:
+                    break
+        assert not any("Exchange" in line for line in above), above
+        assert "Bucketed: true" in text[at]
+
+
 @pytest.mark.parametrize("batches", [1, 3, 7])
 def test_line_dedup_equals_brute_force(frame, batches):
     rng = random.Random(batches)
