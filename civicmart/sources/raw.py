@@ -83,7 +83,9 @@ def read_raw_csv_lenient(spark: SparkSession, path: str, columns: Sequence[str],
                 .option("columnPruning", False).schema(schema).csv(files)
                 .withColumn("file", F.col("_metadata.file_path")))
         # Spark keeps the text of every row that hasn't exactly the schema's fields: without it there is one more.
-        too_long = F.col(CORRUPT).isNull() | (_fields(F.col(CORRUPT)) > len(names))
+        # (It refuses to read that text alone, so the first field is looked at along.)
+        too_long = ((F.col(CORRUPT).isNull() | (_fields(F.col(CORRUPT)) > len(names)))
+                    & (F.length(F.coalesce("_c0", F.lit(""))) >= 0))
         line = F.coalesce(CORRUPT, F.to_csv(F.struct(*[f"_c{i}" for i in range(len(names) + 1)])))
         rows = rows.unionByName(read.where(~too_long).select(
             *[F.col(f"_c{names.index(c)}").alias(c) for c in columns]))
