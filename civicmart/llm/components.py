@@ -25,14 +25,14 @@ def _star(pairs: DataFrame, name: str) -> DataFrame:
     return salted_join(pairs, least, ["u"], "n", total, F.xxhash64("v"), "inner")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (a, b); root is the component's smallest node."""
     spark = edges.sparkSession
     links = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"),
                                                 F.least("a", "b").alias("v")).distinct(),
                    scratch(spark, "cc-links"))
     before = None
-    for _ in range(max_rounds):
+    while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (_star(both, "large").where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
@@ -46,6 +46,4 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -9,8 +9,9 @@ a search of radius r follows only edges in [d - r, d + r]. One tree over a whole
 could not be broadcast within a proven bound, so trees are built for *shards*: the 64
 bits are cut into blocks, some of which two fingerprints within the radius must share
 (pigeonhole), and a shard holds the fingerprints that agree on a choice of blocks: each
-link lies inside at least one shard. Shards over ``TREE_NODES`` nodes are cut into several trees of at
-most that many; each is sent to the tasks that hold queries of its shard, in blocks.
+link lies inside at least one shard. Shards over ``TREE_NODES`` nodes are cut into several trees of at most
+that many. Each tree is shipped to one task and built there once; the shard's other fingerprints stream
+through it in blocks, which go down its levels together.
 Each tree returns a spanning forest of the links it found, so a dense group gives about
 as many links as it has members, and no connection is lost. Components follow by
 alternating star rounds in Spark.
@@ -39,6 +40,9 @@ from civicmart.llm.tokenize import batches
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 TREE_NODES = 1000
+QUERY_BLOCK = 1024     # queries that go down a tree together
+SMALL_SEARCH = 1024    # up to so many queries x nodes, queries go one by one
+TREE = ("block", "value", "tree")
 ALL_BITS = (1 << 64) - 1
 WORD = re.compile("[^ \t\n\v\f\r]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -92,6 +96,7 @@ class BKTree:
     def __init__(self, values) -> None:
         self.values: list[int] = []
         self.children: list[dict[int, int]] = []
+        self._edges: tuple[np.ndarray, ...] | None = None
         for v in values:
             self.add(v)
 
@@ -109,6 +114,7 @@ class BKTree:
                 node = child
         self.values.append(value)
         self.children.append({})
+        self._edges = None
 
     def within(self, value: int, radius: int):
         """Values at most ``radius`` bits away; only edges within the radius are followed."""
@@ -121,10 +127,45 @@ class BKTree:
             todo += [child for key, child in self.children[node].items()
                      if d - radius <= key <= d + radius]
 
-
-def forest(tree_values, queries, radius: int) -> list[tuple[int, int]]:
+    def _arrays(self) -> tuple[np.ndarray, ...]:
+        """Values; of each node the first edge and how many; of each edge its key and child."""
+        if self._edges is None:
+            counts = np.array([len(c) for c in self.children], dtype=np.int64)
+            edges = [e for c in self.children for e in c.items()]
+            keys, nodes = np.array(edges, dtype=np.int64).reshape(-1, 2).T
+            values = np.array([v & ALL_BITS for v in self.values], dtype=np.uint64)
+            self._edges = values, np.cumsum(counts) - counts, counts, keys, nodes
+        return self._edges
+
+    def search(self, queries: list[int], radius: int) -> list[tuple[int, int]]:
+        """(query, value) of all values at most ``radius`` bits from each query.
+
+        All queries go down the tree together, a level a step; few queries go one by one.
+        """
+        if len(queries) * len(self.values) <= SMALL_SEARCH:
+            return [(q, v) for q in queries for v in self.within(q, radius)]
+        values, first, counts, keys, nodes = self._arrays()
+        out = []
+        for at in range(0, len(queries), QUERY_BLOCK):
+            asked = queries[at:at + QUERY_BLOCK]
+            wanted = np.array([q & ALL_BITS for q in asked], dtype=np.uint64)
+            q, node = np.arange(len(wanted)), np.zeros(len(wanted), dtype=np.int64)
+            while len(q):
+                d = np.bitwise_count(wanted[q] ^ values[node]).astype(np.int64)
+                hit = d <= radius
+                out += [(asked[i], self.values[k])
+                        for i, k in zip(q[hit].tolist(), node[hit].tolist(), strict=True)]
+                n = counts[node]
+                edge = np.repeat(first[node] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                q, d = np.repeat(q, n), np.repeat(d, n)
+                follow = np.abs(keys[edge] - d) <= radius
+                q, node = q[follow], nodes[edge[follow]]
+        return out
+
+
+def forest(tree: BKTree, queries: list[int], radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between ``queries`` and the tree's values."""
-    tree, parent, out = BKTree(tree_values), {}, []
+    parent, out = {}, []
 
     def root(x):
         while parent.setdefault(x, x) != x:
@@ -132,12 +173,11 @@ def forest(tree_values, queries, radius: int) -> list[tuple[int, int]]:
             x = parent[x]
         return x
 
-    for q in queries:
-        for v in tree.within(q, radius):
-            a, b = root(q), root(v)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((q, v))
+    for q, v in tree.search(queries, radius):
+        a, b = root(q), root(v)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((q, v))
     return out
 
 
@@ -156,6 +196,20 @@ def shard_keys(fp, radius: int, agree: int):
                      for k, m in enumerate(signed)])
 
 
+def search_trees(tables, radius: int):
+    """Links of rows (block, value, tree, asks, fps): each tree's own values, then the blocks that ask it."""
+    key, tree = None, BKTree([])
+    for part in (p for table in tables for p in batches(table, 64)):
+        found = []
+        for *own, asks, fps in zip(*(part.column(c).to_pylist() for c in (*TREE, "asks", "fps")), strict=True):
+            if own != key:  # a number may have queries but no values of its own
+                key, tree = own, BKTree([] if asks else fps)
+            found += forest(tree, fps, radius)
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODES,
           agree: int | None = None) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints within ``radius`` bits as they are.
@@ -174,26 +228,16 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODE
     total = sizes.agg(F.sum("n")).first()[0] or 0
     members = salted_join(keyed, sizes, ["block", "value"], "n", total, F.xxhash64("fp"), "inner")
     trees = F.ceil(F.col("n") / F.lit(tree_nodes)).cast("int")
-    trees_of = (members.withColumn("trees", trees)
-                .withColumn("tree", F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int"))
-                .groupBy("block", "value", "trees", "tree")
-                .agg(F.collect_list("fp").alias("nodes")))  # about tree_nodes values at most
-    # Each tree meets the query blocks of its shard (the nodes of its trees) once.
-    met = (trees_of.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
-           .groupBy("block", "value", F.least("tree", "other").alias("i"),
-                    F.greatest("tree", "other").alias("j"))
-           .agg(F.collect_list("nodes").alias("sides")))
-
-    def search(it):
-        for table in it:
-            found = []
-            for sides in table.column("sides").to_pylist():
-                found += forest(sides[0], sides[-1], radius)
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
-
-    return met.select("sides").mapInArrow(search, "a long, b long")
+    blocks = (members.withColumn("trees", trees)
+              .withColumn("tree", F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int"))
+              .groupBy("block", "value", "trees", "tree")
+              .agg(F.collect_list("fp").alias("fps")))  # about tree_nodes values at most
+    # A block is the tree of its number, and a block of queries to the trees before it.
+    sent = (blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("tree"))))
+            .select("block", "value", F.col("to").alias("tree"),
+                    (F.col("to") < F.col("tree")).alias("asks"), "fps"))
+    met = sent.repartition(*TREE).sortWithinPartitions(*TREE, "asks")
+    return met.mapInArrow(lambda it: search_trees(it, radius), "a long, b long")
 
 
 def _rooted(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:

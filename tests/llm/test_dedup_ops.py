@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -284,6 +285,36 @@ def test_bk_tree_finds_all_within_the_radius():
             assert sorted(tree.within(q, r)) == sorted({v for v in values if (v ^ q).bit_count() <= r})
 
 
+@pytest.mark.parametrize("small", [0, 1 << 40])
+def test_queries_down_a_tree_together_find_what_each_finds(monkeypatch, small):
+    monkeypatch.setattr(simhash_dedup, "SMALL_SEARCH", small)
+    monkeypatch.setattr(simhash_dedup, "QUERY_BLOCK", 50)
+    rng = random.Random(4)
+    wide = [rng.getrandbits(64) - 2**63 for _ in range(200)]
+    wide += [v ^ (1 << rng.randrange(63)) for v in wide]
+    for values, queries in [(wide, wide[::3] + [0, -1]), ([5], [4, 5, 12]), ([], [1]), ([1, 2], [])]:
+        tree = simhash_dedup.BKTree(values)
+        for r in (0, 1, 2, 20):
+            want = sorted((q, v) for q in queries for v in set(values) if simhash_dedup.distance(q, v) <= r)
+            assert sorted(tree.search(queries, r)) == want
+
+
+def test_a_tree_is_built_once_for_all_its_queries(monkeypatch):
+    rows = [(0, 7, 0, False, [0, 1, 64]), (0, 7, 0, True, [3]), (0, 7, 0, True, [128, 1 << 20]),
+            (0, 7, 1, True, [128]),  # no values of its own
+            (0, 7, 2, False, [9, 1 << 40])]
+    built, init = [], simhash_dedup.BKTree.__init__
+    monkeypatch.setattr(simhash_dedup.BKTree, "__init__",
+                        lambda self, values: (built.append(list(values)), init(self, values))[1])
+    names = ["block", "value", "tree", "asks", "fps"]
+    tables = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in part])
+              for part in (rows[:2], rows[2:])]
+    got = [(r["a"], r["b"]) for t in simhash_dedup.search_trees(iter(tables), 2) for r in t.to_pylist()]
+    assert [b for b in built if b] == [[0, 1, 64], [9, 1 << 40]]
+    assert {0, 1, 3, 64, 128, 1 << 20} == {v for pair in got for v in pair}
+    assert all(simhash_dedup.distance(a, b) <= 2 for a, b in got)
+
+
 def test_simhash_dedup_equals_brute_force(frame):
     rng = random.Random(3)
     base = [" ".join(rng.choices([f"w{i}" for i in range(300)], k=400)) for _ in range(6)]
