@@ -11,8 +11,10 @@ inflates and its CRC fits, the version line and headers parse, Content-Length eq
 block, the block digest and (for responses) the payload digest fit. After a failed check
 it searches for the next member start (or, in plain archives, the next version line)
 from the byte behind the failed start, verifies the record found there, and logs the
-bytes in between as a quarantined gap (file, start, end, reason). Memory is bounded by
-the read window and the largest record.
+bytes in between as a quarantined gap (file, start, end, reason). The window grows in place,
+a header line is read once and a block copied once, so a large record takes time in
+proportion to its size; memory is bounded by the read window and the largest record. Payloads are equal if their SHA-1, SHA-256
+and length are.
 
 Defined results: null html is the empty payload; a null page_id never is the original
 while another page has the payload; rows tied on the largest page_id are all responses;
@@ -42,6 +44,8 @@ WINDOW = 1 << 18
 MAX_RECORD = (1 << 31) + (1 << 20)
 GZIP = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+START = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+LINE_END = re.compile(rb"\r\n")
 # Fixed values of the WARC 1.1 format.
 NAMESPACE = "urn:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -90,10 +94,10 @@ class Found:
 
 
 class _Bytes:
-    """A window over a file that moves forward; positions are absolute."""
+    """A window over a file that moves forward; positions are absolute. Bytes are read once, and copied when asked for."""
 
     def __init__(self, source) -> None:
-        self.source, self.start, self.data, self.over = source, 0, b"", False
+        self.source, self.start, self.data, self.over = source, 0, bytearray(), False
 
     def has(self, at: int) -> bool:
         """Whether a byte stands at ``at``; reads on as needed."""
@@ -103,110 +107,131 @@ class _Bytes:
             self.data += block
         return at < self.start + len(self.data)
 
-    def rest(self, at: int, limit: int | None = None) -> bytes:
-        """What is at hand from ``at`` on (some bytes, unless the file ends there)."""
+    def end(self) -> int:
+        """Where the bytes at hand end."""
+        return self.start + len(self.data)
+
+    def rest(self, at: int, limit: int) -> bytes:
+        """At most ``limit`` bytes of what is at hand from ``at`` on (some, unless the file ends there)."""
         if not self.has(at):
             return b""
         begin = at - self.start
-        return self.data[begin:] if limit is None else self.data[begin:begin + limit]
+        return bytes(memoryview(self.data)[begin:begin + limit])
+
+    def whole(self, at: int, n: int) -> bytes:
+        """The ``n`` bytes from ``at`` on; EOFError if the file has fewer."""
+        if n and not self.has(at + n - 1):
+            raise EOFError("shorter than its Content-Length")
+        return self.rest(at, n) if n else b""
+
+    def find(self, mark: re.Pattern, at: int) -> int | None:
+        """The first place of ``mark`` from ``at`` on, in the bytes at hand."""
+        hit = mark.search(self.data, max(0, at - self.start))
+        return None if hit is None else self.start + hit.start()
 
     def more(self) -> bool:
-        return self.has(self.start + len(self.data))
+        return self.has(self.end())
 
     def forget(self, at: int) -> None:
         if at - self.start > 4 * WINDOW:
-            self.data, self.start = self.data[at - self.start:], at
+            del self.data[:at - self.start]
+            self.start = at
+
+
+class _Inflated:
+    """What a gzip member at ``at`` of a window inflates to, with the methods of a file."""
+
+    def __init__(self, window: _Bytes, at: int) -> None:
+        self.window, self.pos, self.inflate, self.held = window, at, zlib.decompressobj(31), b""
+
+    def read(self, n: int) -> bytes:
+        while not self.held and not self.inflate.eof:
+            chunk = self.inflate.unconsumed_tail or self.window.rest(self.pos, WINDOW >> 2)
+            if not chunk:
+                raise EOFError("member doesn't end")
+            fresh = not self.inflate.unconsumed_tail
+            try:
+                self.held = self.inflate.decompress(chunk, n)
+            except zlib.error as e:
+                raise ValueError(f"gzip: {e}") from None
+            self.pos += (len(chunk) if fresh else 0) - len(self.inflate.unused_data)
+        out, self.held = self.held[:n], self.held[n:]
+        return out
+
+
+def _line(window: _Bytes, at: int) -> bytes:
+    """The line at ``at`` without its end; EOFError if it doesn't end."""
+    begin = at
+    while True:
+        stop = window.find(LINE_END, begin)
+        if stop is not None:
+            return window.rest(at, stop - at)
+        begin = max(at, window.end() - 1)  # the mark may stand across the window's end
+        if window.end() - at > MAX_RECORD:
+            raise ValueError("record over MAX_RECORD bytes")
+        if not window.more():
+            raise EOFError("headers don't end")
 
 
-def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and end of the record at the start of ``data``; ValueError if a check fails.
+def _record(window: _Bytes, at: int) -> tuple[dict[str, str], bytes, int]:
+    """Headers, block and end of the record at ``at``; ValueError if a check fails.
 
-    EOFError: the data end before the record does.
+    Header lines are parsed once, up to the empty one (a line that can't be a header, such as
+    another version line, ends the attempt there); then Content-Length says what belongs to the
+    block. EOFError: the bytes end before the record does.
     """
-    if not VERSION.match(data):
-        if len(data) < 10:
-            raise EOFError("no version line")
+    window.has(at + 9)
+    if not VERSION.match(window.rest(at, 10)):
         raise ValueError("no version line")
-    stop = data.find(b"\r\n\r\n")
-    if stop < 0:
-        raise EOFError("headers don't end")
-    headers = {}
-    for line in data[:stop].split(b"\r\n")[1:]:
+    headers, stop = {}, at + 10
+    while line := _line(window, stop):
         name, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("header line without a colon")
         headers[name.strip().lower().decode("utf-8", "replace")] = \
             value.strip().decode("utf-8", "replace")
+        stop += len(line) + 2
+    begin = stop + 2
     size = headers.get("content-length", "")
-    if not size.isdigit():
+    if not (size.isascii() and size.isdigit()):
         raise ValueError("no Content-Length")
-    if int(size) > MAX_RECORD:
+    if len(size) > 19 or int(size) > MAX_RECORD:
         raise ValueError("record over MAX_RECORD bytes")
-    end = stop + 4 + int(size)
-    if len(data) < end + 4:
-        raise EOFError("shorter than its Content-Length")
-    block = data[stop + 4:end]
-    if data[end:end + 4] != b"\r\n\r\n":
+    end = begin + int(size)
+    if window.whole(end, 4) != b"\r\n\r\n":
         raise ValueError("no record end where Content-Length says")
-    want = headers.get("warc-block-digest")
-    if want and want != "sha1:" + base32_sha1(block):
+    block = window.whole(begin, int(size))
+    digest = "sha1:" + base32_sha1(block)
+    if (headers.get("warc-block-digest") or digest) != digest:
         raise ValueError("block digest")
     if headers.get("warc-type") == "response" and "x-payload-length" in headers and (
             headers["x-payload-length"] != str(len(block))
-            or headers.get("warc-payload-digest") != "sha1:" + base32_sha1(block)):
+            or headers.get("warc-payload-digest") != digest):
         raise ValueError("payload digest")
     return headers, block, end + 4
 
 
 def _member(window: _Bytes, at: int) -> tuple[dict, bytes, int]:
     """The record in the gzip member at ``at``, and the member's end."""
-    inflate, out, pos, held = zlib.decompressobj(31), [], at, 0
-    while not inflate.eof:
-        chunk = window.rest(pos, WINDOW >> 2)
-        if not chunk:
-            raise EOFError("member doesn't end")
-        try:
-            out.append(inflate.decompress(chunk))
-        except zlib.error as e:
-            raise ValueError(f"gzip: {e}") from None
-        held += len(out[-1])
-        if held > MAX_RECORD:
-            raise ValueError("record over MAX_RECORD bytes")
-        pos += len(chunk) - len(inflate.unused_data)
-        if len(out) == 1 and not b"WARC/1.".startswith(out[0][:7]):
-            raise ValueError("no version line")
-    data = b"".join(out)
-    headers, block, end = parse_record(data)
-    if end != len(data):
+    source = _Inflated(window, at)
+    inner = _Bytes(source)
+    headers, block, end = _record(inner, 0)
+    if inner.has(end):
         raise ValueError("bytes behind the record in its member")
-    return headers, block, pos
-
-
-def _plain(window: _Bytes, at: int) -> tuple[dict, bytes, int]:
-    """The record that begins at ``at`` of an archive that isn't compressed."""
-    while True:
-        data = window.rest(at)
-        try:
-            headers, block, size = parse_record(data)
-            return headers, block, at + size
-        except EOFError:
-            if not window.more():
-                raise
+    return headers, block, source.pos
 
 
 def _next_start(window: _Bytes, at: int) -> int | None:
     """The next place from ``at`` on where a member or a version line may begin."""
-    while True:
-        data = window.rest(at)
-        if not data:
-            return None
-        hits = [p for p in (data.find(GZIP), data.find(b"WARC/1.")) if p >= 0]
-        if hits:
-            return at + min(hits)
+    while window.has(at):
+        hit = window.find(START, at)
+        if hit is not None:
+            return hit
+        at = max(at, window.end() - 6)  # a mark may stand across the window's end
         if not window.more():
             return None
-        at += max(0, len(data) - 6)  # a mark may stand across the window's end
         window.forget(at)
+    return None
 
 
 def salvage(source) -> Iterator[Found]:
@@ -216,7 +241,7 @@ def salvage(source) -> Iterator[Found]:
         try:
             while len(window.rest(at, 3)) < 3 and window.more():
                 pass
-            read = _member if window.rest(at, 3) == GZIP else _plain
+            read = _member if window.rest(at, 3) == GZIP else _record
             headers, block, end = read(window, at)
         except (ValueError, EOFError) as e:
             if gap is None:
@@ -234,8 +259,8 @@ def salvage(source) -> Iterator[Found]:
         window.forget(at)
     if gap is not None:
         while window.more():
-            window.forget(window.start + len(window.data))
-        yield Found(gap, window.start + len(window.data), reason=reason)
+            window.forget(window.end())
+        yield Found(gap, window.end(), reason=reason)
 
 
 def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -243,13 +268,16 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce("html", F.lit("")).alias("html"))
+    # SHA-1 is the format's digest; payloads made to collide in it differ in SHA-256.
+    same = ["digest", "sha256", "n_bytes"]
     keyed = rows.select("*", F.sha1(F.col("html").cast("binary")).alias("digest"),
+                        F.sha2(F.col("html").cast("binary"), 256).alias("sha256"),
                         F.octet_length("html").cast("long").alias("n_bytes"))
-    groups = stored(keyed.groupBy("digest", "n_bytes")
+    groups = stored(keyed.groupBy(*same)
                     .agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("n")),
                     scratch(spark, "warc-digests"))
     total = groups.agg(F.sum("n")).first()[0] or 0
-    dealt = salted_join(keyed, groups, ["digest", "n_bytes"], "n", total,
+    dealt = salted_join(keyed, groups, same, "n", total,
                         F.xxhash64("page_id", "url"), "inner")
     revisit = ((F.col("n_bytes") >= min_bytes)
                & ~F.col("page_id").eqNullSafe(F.col("original")))

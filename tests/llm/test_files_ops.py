@@ -117,6 +117,41 @@ def test_false_length_and_digest_are_quarantined():
     assert [f.headers is not None for f in found] == [False, True, False, True]
 
 
+@pytest.mark.parametrize("plain", [True, False])
+def test_large_records_are_read_in_linear_time(plain, monkeypatch):
+    copied, rest = [], warc._Bytes.rest
+
+    def counted(self, at, limit):
+        out = rest(self, at, limit)
+        copied.append(len(out))
+        return out
+
+    monkeypatch.setattr(warc._Bytes, "rest", counted)
+    big = record(1, random.Random(5).randbytes(24 << 20))
+    hurt = record(2, b"WARC/1.1\r\n" * 20_000)  # false starts in a block whose digest is wrong
+    hurt = hurt.replace(b"WARC-Type: response", b"WARC-Type: respXnse").replace(b"Block-Digest: sha1:", b"Block-Digest: sha1:A")
+    data = b"".join(r if plain else warc.gzip_member(r) for r in (big, hurt, record(3, b"")))
+    found = list(warc.salvage(io.BytesIO(data)))
+    assert [f.headers is not None for f in found] == [True, False, True]
+    assert len(found[0].block) == 24 << 20
+    assert sum(copied) < 3 * (len(data) + len(big) + len(hurt))
+
+
+def test_members_of_every_shape_end_where_they_end():
+    rng = random.Random(8)
+    blocks = [b"", b"x", b"\0" * (3 << 20), rng.randbytes(warc.WINDOW), rng.randbytes(warc.WINDOW - 400),
+              *[rng.randbytes(rng.randrange(600_000)) for _ in range(6)]]
+    members = [warc.gzip_member(record(k, b)) for k, b in enumerate(blocks)]
+    found = list(warc.salvage(io.BytesIO(b"".join(members))))
+    assert [f.block for f in found] == blocks and [f.end - f.at for f in found] == [len(m) for m in members]
+    two = gzip.compress(record(1, b"a") + record(2, b"b"))
+    flipped = bytearray(members[1])
+    flipped[-6] ^= 1  # the member's CRC
+    for bad in (two, bytes(flipped), members[3][:-1]):
+        found = list(warc.salvage(io.BytesIO(bad)))
+        assert [(f.at, f.end, f.headers) for f in found] == [(0, len(bad), None)]
+
+
 def test_gap_rows_name_file_and_bytes(corpus):
     folder = scratch(corpus, "t")
     store, where = open_store(folder)
