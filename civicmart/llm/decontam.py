@@ -13,10 +13,10 @@ shingle similarity (sum of smaller over sum of larger counts) of at least ``simi
 2. *Windows.* Around each anchor, all windows of the anchored item's length are
    fingerprinted: SimHash of 64 bits over the window's shingles.
 3. *Multi-index.* Fingerprints are cut into ``radius + 1`` blocks; a window within
-   ``radius`` bits of an item agrees with it on a block, so joining on (length, block
-   number, block value) and counting bits finds all of them; each window keeps
-   the set of its items. Where the benchmark is too large to broadcast, block
-   values are dealt over tasks by the document.
+   ``radius`` bits of an item agrees with it on a block. A window is joined with the items of
+   its own anchors on (item, block number, block value), and bits are counted, so items that
+   share no shingle with it are never met. Where the benchmark is too large to broadcast,
+   blocks are dealt over tasks by the document.
 4. *Exact check.* The pairs left are verified by exact weighted-shingle similarity.
 
 The radius is the one lossy choice: at similarity 0.8 a window differs from its item in
@@ -124,7 +124,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
 
 def _scored(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
             similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """Similar windows of each text (doc_id, th), one row a window and item."""
+    """The most similar window (the first of equals) of each text (doc_id, th) and item."""
     spark = docs.sparkSession
     items = stored(benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
                    .select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("wh"),
@@ -139,11 +139,14 @@ def _scored(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
 def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float, radius: int) -> DataFrame:
     """Windows similar to items whose shingles have ``shingle`` words each."""
     spark = docs.sparkSession
-    items = items.select(F.xxhash64("item_id", "wh").alias("item"), "item_id", "n_words",
-                         _shingles(F.col("wh"), shingle).alias("sh")).withColumn("n", F.size("sh"))
-    items = stored(items, scratch(spark, "bench-items"))
-    # Anchors need a shingle and the lengths of the items that hold it, not the items.
-    holders = stored(items.select(F.explode("sh").alias("h"), "n").distinct(),
+    # Items of the same words are one here; their item_ids come back at the end.
+    named = stored(items.select(F.xxhash64("wh").alias("item"), "item_id", "n_words", "wh"),
+                   scratch(spark, "bench-named"))
+    items = stored(named.groupBy("item", "n_words").agg(F.first("wh").alias("wh"))
+                   .select("item", "n_words", _shingles(F.col("wh"), shingle).alias("sh"))
+                   .withColumn("n", F.size("sh")), scratch(spark, "bench-items"))
+    # An anchor is a shingle and an item that holds it.
+    holders = stored(items.select(F.explode("sh").alias("h"), "item", "n").distinct(),
                      scratch(spark, "bench-holders"))
     n_holders = holders.count()
     lengths, n_shingles = [], 0
@@ -162,7 +165,7 @@ def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float,
         .select("doc_id", "th", "q.p", "q.h")
     anchors = probes.join(_bounded(holders, n_holders), "h")
     found = stored(anchors.groupBy("doc_id", "th").agg(
-        F.collect_set(F.struct("n", "p")).alias("at")), scratch(spark, "anchors"))
+        F.collect_set(F.struct("item", "n", "p")).alias("at")), scratch(spark, "anchors"))
 
     # Windows of the anchored documents only.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
@@ -172,10 +175,13 @@ def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float,
         .dropDuplicates(["doc_id", "th"]) \
         .select("doc_id", "th", "at", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("wh"))
     texts = texts.select("doc_id", "th", "at", _shingles(F.col("wh"), shingle).alias("sh"))
+    def reach(a):
+        """Starts of the windows around an anchor, as long as its item."""
+        return F.sequence(F.greatest(a["p"] - a["n"] + 1, F.lit(0)),
+                          F.least(a["p"], F.greatest(F.size("sh") - a["n"], F.lit(0))))
+
     starts = F.array_distinct(F.flatten(F.transform("at", lambda a: F.transform(
-        F.sequence(F.greatest(a["p"] - a["n"] + 1, F.lit(0)),
-                   F.least(a["p"], F.greatest(F.size("sh") - a["n"], F.lit(0)))),
-        lambda s: F.shiftleft(a["n"].cast("long"), 32) + s))))  # as one number: distinct by hashing
+        reach(a), lambda s: F.shiftleft(a["n"].cast("long"), 32) + s))))  # as one number: distinct by hashing
     windows = texts.withColumn("s", F.explode(starts)) \
         .withColumn("n", F.shiftright("s", 32).cast("int")) \
         .withColumn("start", F.col("s").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")) \
@@ -184,16 +190,24 @@ def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float,
 
     keys = ["doc_id", "th", "n", "start"]
     prints = simhashes(windows.select(*keys, F.explode("sh").alias("h")), keys)
-    item_prints = simhashes(items.select("item", "n", F.explode("sh").alias("h")), ["item", "n"])
-    item_blocks = stored(item_prints.select("item", "n", F.col("fp").alias("item_fp"),
+    item_prints = simhashes(items.select("item", F.explode("sh").alias("h")), ["item"])
+    # A window is compared with the items of its anchors only.
+    asked = (texts.select("doc_id", "th", "sh", F.explode("at").alias("a"))
+             .select("doc_id", "th", F.col("a.n").alias("n"), F.col("a.item").alias("item"),
+                     F.explode(reach(F.col("a"))).alias("start")).distinct())
+    asked = asked.withColumnsRenamed({k: f"_{k}" for k in keys})
+    prints = prints.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th"))
+                         & (F.col("n") == F.col("_n")) & (F.col("start") == F.col("_start"))) \
+        .select(*keys, "item", "fp")
+    item_blocks = stored(item_prints.select("item", F.col("fp").alias("item_fp"),
                                             F.explode(block_keys(F.col("fp"), radius)).alias("k"))
-                         .select("item", "n", "item_fp", "k.block", "k.value"),
+                         .select("item", "item_fp", "k.block", "k.value"),
                          scratch(spark, "bench-blocks"))
     n_blocks = item_blocks.count()
-    probed = prints.select(*keys, "fp", F.explode(block_keys(F.col("fp"), radius)).alias("k")) \
-        .select(*keys, "fp", "k.block", "k.value")
-    on = ["n", "block", "value"]
-    if n_blocks > BROADCAST_ROWS:  # block values are few: deal them by the document
+    probed = prints.select(*keys, "item", "fp", F.explode(block_keys(F.col("fp"), radius)).alias("k")) \
+        .select(*keys, "item", "fp", "k.block", "k.value")
+    on = ["item", "block", "value"]
+    if n_blocks > BROADCAST_ROWS:  # an item may be that of very many windows: deal them by the document
         parts = 64
         probed = probed.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)))
         item_blocks = item_blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
@@ -206,15 +220,19 @@ def _windows(docs: DataFrame, items: DataFrame, shingle: int, similarity: float,
     own = windows.withColumnsRenamed({k: f"_{k}" for k in keys}).join(
         near, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("th") == F.col("_th"))
         & (F.col("n") == F.col("_n")) & (F.col("start") == F.col("_start")))
-    item_sets = stored(items.select("item", "item_id", "n_words", tagged(F.col("sh")).alias("item_sh")),
+    item_sets = stored(items.select("item", "n_words", tagged(F.col("sh")).alias("item_sh")),
                        scratch(spark, "bench-sets"))
     pairs = own.select("doc_id", "th", "n", "start", F.size("sh").alias("size"), tagged(F.col("sh")).alias("sh"),
                        F.explode("items").alias("item")).join(_bounded(item_sets, n_shingles), "item")
     scored = (pairs.withColumn("both", F.size(F.array_intersect("sh", "item_sh")))
               .withColumn("similarity", F.col("both") / (F.col("size") + F.col("n") - F.col("both")))
               .where(F.col("similarity") >= similarity))
-    return scored.select("doc_id", "th", "item", F.col("item_id").cast("long").alias("item_id"),
-                         "n_words", "start", "similarity")
+    best = scored.groupBy("doc_id", "th", "item", "n_words").agg(
+        F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("b"))
+    names = named.select("item", "item_id").distinct()
+    return best.join(names, "item").select(
+        "doc_id", "th", "item", F.col("item_id").cast("long").alias("item_id"), "n_words",
+        (-F.col("b.s")).alias("start"), F.col("b.similarity").alias("similarity"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
