@@ -3,8 +3,8 @@
 Features: hashed tokens, token pairs and the shape of the text (share of repeated tokens,
 symbols, digits, mean word length), 2^BITS coordinates, log counts times inverse document
 frequency of the labelled sample, length 1. The leading RANK directions of the labelled
-vectors (an eigenproblem of at most 2^BITS coordinates, whose matrix is summed in Spark)
-span the latent space. The labelled vectors are broadcast (``max_docs`` x RANK numbers),
+vectors (an eigenproblem of at most 2^BITS coordinates, solved by the driver from the bounded
+sample, whose vectors tasks make) span the latent space. The labelled vectors are broadcast (``max_docs`` x RANK numbers),
 every document takes exact cosine products with all of them, block by block, and its
 NEIGHBOURS most similar vote with their similarity.
 
@@ -12,8 +12,8 @@ Training reads at most ``max_docs`` labelled rows (all if fewer), chosen by a ha
 doc_id; everything else covers all documents.
 
 Defined results: null and empty texts have no direction and get the mean label of the
-labelled rows; null labels and null doc_ids are never trained on; ties in similarity go
-to the smaller position of the labelled row (order by hash of doc_id); without labels
+labelled rows; null labels and null doc_ids are never trained on; labelled rows of equal
+(computed) similarity at the last place are taken by smaller position (order by hash of doc_id); without labels
 every score is 0.5; an empty table gives an empty result; other columns are not read.
 """
 
@@ -82,6 +82,9 @@ class Space:
         sims = self.project(raw) @ self.labelled.T
         k = min(k, sims.shape[1])
         near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+        last = np.take_along_axis(sims, near, axis=1).min(axis=1, keepdims=True)
+        for row in np.flatnonzero((sims >= last).sum(axis=1) > k):  # a tie at the last place
+            near[row] = np.argsort(-sims[row], kind="stable")[:k]
         weight = np.clip(np.take_along_axis(sims, near, axis=1), 0, None) ** 4
         total = weight.sum(axis=1)
         votes = (weight * self.labels[near]).sum(axis=1)

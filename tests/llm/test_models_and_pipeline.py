@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -145,6 +146,22 @@ def test_quality_on_held_out_rows(corpus):
     assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.9
 
 
+def test_ties_at_the_last_neighbour_go_to_the_smaller_position():
+    bits = quality_knn.BITS
+    raw = np.zeros((1, (1 << bits) + quality_knn.SHAPES), dtype=np.float32)
+    raw[0, 3] = 1
+    base = np.zeros((raw.shape[1], 2), dtype=np.float32)
+    base[3, 0] = 1
+    for first in (0.0, 1.0):  # 40 labelled copies: the first 15 vote
+        labels = np.array([first] * 15 + [1 - first] * 25, dtype=np.float32)
+        labelled = np.tile(np.array([[1, 0]], dtype=np.float32), (40, 1))
+        space = quality_knn.Space(np.ones(raw.shape[1], np.float32), base, labelled, labels)
+        assert space.vote(raw, 15).tolist() == [first]
+    labelled[:10] = [0.6, 0.8]  # farther ones come after all nearer copies
+    space = quality_knn.Space(np.ones(raw.shape[1], np.float32), base, labelled, labels)
+    assert space.vote(raw, 30).tolist() == [5 / 30]
+
+
 def test_quality_edges(corpus, frame):
     rows, labels = labelled(corpus, 60, 3)
     got = {r.doc_id: r.score for r in quality_knn.quality(frame(rows + EDGES), labels).collect()}
