@@ -159,7 +159,7 @@ def test_ties_at_the_last_neighbour_go_to_the_smaller_position():
         assert space.vote(raw, 15).tolist() == [first]
     labelled[:10] = [0.6, 0.8]  # farther ones come after all nearer copies
     space = quality_knn.Space(np.ones(raw.shape[1], np.float32), base, labelled, labels)
-    assert space.vote(raw, 30).tolist() == [5 / 30]
+    assert space.vote(raw, 30).tolist() == pytest.approx([5 / 30])
 
 
 def test_quality_edges(corpus, frame):
