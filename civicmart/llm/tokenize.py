@@ -2,7 +2,9 @@
 
 A byte-level BPE never joins across a single space between two non-space characters:
 the space begins the next word. So a text can be encoded piece by piece, and a piece's
-ids remembered. Unknown pieces of many texts are encoded in few calls of the library.
+ids remembered. Unknown pieces are cut into words by the scheme's own pattern, where it is
+certain (``CERTAIN``), and each new word goes once through the library's BPE model; other
+pieces of many texts are encoded in few calls of the library.
 A text that holds an added token of the file ("<|endoftext|>") is encoded in one call.
 """
 
@@ -10,17 +12,42 @@ from __future__ import annotations
 
 import json
 import re
-import string
-from collections.abc import Sequence
+from array import array
+from collections.abc import Callable, Sequence
 
 import numpy as np
 
 SPACED = re.compile("[\\s\u180e]")
-CACHE_PIECES = 1_000_000  # about 200 MB a Python worker, in two generations
-CACHE_TAILS = 100_000
+CACHE_PIECES = 600_000  # about 100 MB a Python worker, in two generations
+CACHE_WORDS = 100_000  # words that no space precedes
 LONGEST_CACHED = 64
-PUNCTUATION = string.punctuation
 JOINED = 64  # pieces without white space that one call encodes as the lines of a text
+# The pattern's classes (letter, digit, white space, other) are beyond doubt for these characters.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁ"
+CERTAIN = re.compile(f"[!-~\n{LETTERS}–—‘’“”…]+")
+WORD = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+CHARACTERS = byte_characters()
+SPACE = CHARACTERS[ord(" ")]
+
+
+class Remembered(dict):
+    """Ids by text; ``find`` gives (and may keep) those that are not there."""
+
+    def __init__(self, find: Callable[[str], bytes | None]) -> None:
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, text: str) -> bytes | None:
+        return self.find(text)
 
 
 class Encoder:
@@ -33,8 +60,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
-        self.cache: dict[str, bytes] = {}
+        self.recent = Remembered(self._piece)  # piece -> ids of the piece behind a space
         self.older: dict[str, bytes] = {}
+        self.words = Remembered(self._bare)  # words that no space precedes
+        self.unsure: set[str] = set()  # pieces for the library's own pattern
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Cutting at spaces is proven for the byte-level scheme only; line ends join pieces.
         self.cuts = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" \
@@ -42,8 +71,9 @@ class Encoder:
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] \
             if self.cuts else None
         # The pattern that words end by is part of the scheme unless the file turns it off.
-        self.splits = self.cuts and json.loads(self.tokenizer.to_str())["pre_tokenizer"].get("use_regex", True)
-        self.tails: dict[str, bytes] = {}  # punctuation -> ids of it behind letters
+        scheme = json.loads(self.tokenizer.to_str())["pre_tokenizer"] if self.cuts else {}
+        self.splits = self.cuts and scheme.get("use_regex", True) and not scheme.get("add_prefix_space")
+        self.model = self.tokenizer.model
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -60,52 +90,61 @@ class Encoder:
         cut = [[""] if t and any(a in t for a in self.added) else (t or "").split(" ")
                for t in texts]
         heads = [pieces.pop(0) for pieces in cut]
-        if len(self.cache) > CACHE_PIECES // 2:  # pieces in use come back from the older half
-            self.older, self.cache = self.cache, {}
-        cache, older = self.cache, self.older  # piece -> ids of the piece behind a space
-        missing = set().union(*cut).difference(cache)
-        known = missing.intersection(older)
-        cache.update(zip(known, map(older.__getitem__, known), strict=True))
-        new = missing.difference(known)
-        if self.splits:
-            self._add_split(new)
-        else:
-            cache.update(zip(new, self._pieces(list(new), " "), strict=True))
-        out = []
-        for text, head, pieces in zip(texts, self._pieces(heads, ""), cut, strict=True):
+        if len(self.recent) > CACHE_PIECES // 2:  # pieces in use come back from the older half
+            self.older, self.recent = self.recent, Remembered(self._piece)
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        find = self.recent.__getitem__
+        out: list[bytes] = [b""] * len(cut)
+        heads, later = self._pieces(heads, ""), []
+        for k, pieces in enumerate(cut):
+            try:
+                out[k] = b"".join([heads[k], *map(find, pieces), end])
+            except TypeError:
+                later.append(k)
+        new = list(self.unsure)
+        self.unsure.clear()
+        self.recent.update(zip(new, self._pieces(new, " "), strict=True))
+        for k in later:
             try:
-                out.append(b"".join([head, *map(cache.__getitem__, pieces), end]))
+                out[k] = b"".join([heads[k], *map(find, cut[k]), end])
             except TypeError:  # white space beside a cut, or an added token: encoded in one
-                out.append(self._ids([text or ""])[0] + end)
+                out[k] = self._ids([texts[k] or ""])[0] + end
         for p in new:
             if len(p) > LONGEST_CACHED:
-                del cache[p]
+                del self.recent[p]
         return out
 
-    def _add_split(self, new: set[str]) -> None:
-        """Cache new pieces; of letters with punctuation behind them, the letters are encoded once.
-
-        The scheme's pattern ends a word where its letters end, and takes the punctuation up to the next
-        letter, digit or white space as one more word, which has no space before it.
-        """
-        cache, ends = self.cache, []
-        for p in new:
-            core = p.rstrip(PUNCTUATION)
-            if len(core) != len(p) and core.isalpha():
-                ends.append((p, core, p[len(core):]))
-        new.difference_update([p for p, _, _ in ends])
-        new.update(core for _, core, _ in ends if core not in cache)
-        own = list(new)
-        cache.update(zip(own, self._pieces(own, " "), strict=True))
-        for p, core, tail in ends:
-            ids = self.tails.get(tail)
-            if ids is None:
-                if len(self.tails) >= CACHE_TAILS:
-                    self.tails.clear()
-                ids = self.tails[tail] = self._ids([tail])[0]
-            cache[p] = cache[core] + ids
-            if len(p) > LONGEST_CACHED:
-                new.add(p)
+    def _piece(self, piece: str) -> bytes | None:
+        """Ids of a piece behind a space, word by word; None if the library's own pattern has to cut it."""
+        ids = self.older.get(piece)
+        if ids is None:
+            if self.splits and piece.isascii() and piece.isalpha():
+                ids = self._word(" " + piece)
+            elif self.splits and CERTAIN.fullmatch(piece) and piece[0] != "\n" and piece[-1] != "\n":
+                first, *others = WORD.findall(" " + piece)
+                ids = b"".join([self.recent[first[1:]], *map(self.words.__getitem__, others)]) if others \
+                    else self._word(first)
+            else:
+                self.unsure.add(piece)
+                return None
+        if len(piece) <= LONGEST_CACHED:
+            self.recent[piece] = ids
+        return ids
+
+    def _bare(self, word: str) -> bytes:
+        ids = self._word(word)
+        if len(word) <= LONGEST_CACHED:
+            self.words[word] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of the pattern, a space in front included."""
+        if word.isascii() and "\n" not in word:
+            text = word.replace(" ", SPACE)
+        else:
+            text = word.encode().decode("latin-1").translate(CHARACTERS)
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _pieces(self, pieces: list[str], before: str) -> list[bytes | None]:
         """Ids of each piece behind ``before``; None if white space stands at an end of it.

@@ -189,6 +189,40 @@ def test_cached_encoding_equals_the_library():
     assert got == plain_ids(texts)
 
 
+def test_words_are_cut_as_the_librarys_pattern_cuts_them():
+    rng = random.Random(11)
+    chars = "aZéß \n\n '" + "'sstrevmld.,!09–’…ñЖπ½ª²\t×÷$€中İʼ_^~"
+    texts = ["".join(rng.choices(chars, k=60)) for _ in range(1_000)]
+    enc = tokenize.Encoder(tokenize.default_tokenizer())
+    assert [a.tolist() for a in enc.encode(texts)] == plain_ids(texts)
+
+
+class Counting:
+    """A library object that notes how many characters it is asked to encode."""
+
+    def __init__(self, real, sent):
+        self.real, self.sent = real, sent
+
+    def encode_batch_fast(self, texts, **kw):
+        self.sent += [len(t) for t in texts]
+        return self.real.encode_batch_fast(texts, **kw)
+
+    def tokenize(self, text):
+        self.sent.append(len(text))
+        return self.real.tokenize(text)
+
+
+def test_a_word_in_many_pieces_is_encoded_once():
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=10)) for _ in range(50)]
+    texts = ["start " + " ".join(f"{w}{rng.choice('.,!')}\n{rng.choice(words)}" for w in words) for _ in range(50)]
+    enc, sent = tokenize.Encoder(tokenize.default_tokenizer()), []
+    want = plain_ids(texts)
+    enc.tokenizer, enc.model = Counting(enc.tokenizer, sent), Counting(getattr(enc, "model", None), sent)
+    assert [a.tolist() for a in enc.encode(texts)] == want
+    assert sum(sent) < 30 * len(words) + 10 * len(texts)  # each word with and without a space, and the texts' heads
+
+
 END = "<|endoftext|>"
 
 
