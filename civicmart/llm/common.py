@@ -21,6 +21,9 @@ SPACE_CLASS = r"[ \t\n\u000B\f\r]"
 HOT_LIST = 10_000
 HOT_ROWS = 500
 
+# Whole texts in one Arrow batch of the pipeline's Python stages.
+TEXT_ROWS = 1_000
+
 SAMPLE_STEPS = 1 << 52
 SAMPLE_PARTS = 8
 
@@ -43,6 +46,17 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Send Python workers at most TEXT_ROWS texts at once, unless the session asks for fewer.
+
+    Spark's 10,000 whole texts are built, sent and received as one buffer each: of 3 kB they are 30 MB,
+    held twice while the buffer grows, for every task of an executor.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share."""
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"

@@ -13,14 +13,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from civicmart.llm import decontam, exact_dedup, langid, packing, simhash_dedup
-from civicmart.llm.common import read_table, scratch, ship_package, stored
+from civicmart.llm.common import bound_batches, read_table, scratch, ship_package, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _for_workers(spark: SparkSession) -> None:
+    """What stages with Python workers need: the package, and batches that leave executors room."""
+    ship_package(spark)
+    bound_batches(spark)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without text or without a letter go."""
-    ship_package(spark)
+    _for_workers(spark)
     return langid.with_language(docs)
 
 
@@ -32,7 +38,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash component the document with the smallest doc_id stays."""
-    ship_package(spark)
+    _for_workers(spark)
     return simhash_dedup.one_of_each(docs)
 
 
@@ -43,7 +49,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: one row per piece with its place."""
-    ship_package(spark)
+    _for_workers(spark)
     return packing.best_fit(docs)
 
 

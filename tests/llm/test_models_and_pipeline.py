@@ -308,3 +308,20 @@ def test_queries_equal_their_sql(corpus, name):
         out = queries.queries()[name](corpus, SF01)
         want = c.sql(f"SELECT {', '.join(out.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()
     assert sorted(tuple(r) for r in out.collect()) == sorted(want)
+
+
+def test_python_stages_get_bounded_batches_of_texts(frame):
+    docs = frame([(1, "the cat sat on the mat")])
+    spark, key = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for stage in (corpus_pipeline.language_id, corpus_pipeline.near, corpus_pipeline.pack):
+            for asked, got in (("10000", 1000), ("0", 1000), ("200", 200)):
+                spark.conf.set(key, asked)
+                corpus_pipeline._for_workers(spark)
+                assert int(spark.conf.get(key)) == got
+            spark.conf.set(key, "10000")
+            stage(spark, docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source"), "")
+            assert int(spark.conf.get(key)) == 1000
+    finally:
+        spark.conf.set(key, before)
