@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicmart.llm.common import scratch, stored
-from civicmart.llm.tokenize import batches, default_tokenizer, encoder
+from civicmart.llm.tokenize import BATCH_CHARS, BATCH_ROWS, batches, default_tokenizer, encoder
 
 CAPACITY = 2048
 OPEN_BINS = 1024
@@ -48,10 +48,10 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int
         enc = encoder(path)
         end = np.array([end_id], dtype="<u4")
         for table in it:
-            for part in batches(table):
+            for part in batches(table, BATCH_ROWS, BATCH_CHARS):
                 rows = []
                 for doc, ids in zip(part.column(0).to_pylist(),
-                                    enc.encode(part.column(1).to_pylist()), strict=True):
+                                    enc.encode(part.column(1)), strict=True):
                     all_ids = np.concatenate([ids.astype("<u4"), end])
                     for k, (s, n) in enumerate(cut_points(len(all_ids), capacity)):
                         rows.append((doc, k, s, n, zlib.crc32(all_ids[s:s + n].tobytes())))

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from civicmart.llm.common import scratch, stored
 from civicmart.llm.files import attempt_name, open_store
-from civicmart.llm.tokenize import batches, default_tokenizer, encoder
+from civicmart.llm.tokenize import BATCH_CHARS, BATCH_ROWS, batches, default_tokenizer, encoder
 
 MAGIC = b"TIDS0002"
 ROWS_PER_SHARD = 5_000
@@ -223,13 +223,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, end
         end = end_id.to_bytes(enc.dtype.itemsize, "little")
         shard = None
         for table in it:
-            for part in batches(table):
+            for part in batches(table, BATCH_ROWS, BATCH_CHARS):
                 if shard is None:
                     store, where = open_store(folder)
                     store.create_dir(where, recursive=True)
                     shard = ShardWriter(store, where, TaskContext.get().partitionId(), enc.dtype.itemsize)
                 shard.add(part.column("doc_id").to_pylist(),
-                          enc.encode_bytes(part.column("text").to_pylist(), end))
+                          enc.encode_bytes(part.column("text"), end))
         if shard is not None:
             cols = [[c] for c in shard.close()]
             kinds = [pa.int32(), pa.string(), *[pa.int64()] * 6]

@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -223,6 +224,43 @@ def test_a_word_in_many_pieces_is_encoded_once():
     assert sum(sent) < 30 * len(words) + 10 * len(texts)  # each word with and without a space, and the texts' heads
 
 
+class Noting(dict):
+    """Remembered ids that note how often they are asked for."""
+
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+def test_a_word_of_many_texts_is_looked_up_once():
+    rng = random.Random(13)
+    words = ["".join(rng.choices("abcdefgh", k=10)) for _ in range(20)]
+    texts = ["start " + " ".join(rng.choices(words, k=30)) + " 日本" for _ in range(200)]
+    enc = tokenize.Encoder(tokenize.default_tokenizer())
+    assert [a.tolist() for a in enc.encode(texts)] == library_ids(texts)
+    enc.recent = Noting(enc.recent)
+    assert [a.tolist() for a in enc.encode(texts)] == library_ids(texts)
+    assert enc.recent.asked <= 2 * (len(words) + 2)
+
+
+def test_arrow_columns_are_encoded_as_lists_are():
+    texts = [*TEXTS, f"a{END} b", "don't 日本 a,b\n\nc  d", None, "é½ é, ½ x"] * 2
+    enc = tokenize.Encoder(tokenize.default_tokenizer())
+    want = library_ids([t or "" for t in texts])
+    for kind in (pa.string(), pa.large_string()):
+        for a, b in ((0, len(texts)), (3, 11), (5, 5), (9, 10)):
+            column = pa.array(texts, kind).slice(a, b - a)
+            assert [x.tolist() for x in enc.encode(column)] == want[a:b]
+    assert enc.encode_bytes(pa.array([None, "a"]), b"xy")[0] == b"xy"
+    assert enc.encode([]) == []
+
+
 END = "<|endoftext|>"
 
 
