@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SPACED = re.compile("[\\s\u180e]")
-CACHE_PIECES = 600_000  # about 100 MB a Python worker, in two generations
+CACHE_PIECES = 600_000  # words of a generation at most; beyond half of them the next batch begins a new one
 LONGEST_CACHED = 64
 JOINED = 64  # words without white space that one call encodes as the lines of a text
 # Texts that are encoded together, and their bytes (one text may be longer): each word of theirs is looked up once.
@@ -134,13 +134,16 @@ class Encoder:
         new = [k for k, b in enumerate(found) if b is None]
         for k, b in zip(new, self._new([missed[k] for k in new]), strict=True):
             found[k] = b
+        room = CACHE_PIECES - len(self.recent)
         for k, w, b in zip(places, missed, found, strict=True):
             ids[k] = b
-            if b is not None and len(w) <= LONGEST_CACHED:
+            if room > 0 and b is not None and len(w) <= LONGEST_CACHED:
                 self.recent[w] = b
+                room -= 1
         return pa.array(ids, pa.large_binary())
 
     def _new(self, words: list[str]) -> list[bytes | None]:
+        """Ids of words that aren't remembered."""
         spaced = iter(self._lines([w[1:] for w in words if w[0] == " "], " "))
         bare = iter(self._lines([w for w in words if w[0] != " "], ""))
         out = [next(spaced if w[0] == " " else bare) for w in words]

@@ -249,6 +249,16 @@ def test_a_word_of_many_texts_is_looked_up_once():
     assert enc.recent.asked <= 2 * (len(words) + 2)
 
 
+def test_the_words_of_a_generation_are_bounded(monkeypatch):
+    rng = random.Random(14)
+    monkeypatch.setattr(tokenize, "CACHE_PIECES", 50)
+    enc = tokenize.Encoder(tokenize.default_tokenizer())
+    for _ in range(3):
+        texts = [" ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(200))]
+        assert [a.tolist() for a in enc.encode(texts)] == library_ids(texts)
+        assert len(enc.recent) <= 50 and len(enc.older) <= 50
+
+
 def test_arrow_columns_are_encoded_as_lists_are():
     texts = [*TEXTS, f"a{END} b", "don't 日本 a,b\n\nc  d", None, "é½ é, ½ x"] * 2
     enc = tokenize.Encoder(tokenize.default_tokenizer())
